@@ -37,7 +37,7 @@ def ratio(a: str | Column, b: str | Column) -> Column:
 
 def percent(a: str | Column, b: str | Column, places: int = 0) -> Column:
     """100 * a / b, rounded half up; null on a zero divisor."""
-    return F.round(F.try_divide(col(a).cast("double"), col(b).cast("double")) * 100, places)
+    return F.round(F.try_divide(col(a).cast("double") * 100, col(b).cast("double")), places)
 
 
 def round_half_up(c: str | Column, places: int = 0) -> Column:

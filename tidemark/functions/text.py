@@ -41,7 +41,7 @@ def token(c: str | Column, sep: str, n: int) -> Column:
 
 def pieces(c: str | Column, sep: str = ",") -> Column:
     """All trimmed, non-empty pieces."""
-    cut = F.transform(F.split(col(c), _literal(sep)), F.trim)
+    cut = F.transform(F.split(col(c), _literal(sep)), lambda x: F.trim(x))
     return F.filter(cut, lambda x: x != "")
 
 

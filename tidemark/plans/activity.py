@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import as_date, minutes_between, month_start
+from tidemark.functions.dates import as_date, minutes_between, month_start, on_days
 from tidemark.functions.numbers import percent
 from tidemark.operators.joins import equi, groupwise_max, range_join
 
@@ -36,11 +36,12 @@ def visit_compliance(planned: DataFrame, visits: DataFrame, licences: DataFrame,
     """
     as_of = as_date(as_of)
     keys = ["staff", "month"]
+    if not all_months:
+        first = reporting_month(as_of)
+        last = (first + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
+        planned, visits = (d.filter(on_days("visit_date", first, last)) for d in (planned, visits))
     plan = planned.select("staff", "customer", month_start("visit_date").alias("month")).distinct()
     seen = visits.withColumn("month", month_start("visit_date"))
-    if not all_months:
-        shown = F.lit(reporting_month(as_of))
-        plan, seen = plan.filter(F.col("month") == shown), seen.filter(F.col("month") == shown)
     per_customer = seen.groupBy(*keys, "customer").agg(F.count("checkin_id").alias("__checkins"))
     unvisited = (per_customer.filter("__checkins = 0").groupBy(*keys)
                  .agg(F.count(F.lit(1)).alias("unvisited")))

@@ -1,0 +1,21 @@
+"""Estimating pi from points."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def inside_circle(x: Column, y: Column) -> Column:
+    return x * x + y * y <= 1
+
+
+def estimate_pi(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """4 * share of the points of the unit square that lie in the circle."""
+    hit = F.sum(F.when(inside_circle(F.col(x), F.col(y)), 1).otherwise(0))
+    return points.agg(F.count(F.lit(1)).alias("points"), (4.0 * hit / F.count(F.lit(1))).alias("pi"))
+
+
+def random_points(spark, count: int, seed: int = 7, partitions: int | None = None) -> DataFrame:
+    """Uniform points of the unit square, generated on the executors."""
+    return spark.range(0, count, 1, partitions).select(F.rand(seed).alias("x"), F.rand(seed + 1).alias("y"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import changed
-from tidemark.operators.joins import anti, equi, mark
+from tidemark.operators.joins import anti, equi, mark, one_per_key
 from tidemark.operators.reshape import melt
 from tidemark.operators.sets import symmetric_difference
 from tidemark.operators.windows import latest, neighbour, numbered
@@ -77,12 +77,13 @@ def snapshot_diff(latest_rows: DataFrame, current: DataFrame, key: str, status:
                .withColumn(status, F.lit(gone)).select(*columns))
     staying = marked.filter(F.col("_merge") == "both").drop("_merge")
     # Of a changed key the difference holds the old and the new row; the new one counts.
-    new_rows = anti_rows(current.dropDuplicates(), staying)
-    return leaving.unionByName(new_rows).filter(F.col(key).isNotNull())
+    new_rows = anti_rows(current.filter(F.col(key).isNotNull()), staying)
+    new_rows = one_per_key(new_rows, key).select(*columns)
+    return leaving.filter(F.col(key).isNotNull()).unionByName(new_rows)
 
 
 def anti_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows of a that b does not hold, null matching null."""
+    """Rows of a that b does not hold, null matching null."""
     return anti(a, b, a.columns, null_safe=True)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from tidemark.functions.codes import (CARRIER_UNIT, DELIVERED, WITH_CARRIER, delivery_status,
                                       payment_class)
 from tidemark.functions.dates import NO_DATE, as_date
-from tidemark.functions.numbers import flag, money, zero_sum
+from tidemark.functions.numbers import col, flag, money, zero_sum
 from tidemark.operators.aggregates import all_members
 from tidemark.operators.joins import anti, equi, groupwise_max, lookup
 from tidemark.operators.sets import stack
@@ -115,9 +115,9 @@ def zero_account(leg: DataFrame, adjustments: DataFrame, keys: Sequence[str], ac
     return out.withColumn(amount, F.when(F.col("__hit"), F.lit(0)).otherwise(F.col(amount))).drop("__hit")
 
 
-def terms_type(due_type: str, interval: str) -> Column:
+def terms_type(due_type: str | Column, interval: str | Column) -> Column:
     """One or two days' terms mean immediate payment, anything else credit."""
-    now = (F.col(due_type) == "D") & F.col(interval).isin(1, 2)
+    now = (col(due_type) == "D") & col(interval).isin(1, 2)
     return F.when(now, F.lit(IMMEDIATE)).otherwise(F.lit(ON_CREDIT))
 
 

@@ -72,17 +72,20 @@ def sales_lines(headers: DataFrame, lines: DataFrame, lots: DataFrame, types: Da
     ``headers``: keys, order_type …; ``lines``: keys, line_ref, line_qty, free_item,
     before_vat_price, before_vat_amount, vat_amount, after_vat_amount;
     ``lots``: keys, line_ref, lot, qty; ``types``: order_type, doc_type.
-    A line delivered from several lots gives one row per lot; its amount stays on the line
-    price times the lot quantity.
+    A line delivered from several lots gives one row per lot. ``revenue`` is the lot's signed
+    quantity at the line price; the line's own amounts are repeated on each of its lots.
     """
     keys = list(keys)
     out = equi(headers, lines, keys, "inner")
     out = equi(out, lots.withColumnRenamed("qty", "lot_qty"), [*keys, "line_ref"], "left")
     out = equi(out, types, "order_type", "left")
     sign = type_sign("doc_type")
-    charged = F.when(F.coalesce(F.col("free_item"), F.lit(False)), F.lit(0)).otherwise(sign)
+    free = F.coalesce(F.col("free_item"), F.lit(False))
+    charged = F.when(free, F.lit(0)).otherwise(sign)
     return (out.withColumn("lot", F.coalesce("lot", F.lit("")))
             .withColumn("quantity", sign * F.coalesce("lot_qty", "line_qty"))
+            .withColumn("revenue", F.when(free, F.lit(0)).otherwise(
+                money("quantity") * money("before_vat_price")).cast("decimal(24,4)"))
             .withColumns({c: charged * money(c) for c in
                           ("before_vat_amount", "vat_amount", "after_vat_amount")})
             .drop("lot_qty", "line_qty"))

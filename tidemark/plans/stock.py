@@ -17,7 +17,7 @@ from tidemark.operators.quality import assert_unique
 from tidemark.operators.sets import stack
 
 # One stock measure per warehouse class.
-CLASS_MEASURES = {"HDD": "in_transit", "CN": "branch", "HCM": "city", "MERAP": "central",
+CLASS_MEASURES = {"HDD": "in_transit", "CN": "branch_stock", "HCM": "city", "MERAP": "central",
                   "VIME": "partner", "ECE": "online"}
 IN_TRANSIT_CLASS = "HDD"
 # Factory stock kinds.

@@ -90,9 +90,10 @@ def promote_header(df: DataFrame, marker: Column) -> DataFrame:
     return rename_all(df.filter(~F.coalesce(marker, F.lit(False))), names)
 
 
-def read_payload(spark: SparkSession, path: str, schema: str | StructType, array: str) -> DataFrame:
-    """Landed API pages (one JSON object per file or line) to one row per array element."""
-    pages = spark.read.schema(schema).option("multiLine", "true").json(path)
+def read_payload(spark: SparkSession, path: str, schema: str | StructType, array: str,
+                 whole_files: bool = False) -> DataFrame:
+    """Landed API pages, one JSON object per line (or per file), to one row per array element."""
+    pages = spark.read.schema(schema).option("multiLine", str(whole_files).lower()).json(path)
     return pages.select(F.explode(array).alias("__row")).select("__row.*")
 
 

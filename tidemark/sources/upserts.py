@@ -105,6 +105,18 @@ def copy_new(target: DataFrame, source: DataFrame, mark: str) -> DataFrame:
     return target.unionByName(newer_than(source, target, mark).select(*target.columns))
 
 
+def refresh_open(target: DataFrame, source: DataFrame, keys: Sequence[str], date: str, is_open: Column,
+                 as_of, update: Sequence[str]) -> DataFrame:
+    """Order-list refresh: source rows of the days with open stored rows, and of the as-of
+    day, are merged; columns outside ``update`` keep their first value."""
+    today = F.to_date(date) == F.lit(as_date(as_of))
+    days = target.filter(is_open).select(F.to_date(date).alias("__day")).distinct()
+    marked = source.withColumn("__day", F.to_date(date))
+    hits = equi(marked, days.withColumn("__hit", F.lit(True)), ["__day"], "left")
+    fetched = hits.filter(F.coalesce("__hit", F.lit(False)) | today).select(*source.columns)
+    return merge(target, fetched, keys, update)
+
+
 def latest_version(history: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Current rows of an append-only history."""
     return latest(history, keys, [col(c) for c in order])
