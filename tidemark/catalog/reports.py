@@ -84,16 +84,12 @@ def sales_raw_to_fact(t):
     lots = t.lineitem.filter("l_returnflag <> 'A'").groupBy(*keys, F.col("l_suppkey").cast("string").alias("lot")) \
         .agg(zero_sum(money("l_quantity")).cast("double").alias("qty"))
     types = literal_rows(t.spark, [("IN", "IN"), ("CO", "CM"), ("XX", "NA")], "order_type string, doc_type string")
-    rows = sales.sales_lines(o, lines, lots, types)
-    rows = rows.withColumns({"name": F.when(F.abs("quantity") > 25, "large").otherwise("  "), "long_name": F.lit("plain")})
-    # Neutral documents have quantity 0; their name follows the delivered quantity.
-    size = equi(lines, lots.withColumnRenamed("qty", "lot_qty"), ["branch_id", "order_nbr", "line_ref"], "left") \
-        .select("order_nbr", "line_ref", F.coalesce("lot", F.lit("")).alias("lot"), F.coalesce("lot_qty", "line_qty").alias("size"))
-    rows = equi(rows.drop("name"), size, ["order_nbr", "line_ref", "lot"], "left") \
-        .withColumn("name", F.when(F.col("size") > 25, "large").otherwise("  "))
-    regular, replacement = rows.filter("order_type <> 'CO'"), rows.filter("order_type = 'CO'")
+    lines = lines.withColumn("line_big", F.col("line_qty") > 25)
+    lots = lots.withColumn("lot_big", F.col("qty") > 25)
+    rows = sales.sales_lines(o, lines, lots, types).withColumns({
+        "name": F.when(F.coalesce("lot_big", "line_big"), "large").otherwise("  "), "long_name": F.lit("plain")})
     returned = o.filter("order_type = 'XX' and o_orderpriority = '1-URGENT'")
-    fact = sales.raw_to_fact(regular, replacement, returned, [("name", "long_name")])
+    fact = sales.raw_to_fact(rows, None, returned, [("name", "long_name")])
     return fact.select("order_nbr", "line_ref", "lot", "quantity", "revenue", "before_vat_amount", "name")
 
 
@@ -174,9 +170,9 @@ O = """o AS (SELECT o_orderkey, o_custkey, o_orderstatus AS st, CAST(o_orderdate
         AND date_trunc('month', b.d) = date_trunc('month', a.d) AND b.d <> a.d))"""
 
 
-def _reversed(t):
-    o = _orders(t)
-    return rec.cancelled_and_returned(o.filter("status = 'P'"), o.filter("status <> 'P'"), ["cust_id", "invoice"], "order_date")
+def _flags(t):
+    o = _orders(t).select("order_nbr", "cust_id", "status", "order_date", "invoice")
+    return rec.reversal_flags(o.filter("status <> 'P'"), o.filter("status = 'P'"), ["cust_id", "invoice"], "order_date")
 
 
 def _ledger(t):
@@ -191,20 +187,20 @@ def _ledger(t):
         F.to_date(F.min("l_shipdate")).alias("first_ship"), F.to_date(F.max("l_shipdate")).alias("last_ship"),
         total(flag == "N").alias("n_amt"), total(flag == "R").alias("r_amt"),
         total((flag == "A") & (state == "F")).alias("af_amt"), total((flag == "A") & (state == "O")).alias("ao_amt"))
-    ol = equi(o, lines, "order_nbr", "inner")
-    cols = ["order_nbr", "cust_id", "terms", "order_date", "due_date"]
-    early = F.col("order_date") < F.lit(dt.date(1996, 1, 1))
+    wide = equi(equi(o, lines, "order_nbr", "left"), rec.reversed_orders(_flags(t), ["order_nbr"]), "order_nbr", "left")
+    early, shipped, done = F.col("order_date") < F.lit(dt.date(1996, 1, 1)), F.col("last_ship").isNotNull(), F.col("status") == "F"
+    total_price = F.col("o_totalprice")
     legs = {
-        "opening_amt": rec.ledger_leg(o.filter(early), "opening_amt", "o_totalprice", "order_date", cols),
-        "released_amt": rec.ledger_leg(ol.filter(~early & (F.col("status") != "P")), "released_amt", "o_totalprice",
-                                       codes.later_of("order_date", "first_ship"), cols),
-        "delivered_amt": rec.ledger_leg(ol.filter("status = 'F'"), "delivered_amt", "o_totalprice", "last_ship", cols),
-        "received_amt": rec.ledger_leg(ol.filter("status = 'F'"), "received_amt", "n_amt", "last_ship", cols),
-        "returned_amt": rec.ledger_leg(ol.filter("r_amt > 0"), "returned_amt", "r_amt", "last_ship", cols),
-        "confirmed_amt": rec.ledger_leg(ol, "confirmed_amt", "af_amt", "last_ship", cols),
-        "confirmed_released_amt": rec.ledger_leg(ol, "confirmed_released_amt", "ao_amt", "first_ship", cols)}
-    cancelled, returned = _reversed(t)
-    return rec.receivables_ledger(legs, cancelled, returned, ["order_nbr"])
+        "opening_amt": (early, total_price, F.col("order_date")),
+        "released_amt": (shipped & ~early & (F.col("status") != "P"), total_price, codes.later_of("order_date", "first_ship")),
+        "delivered_amt": (shipped & done, total_price, F.col("last_ship")),
+        "received_amt": (shipped & done, F.col("n_amt"), F.col("last_ship")),
+        "returned_amt": (F.col("r_amt") > 0, F.col("r_amt"), F.col("last_ship")),
+        "confirmed_amt": (shipped, F.col("af_amt"), F.col("last_ship")),
+        "confirmed_released_amt": (shipped, F.col("ao_amt"), F.col("first_ship"))}
+    counted = {name: (cond & rec.leg_counts(F.lit(name), "cancelled", "returned"), value, event)
+               for name, (cond, value, event) in legs.items()}
+    return rec.ledger_from_orders(wide, counted, ["order_nbr", "cust_id", "terms", "order_date", "due_date"])
 
 
 def _leg(name, value, event, source, where, returned):
@@ -239,15 +235,15 @@ LEDGER = f"""{O},
     SELECT order_nbr, cust_id, terms, {ymd('order_date')} AS order_date, {ymd('due_date')} AS due_date, {ymd('event_date')} AS event_date,
            {', '.join(f'CAST({a} AS DOUBLE) AS {a}' for a in rec.AMOUNTS)} FROM led""")
 def receivables_ledger(t):
-    return _ledger(t)
+    return _ledger(t).drop("leg")
 
 
 @query("order_reversals", f"""
     WITH {O} SELECT 'cancelled' AS kind, o_orderkey AS order_nbr FROM canc UNION ALL SELECT 'returned', o_orderkey FROM ret""")
 def order_reversals(t):
-    cancelled, returned = _reversed(t)
-    return stack([cancelled.select(F.lit("cancelled").alias("kind"), "order_nbr"),
-                  returned.select(F.lit("returned").alias("kind"), "order_nbr")])
+    kinds = F.filter(F.array(F.when(F.col("same_day"), "cancelled"), F.when(F.col("other_day"), "returned")),
+                     lambda x: x.isNotNull())
+    return _flags(t).select(F.explode(kinds).alias("kind"), "order_nbr")
 
 
 RULES = [("O1", "TM", "MDS"), ("T2", "TM", "MDS"), ("T3", "CK", "INS"), ("T5", "TM", "INS")]
@@ -559,7 +555,7 @@ def version_history(t):
 def _versions(t):
     o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus",
                         F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"),
-                        F.when(F.col("o_totalprice") > 400000, " ").otherwise(F.year("o_orderdate")).alias("class"))
+                        F.when(F.col("o_totalprice") > 400000, " ").otherwise(F.year("o_orderdate").cast("string")).alias("class"))
     return history.versions(o, None, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate"))
 
 

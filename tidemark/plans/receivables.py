@@ -22,6 +22,8 @@ from tidemark.operators.windows import islands
 # The ledger's amount columns, one per event.
 AMOUNTS = ("opening_amt", "released_amt", "delivered_amt", "received_amt",
            "returned_amt", "confirmed_amt", "confirmed_released_amt")
+# Legs a returned order leaves.
+LEFT_WHEN_RETURNED = ("delivered_amt", "received_amt", "confirmed_amt", "confirmed_released_amt")
 # Terms that run 30 days from the document date.
 MONTH_TERMS = "O1"
 MONTH_DAYS = 30
@@ -84,27 +86,60 @@ def ledger_leg(df: DataFrame, amount: str, value: str | Column, event_date: str
                      *[(F.coalesce(money(value), zero) if a == amount else zero).alias(a) for a in AMOUNTS])
 
 
-def receivables_ledger(legs: Mapping[str, DataFrame], cancelled: DataFrame, returned: DataFrame,
-                       order_keys: Sequence[str], invoice_keys: Sequence[str] | None = None,
+def ledger_from_orders(orders: DataFrame, legs: Mapping[str, tuple[Column, Column, Column]],
+                       columns: Sequence[str]) -> DataFrame:
+    """All events of a frame that holds one row per order, in one pass.
+
+    ``legs`` maps an amount column to (condition, value, event date). An order gives one
+    row per leg whose condition holds, without scanning or joining the order again.
+    """
+    zero = F.lit(0).cast("decimal(18,2)")
+    events = []
+    for name, (condition, value, event) in legs.items():
+        if name not in AMOUNTS:
+            raise ValueError(f"unknown amount column {name}")
+        row = F.struct(F.lit(name).alias("leg"), F.to_date(event).alias("event_date"),
+                       *[(F.coalesce(money(value), zero) if a == name else zero).alias(a) for a in AMOUNTS])
+        events.append(F.when(F.coalesce(condition, F.lit(False)), row))
+    found = F.filter(F.array(*events), lambda e: e.isNotNull())
+    return orders.select(*columns, F.inline(found))
+
+
+def receivables_ledger(legs: Mapping[str, DataFrame], flags: DataFrame, order_keys: Sequence[str],
+                       invoice_keys: Sequence[str] | None = None,
                        stored: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """All legs in one table.
+    """Legs from separate sources in one table, reversed orders removed.
 
-    Each leg is its stored base plus the recent rows. Cancelled orders leave every leg;
-    returned ones leave deliveries and receipts by original order, and confirmations by
-    invoice order.
+    Each leg is its stored base plus the recent rows. ``flags`` is the result of
+    ``reversal_flags``: the reversed orders are matched once for all legs. Invoice keys, when
+    they differ, decide about the confirmations' returned orders.
     """
-    by_order, by_invoice = list(order_keys), list(invoice_keys or order_keys)
-    also_returned = {"delivered_amt": by_order, "received_amt": by_order,
-                     "confirmed_amt": by_invoice, "confirmed_released_amt": by_invoice}
-    out = []
+    rows = []
     for amount, leg in legs.items():
-        if stored and amount in stored:
-            leg = stack([stored[amount], leg])
-        leg = anti(leg, cancelled, by_order)
-        if amount in also_returned:
-            leg = anti(leg, returned, also_returned[amount])
-        out.append(leg)
-    return stack(out)
+        leg = stack([stored[amount], leg]) if stored and amount in stored else leg
+        rows.append(leg.withColumn("leg", F.lit(amount)))
+    by_order = list(order_keys)
+    hit = reversed_orders(flags, by_order)
+    out = equi(stack(rows), hit, by_order, "left")
+    if invoice_keys and list(invoice_keys) != by_order:
+        by_invoice = hit.filter("returned").toDF(*invoice_keys, "__c", "__invoice_returned").drop("__c")
+        out = equi(out, by_invoice, list(invoice_keys), "left")
+        returned = F.when(F.col("leg").startswith("confirmed"), F.col("__invoice_returned")).otherwise(F.col("returned"))
+        out = out.withColumn("returned", returned).drop("__invoice_returned")
+    return out.filter(leg_counts("leg", "cancelled", "returned")).drop("cancelled", "returned")
+
+
+def reversed_orders(flags: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Orders that are cancelled or returned, one row each."""
+    return (flags.filter("same_day or other_day").groupBy(*keys)
+            .agg(F.bool_or("same_day").alias("cancelled"), F.bool_or("other_day").alias("returned")))
+
+
+def leg_counts(leg: str | Column, cancelled: str | Column, returned: str | Column) -> Column:
+    """Does an event count? Cancelled orders leave every leg, returned ones the deliveries,
+    receipts and confirmations."""
+    cancelled, returned = (F.coalesce(col(c), F.lit(False)) for c in (cancelled, returned))
+    return ~cancelled & ~(returned & col(leg).isin(*LEFT_WHEN_RETURNED))
 
 
 def zero_account(leg: DataFrame, adjustments: DataFrame, keys: Sequence[str], account: str,
