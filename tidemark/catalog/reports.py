@@ -16,6 +16,7 @@ from tidemark.plans import activity, demos, history, masters, sales, stock
 from tidemark.plans import receivables as rec
 from tidemark.sources import upserts, writers
 from tidemark.sources.readers import literal_rows
+from tidemark.sources.scratch import written
 
 # ---- sales -----------------------------------------------------------------------------
 
@@ -241,9 +242,8 @@ def receivables_ledger(t):
 @query("order_reversals", f"""
     WITH {O} SELECT 'cancelled' AS kind, o_orderkey AS order_nbr FROM canc UNION ALL SELECT 'returned', o_orderkey FROM ret""")
 def order_reversals(t):
-    kinds = F.filter(F.array(F.when(F.col("same_day"), "cancelled"), F.when(F.col("other_day"), "returned")),
-                     lambda x: x.isNotNull())
-    return _flags(t).select(F.explode(kinds).alias("kind"), "order_nbr")
+    kinds = F.array(F.when(F.col("same_day"), "cancelled"), F.when(F.col("other_day"), "returned"))
+    return _flags(t).select(F.explode(kinds).alias("kind"), "order_nbr").filter("kind is not null")
 
 
 RULES = [("O1", "TM", "MDS"), ("T2", "TM", "MDS"), ("T3", "CK", "INS"), ("T5", "TM", "INS")]
@@ -295,10 +295,10 @@ def _balance(t):
 
 
 BALANCE = f"""{BY_ORDER},
-    dv AS (SELECT l_orderkey, l_shipdate, CASE l_returnflag WHEN 'N' THEN 'Đã giao hàng' WHEN 'R' THEN 'KH Không Nhận' ELSE 'Đã Xác Nhận' END AS s
-           FROM lineitem QUALIFY l_linenumber = max(l_linenumber) OVER (PARTITION BY l_orderkey)),
-    ld AS (SELECT l_orderkey, max(l_shipdate) AS delivered_at, max(s) AS s FROM (
-           SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC) AS k FROM dv) WHERE k = 1 GROUP BY l_orderkey),
+    ld AS (SELECT l_orderkey, l_shipdate AS delivered_at,
+               CASE l_returnflag WHEN 'N' THEN 'Đã giao hàng' WHEN 'R' THEN 'KH Không Nhận' ELSE 'Đã Xác Nhận' END AS s
+           FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_shipdate DESC,
+               CASE l_returnflag WHEN 'R' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) = 1),
     bl AS (SELECT bo.* REPLACE (CASE WHEN pr = '5-LOW' AND returned_amt = 0 THEN released_amt ELSE delivered_amt END AS delivered_amt,
                CASE WHEN pr = '5-LOW' AND has_returned = 0 THEN 1 ELSE has_delivered END AS has_delivered),
            CASE WHEN pr = '5-LOW' THEN 'Giao NVC' WHEN pr = '4-NOT SPECIFIED' THEN 'Đã giao hàng' ELSE ld.s END AS delivery_status,
@@ -334,7 +334,8 @@ def order_balance(t):
 def receivables_due_dates(t):
     branch = t.customer.select(F.col("c_custkey").alias("cust_id"), F.col("c_nationkey").alias("branch"))
     rows = equi(_balance(t), branch, "cust_id", "left")
-    return rec.due_dates(rows, ["branch"], ["order_nbr"], "order_date", "balance", "terms", "O1", "due_date") \
+    rows = written(rows.select("order_nbr", "branch", "order_date", "balance", "terms", "due_date"), "balance")
+    return rec.due_dates(rows, ["branch"], "order_date", "balance", "terms", "O1", "due_date") \
         .select("order_nbr", "due_date")
 
 

@@ -40,9 +40,9 @@ def token(c: str | Column, sep: str, n: int) -> Column:
 
 
 def pieces(c: str | Column, sep: str = ",") -> Column:
-    """All trimmed, non-empty pieces."""
-    cut = F.transform(F.split(col(c), _literal(sep)), lambda x: F.trim(x))
-    return F.filter(cut, lambda x: x != "")
+    """All pieces with the blanks around them removed (an empty text is one empty piece)."""
+    tight = F.regexp_replace(F.trim(col(c)), rf"\s*{_literal(sep)}\s*", sep)
+    return F.split(tight, _literal(sep))
 
 
 def joined_key(*cols: str | Column) -> Column:

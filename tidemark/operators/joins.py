@@ -125,7 +125,7 @@ def membership(left: DataFrame, lists: DataFrame, keys: Keys, item: str, list_co
     keys = names_of(keys)
     rest = [c for c in lists.columns if c not in keys and c != list_col]
     rows = lists.select(*keys, *rest, F.explode(F.array_distinct(pieces(list_col, sep))).alias(item))
-    return equi(left, rows, [*keys, item], "inner")
+    return equi(left, rows.filter(F.col(item) != ""), [*keys, item], "inner")
 
 
 def fill_from(df: DataFrame, other: DataFrame, keys: Keys, columns: Sequence[str],

@@ -22,9 +22,9 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None = None,
 
 
 def list_to_rows(df: DataFrame, list_col: str, name: str, sep: str = ",") -> DataFrame:
-    """One row per piece of a delimited text; empty texts give no row."""
+    """One row per non-empty piece of a delimited text; empty texts give no row."""
     rest = [c for c in df.columns if c != list_col]
-    return df.select(*rest, F.explode(pieces(list_col, sep)).alias(name))
+    return df.select(*rest, F.explode(pieces(list_col, sep)).alias(name)).filter(F.col(name) != "")
 
 
 def list_to_columns(df: DataFrame, array: str | Column, n: int, prefix: str) -> DataFrame:

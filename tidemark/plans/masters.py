@@ -7,13 +7,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemark.functions.codes import staff_role
 from tidemark.functions.dates import clamp_date, date_from_parts, parse_date
 from tidemark.functions.nested import at, struct_fields
 from tidemark.functions.numbers import to_number
 from tidemark.functions.text import address, squash, token
-from tidemark.operators.aggregates import first_values
 from tidemark.operators.joins import alias_dimension, equi, one_per_key
 from tidemark.operators.names import lower_names
 from tidemark.operators.reshape import list_to_rows, melt
@@ -122,13 +122,14 @@ def latest_notes(notes: DataFrame, customer: str, date: str, names: DataFrame) -
 def discount_lines(discounts: DataFrame, keys: Sequence[str], list_col: str, promo: str,
                    values: Sequence[str], n: int = 3) -> DataFrame:
     """Up to n promotions per order line: line lists become rows, repeats go, and the first n
-    (by promotion) become columns."""
-    rows = list_to_rows(discounts, list_col, "line_ref")
-    once = one_per_key(rows.select(*keys, "line_ref", promo, *values), [*keys, "line_ref", promo])
-    packed = once.withColumn("__promo", F.struct(promo, *values))
-    wide = first_values(packed, [*keys, "line_ref"], "__promo", n)
-    columns = [F.col(f"__promo{i}.{c}").alias(f"{c}{i}") for c in (promo, *values) for i in range(1, n + 1)]
-    return wide.select(*keys, "line_ref", *columns)
+    (by promotion) become columns. Of a promotion's differing texts the greatest counts."""
+    line = [*keys, "line_ref"]
+    rows = list_to_rows(discounts.select(*keys, list_col, promo, *values), list_col, "line_ref").distinct()
+    place = F.dense_rank().over(W.partitionBy(*line).orderBy(promo))
+    top = rows.withColumn("__n", place).filter(F.col("__n") <= n)
+    packed = F.struct(promo, *values)
+    wide = top.groupBy(*line).agg(*[F.max(F.when(F.col("__n") == i, packed)).alias(f"__{i}") for i in range(1, n + 1)])
+    return wide.select(*line, *[F.col(f"__{i}.{c}").alias(f"{c}{i}") for c in (promo, *values) for i in range(1, n + 1)])
 
 
 # ---- landed files ----------------------------------------------------------------------

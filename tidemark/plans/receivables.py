@@ -15,7 +15,7 @@ from tidemark.functions.codes import (CARRIER_UNIT, DELIVERED, WITH_CARRIER, del
 from tidemark.functions.dates import NO_DATE, as_date
 from tidemark.functions.numbers import col, flag, money, zero_sum
 from tidemark.operators.aggregates import all_members
-from tidemark.operators.joins import anti, equi, groupwise_max, lookup
+from tidemark.operators.joins import anti, equi, lookup
 from tidemark.operators.sets import stack
 from tidemark.operators.windows import islands
 
@@ -100,9 +100,8 @@ def ledger_from_orders(orders: DataFrame, legs: Mapping[str, tuple[Column, Colum
             raise ValueError(f"unknown amount column {name}")
         row = F.struct(F.lit(name).alias("leg"), F.to_date(event).alias("event_date"),
                        *[(F.coalesce(money(value), zero) if a == name else zero).alias(a) for a in AMOUNTS])
-        events.append(F.when(F.coalesce(condition, F.lit(False)), row))
-    found = F.filter(F.array(*events), lambda e: e.isNotNull())
-    return orders.select(*columns, F.inline(found))
+        events.append(F.when(condition, row))
+    return orders.select(*columns, F.inline(F.array(*events))).filter(F.col("leg").isNotNull())
 
 
 def receivables_ledger(legs: Mapping[str, DataFrame], flags: DataFrame, order_keys: Sequence[str],
@@ -208,26 +207,34 @@ def rolling_due_date(orders: DataFrame, part: Sequence[str], date: str, terms_da
     them share one shuffle. Orders get the day's result by an equi join.
     """
     part = list(part)
+    due = rolling_days(orders, part, date, terms_days, chunk, max_gap_days, name)
+    return equi(orders.withColumn("__day", F.to_date(date)), due, [*part, "__day"], "left",
+                null_safe=True).drop("__day")
+
+
+def rolling_days(orders: DataFrame, part: Sequence[str], date: str, terms_days: int, chunk: int,
+                 max_gap_days: int, name: str) -> DataFrame:
+    """The due date of each customer day (columns: part, ``__day``, name)."""
     days = orders.select(*part, F.to_date(date).alias("__day")).distinct()
     chained = islands(days, part, "__day", max_gap_days, "__island", "__n")
     starts = F.when((F.col("__n") - 1) % chunk == 0, F.col("__day"))
     ahead = W.partitionBy(*part).orderBy("__day").rowsBetween(1, W.unboundedFollowing)
-    following = chained.withColumn("__next", F.min(starts).over(ahead))
-    due = following.select(*part, "__day",
-                           F.least(F.date_add("__day", terms_days), F.col("__next")).alias(name))
-    return equi(orders.withColumn("__day", F.to_date(date)), due, [*part, "__day"], "left",
-                null_safe=True).drop("__day")
+    return chained.select(*part, "__day",
+                          F.least(F.date_add("__day", terms_days), F.min(starts).over(ahead)).alias(name))
 
 
-def due_dates(orders: DataFrame, part: Sequence[str], order_keys: Sequence[str], date: str, balance: str,
-              terms: str, rolling_terms: str, due: str) -> DataFrame:
-    """Rolling due date for open orders under one terms class; others keep their own."""
-    candidates = (orders.filter(F.col(terms) == rolling_terms)
-                  .groupBy(*part, *order_keys, date).agg(zero_sum(money(balance)).alias("__open"))
-                  .filter("__open > 0").drop("__open"))
-    rolled = rolling_due_date(candidates, part, date, name="__rolled")
-    out = equi(orders, rolled, [*part, *order_keys, date], "left")
-    return out.withColumn(due, F.coalesce("__rolled", F.col(due))).drop("__rolled")
+def due_dates(orders: DataFrame, part: Sequence[str], date: str, balance: str, terms: str,
+              rolling_terms: str, due: str) -> DataFrame:
+    """Rolling due date for open orders under one terms class; others keep their own.
+
+    One row per order. The frame is used twice (for the customer days and for the orders),
+    so a caller with a long plan behind it should hand in a written table.
+    """
+    candidate = (F.col(terms) == rolling_terms) & (F.col(balance) > 0)
+    days = rolling_days(orders.filter(candidate), part, date, MONTH_DAYS, 2, 1, "__rolled")
+    marked = orders.withColumn("__day", F.when(candidate, F.to_date(date)))
+    out = equi(marked, days, [*part, "__day"], "left")
+    return out.withColumn(due, F.coalesce("__rolled", F.col(due))).drop("__rolled", "__day")
 
 
 # ---- owners ----------------------------------------------------------------------------
@@ -264,10 +271,11 @@ def owner_class(sub_channel: str, payment: str, terms: str) -> Column:
 
 def last_delivery(deliveries: DataFrame, order_keys: Sequence[str], sequence: str, status: str,
                   updated: str) -> DataFrame:
-    """Label and time of each order's last delivery step (one row per order)."""
-    top = groupwise_max(deliveries, list(order_keys), sequence)
-    row = F.max(F.struct(F.col(updated).alias("delivery_time"), delivery_status(status).alias("delivery_status")))
-    return top.groupBy(*order_keys).agg(row.alias("__row")).select(*order_keys, "__row.*")
+    """Label and time of each order's last delivery step (the latest one among equal steps)."""
+    step = F.struct(F.col(sequence).alias("n"), F.col(updated).alias("at"), F.col(status).alias("status"))
+    last = deliveries.groupBy(*order_keys).agg(F.max(step).alias("__last"))
+    return last.select(*order_keys, F.col("__last.at").alias("delivery_time"),
+                       delivery_status("__last.status").alias("delivery_status"))
 
 
 def order_balance(by_order: DataFrame, delivery: DataFrame, order_keys: Sequence[str],
@@ -277,24 +285,21 @@ def order_balance(by_order: DataFrame, delivery: DataFrame, order_keys: Sequence
     A carrier's orders count as delivered unless something came back, and carry their own
     status; orders of the opening balance without a unit count as delivered on their day.
     """
-    carrier = F.col(unit) == CARRIER_UNIT
-    out = equi(by_order, delivery, list(order_keys), "left")
-    out = out.withColumn("delivered_amt", F.when(carrier & (F.col("returned_amt") == 0), F.col("released_amt"))
-                         .otherwise(F.col("delivered_amt")))
-    out = out.withColumn("has_delivered", F.when(carrier & (F.col("has_returned") == 0), F.lit(1))
-                         .otherwise(F.col("has_delivered")))
+    carrier = F.coalesce(F.col(unit) == CARRIER_UNIT, F.lit(False))
     old = F.col(unit).isNull() & (F.col(order_date) < F.lit(OPENING_BEFORE))
-    when = F.col(order_date).cast("timestamp_ntz")
-    out = out.withColumn("delivery_status", F.when(carrier, F.lit(WITH_CARRIER)).when(old, F.lit(DELIVERED))
-                         .otherwise(F.col("delivery_status")))
-    out = out.withColumn("delivery_time", F.when(F.coalesce(carrier, F.lit(False)) | old, when)
-                         .otherwise(F.coalesce("delivery_time", F.lit(NO_DATE).cast("timestamp_ntz"))))
-    balance = (F.col("opening_amt") + F.col("released_amt") - F.col("returned_amt")
-               - F.col("confirmed_released_amt"))
-    return (out.withColumn("balance", balance)
-            .withColumn("is_open", flag(F.col("balance")))
-            .withColumn("undelivered", F.col("has_released") - F.col("has_delivered") - F.col("has_returned"))
-            .withColumn("undelivered_amt", F.col("released_amt") - F.col("delivered_amt") - F.col("returned_amt")))
+    on_order_day = F.col(order_date).cast("timestamp_ntz")
+    out = equi(by_order, delivery, list(order_keys), "left").withColumns({
+        "delivered_amt": F.when(carrier & (F.col("returned_amt") == 0), F.col("released_amt")).otherwise(F.col("delivered_amt")),
+        "has_delivered": F.when(carrier & (F.col("has_returned") == 0), F.lit(1)).otherwise(F.col("has_delivered")),
+        "delivery_status": F.when(carrier, F.lit(WITH_CARRIER)).when(old, F.lit(DELIVERED)).otherwise(F.col("delivery_status")),
+        "delivery_time": F.when(carrier | old, on_order_day)
+        .otherwise(F.coalesce("delivery_time", F.lit(NO_DATE).cast("timestamp_ntz"))),
+        "balance": (F.col("opening_amt") + F.col("released_amt") - F.col("returned_amt")
+                    - F.col("confirmed_released_amt"))})
+    return out.withColumns({
+        "is_open": flag("balance"),
+        "undelivered": F.col("has_released") - F.col("has_delivered") - F.col("has_returned"),
+        "undelivered_amt": F.col("released_amt") - F.col("delivered_amt") - F.col("returned_amt")})
 
 
 # ---- overdue ---------------------------------------------------------------------------
