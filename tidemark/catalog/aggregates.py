@@ -6,7 +6,7 @@ from tidemark.catalog.base import dec, query, ymd
 from tidemark.functions.dates import month_key, month_start
 from tidemark.functions.numbers import money, signed, zero_sum
 from tidemark.operators import aggregates as A
-from tidemark.operators.joins import equi
+from tidemark.operators.joins import equi, facts
 
 
 @query("agg_signed_sum", f"""
@@ -57,7 +57,7 @@ def agg_all_members(t):
 def agg_two_level(t):
     per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.round(zero_sum(money("l_extendedprice")), 0).alias("v"))
-    return (equi(per_order, t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", "inner")
+    return (facts(per_order, t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
             .groupBy("o_custkey").agg(F.sum("v").alias("value"), F.count(F.lit(1)).alias("orders")))
 
 

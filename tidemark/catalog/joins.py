@@ -19,6 +19,11 @@ def revenue():
     return money("l_extendedprice") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
 
 
+def lines_of(t):
+    """Order lines under the order's key name."""
+    return t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
+
+
 @query("join_inner_star", f"""
     SELECT r_name, n_name, count(*) AS lines, CAST(sum({REVENUE}) AS DOUBLE) AS revenue
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -27,7 +32,7 @@ def join_inner_star(t):
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     customers = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return (t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("r_name", "n_name")
+    return (J.facts(lines_of(t), orders, "o_orderkey").groupBy("r_name", "n_name")
             .agg(F.count(F.lit(1)).alias("lines"), F.sum(revenue()).alias("revenue")))
 
 
@@ -131,8 +136,7 @@ def join_multi_alias(t):
     customers = J.alias_dimension(t.customer, t.nation, "c_nationkey", "n_nationkey", "customer_", ["n_name"])
     suppliers = J.alias_dimension(t.supplier, t.nation, "s_nationkey", "n_nationkey", "supplier_", ["n_name"])
     orders = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = (t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-             .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")))
+    lines = J.facts(lines_of(t), orders, "o_orderkey").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     return (lines.groupBy(F.col("customer_n_name").alias("customer_nation"),
                           F.col("supplier_n_name").alias("supplier_nation"))
             .agg(F.count(F.lit(1)).alias("lines"), F.sum(revenue()).alias("revenue")))

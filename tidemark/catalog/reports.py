@@ -9,7 +9,7 @@ from tidemark.functions import codes
 from tidemark.functions.dates import month_start
 from tidemark.functions.numbers import money, signed, zero_sum
 from tidemark.functions.text import pieces
-from tidemark.operators.joins import equi
+from tidemark.operators.joins import equi, facts
 from tidemark.operators.sets import stack
 from tidemark.operators.windows import earliest
 from tidemark.plans import activity, demos, history, masters, sales, stock
@@ -43,7 +43,7 @@ def sales_fact(t):
     customers = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")) \
         .select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "r_name")
     orders = equi(t.orders, customers, "o_custkey", "inner")
-    rows = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    rows = facts(t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"), orders, "o_orderkey").select(
         F.col("l_partkey").alias("product"), F.col("r_name").alias("region"), "c_mktsegment", "o_orderdate",
         F.when(F.col("l_returnflag") == "A", "").otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")).alias("delivered"),
         codes.label("o_orderstatus", PAY).alias("payment"),
@@ -188,7 +188,7 @@ def _ledger(t):
         F.to_date(F.min("l_shipdate")).alias("first_ship"), F.to_date(F.max("l_shipdate")).alias("last_ship"),
         total(flag == "N").alias("n_amt"), total(flag == "R").alias("r_amt"),
         total((flag == "A") & (state == "F")).alias("af_amt"), total((flag == "A") & (state == "O")).alias("ao_amt"))
-    wide = equi(equi(o, lines, "order_nbr", "left"), rec.reversed_orders(_flags(t), ["order_nbr"]), "order_nbr", "left")
+    wide = equi(facts(o, lines, "order_nbr", "left"), rec.reversed_orders(_flags(t), ["order_nbr"]), "order_nbr", "left")
     early, shipped, done = F.col("order_date") < F.lit(dt.date(1996, 1, 1)), F.col("last_ship").isNotNull(), F.col("status") == "F"
     total_price = F.col("o_totalprice")
     legs = {
@@ -663,11 +663,12 @@ def checkin_trace(t):
     FROM l LEFT JOIN h ON h.l_orderkey = l.l_orderkey""")
 def delivery_state(t):
     rows = t.lineitem.select(F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").alias("sequence"),
-                             F.col("l_returnflag").alias("status"), "l_shipdate")
-    rows = equi(rows, t.orders.select(F.col("o_orderkey").alias("order_nbr"), F.col("o_orderdate").alias("created")), "order_nbr", "inner")
-    shipped = rows.filter("status = 'N'").select("order_nbr", F.col("l_shipdate").alias("ship_date"))
-    return activity.delivery_state(rows.drop("l_shipdate"), shipped, ["order_nbr"]) \
-        .select("order_nbr", "sequence", "status", F.to_date("ship_date").alias("ship_date"))
+                             F.col("l_returnflag").alias("status"), F.col("l_shipdate").alias("ship_date"))
+    steps = rows.drop("ship_date").withColumn("created", F.lit(None).cast("timestamp_ntz"))
+    state = activity.delivery_state(steps, rows.filter("status = 'N'"), ["order_nbr"])
+    # Orders that never shipped show their own date.
+    out = facts(state, t.orders.select(F.col("o_orderkey").alias("order_nbr"), "o_orderdate"), "order_nbr")
+    return out.select("order_nbr", "sequence", "status", F.to_date(F.coalesce("ship_date", "o_orderdate")).alias("ship_date"))
 
 
 @query("planned_routes", f"""

@@ -43,11 +43,10 @@ def win_first_and_group_value(t):
 def win_running(t):
     keys, order, bucket = ["o_custkey"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate")
     o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", money("o_totalprice").alias("price"))
-    out = Win.numbered(o, keys, order, "position", bucket)
-    out = Win.running_sum(out, keys, order, "price", "running", bucket)
-    out = Win.neighbour(out, keys, order, ["o_orderdate"], bucket)
+    out = Win.ordered(o, keys, order, bucket, sums={"position": F.lit(1), "running": "price"},
+                      previous={"previous_date": "o_orderdate"})
     return out.select("o_orderkey", "position", "running",
-                      F.datediff("o_orderdate", "previous_o_orderdate").alias("gap_days"))
+                      F.datediff("o_orderdate", "previous_date").alias("gap_days"))
 
 
 @query("win_islands", f"""

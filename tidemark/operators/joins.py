@@ -41,6 +41,15 @@ def equi(left: DataFrame, right: DataFrame, keys: Keys, how: str = "left",
     return left.join(renamed, cond, how).drop(*right_keys.values())
 
 
+def facts(left: DataFrame, right: DataFrame, keys: Keys, how: str = "inner") -> DataFrame:
+    """Equi join of two tables that both grow with the data (lines and their orders).
+
+    Neither side is ever broadcast, however small a test table is: both are shuffled on the
+    key and a hot key's partition is split at run time.
+    """
+    return left.hint("merge").join(right, names_of(keys), how)
+
+
 def semi(df: DataFrame, other: DataFrame, keys: Keys, null_safe: bool = False) -> DataFrame:
     """Rows whose key occurs in the other frame."""
     keys = names_of(keys)
@@ -140,13 +149,19 @@ def fill_from(df: DataFrame, other: DataFrame, keys: Keys, columns: Sequence[str
             .drop(*[f"__{c}" for c in columns]))
 
 
+def span_of(df: DataFrame, date: str) -> Column:
+    """First and last day of a column as one scalar subquery (fields ``lo`` and ``hi``)."""
+    return df.agg(F.struct(F.to_date(F.min(date)).alias("lo"), F.to_date(F.max(date)).alias("hi")).alias("s")).scalar()
+
+
 def range_join(left: DataFrame, right: DataFrame, keys: Keys, point: str, start: str, end: str,
-               how: str = "inner", bucket_days: int = 30) -> DataFrame:
+               how: str = "inner", bucket_days: int = 30, span: Column | None = None) -> DataFrame:
     """Equi keys plus ``point BETWEEN start AND end`` (days, both ends included).
 
     Both sides get a bucket number, so the join is a hash join on (keys, bucket) and a hot
     key is spread over its buckets; the interval test is the residual. An interval is
-    first cut to the span of the points, so an open end costs no extra buckets.
+    first cut to the span of the points, so an open end costs no extra buckets; pass
+    ``span`` (see ``span_of``) when the points are known to lie in that of a cheaper frame.
     ``how="left"`` keeps an unmatched left row once, with nulls.
     """
     keys = names_of(keys)
@@ -154,9 +169,9 @@ def range_join(left: DataFrame, right: DataFrame, keys: Keys, point: str, start:
     def bucket(c: Column) -> Column:
         return F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / F.lit(bucket_days))
 
-    span = left.agg(F.to_date(F.min(point)).alias("lo"), F.to_date(F.max(point)).alias("hi"))
-    low = F.greatest(F.to_date(start), span.select("lo").scalar())
-    high = F.least(F.to_date(end), span.select("hi").scalar())
+    span = span_of(left, point) if span is None else span
+    low = F.greatest(F.to_date(start), span.getField("lo"))
+    high = F.least(F.to_date(end), span.getField("hi"))
     cut = (right.withColumns({"__low": low, "__high": high}).filter("__low <= __high")
            .withColumn("__bucket", F.explode(F.sequence(bucket(F.col("__low")), bucket(F.col("__high")))))
            .drop("__low", "__high").withColumnsRenamed({k: f"__right_{k}" for k in keys}))

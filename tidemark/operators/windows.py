@@ -10,7 +10,7 @@ total; callers add a unique tie-break.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,44 +51,68 @@ def group_value(df: DataFrame, keys: Sequence[str], agg: Column, name: str) -> D
     return equi(df, df.groupBy(*keys).agg(agg.alias(name)), list(keys), "left", null_safe=True)
 
 
+def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], bucket: str | Column,
+            sums: Mapping[str, str | Column] | None = None, previous: Mapping[str, str] | None = None,
+            following: Mapping[str, str] | None = None) -> DataFrame:
+    """Running sums and neighbouring values along a total order, all in one pass.
+
+    ``sums`` maps a new column to the value summed from the first row of the key up to this
+    one; ``previous`` / ``following`` map a new column to the column of the row before / after.
+    One partial aggregation gives a summary per (key, bucket), a window over the summaries
+    chains the buckets, and one join and one window per (key, bucket) finish the rows.
+    """
+    sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
+    values = {f"__v{i}": col(v) for i, v in enumerate(sums.values())}
+    work = df.withColumns({"__bucket": col(bucket), **values})
+    place = F.struct(*[col(c) for c in order])
+    before_row = F.struct(*previous.values()) if previous else None
+    after_row = F.struct(*following.values()) if following else None
+    aggs = [F.sum(v).alias(v) for v in values]
+    if previous:
+        aggs.append(F.max_by(before_row, place).alias("__last"))
+    if following:
+        aggs.append(F.min_by(after_row, place).alias("__first"))
+    summary = work.groupBy(*keys, "__bucket").agg(*aggs)
+    across = W.partitionBy(*keys).orderBy("__bucket")
+    so_far = across.rowsBetween(W.unboundedPreceding, -1)
+    carried = [F.coalesce(F.sum(v).over(so_far), F.lit(0)).alias(f"__carried{v}") for v in values]
+    if previous:
+        carried.append(F.lag("__last").over(across).alias("__before"))
+    if following:
+        carried.append(F.lead("__first").over(across).alias("__after"))
+    out = equi(work, summary.select(*keys, "__bucket", *carried), [*keys, "__bucket"], "inner", null_safe=True)
+
+    inside = W.partitionBy(*keys, "__bucket").orderBy(*_order(order))
+    running = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    new = {name: F.col(f"__carried{v}") + F.coalesce(F.sum(v).over(running), F.lit(0)) for name, v in zip(sums, values)}
+    if previous:
+        new["__previous"] = F.coalesce(F.lag(before_row).over(inside), F.col("__before"))
+    if following:
+        new["__following"] = F.coalesce(F.lead(after_row).over(inside), F.col("__after"))
+    out = out.withColumns(new)
+    picked = [F.col(f"__previous.{c}").alias(name) for name, c in previous.items()]
+    picked += [F.col(f"__following.{c}").alias(name) for name, c in following.items()]
+    return out.select(*df.columns, *sums, *picked)
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 value: str | Column, name: str, bucket: str | Column) -> DataFrame:
     """Sum of the value from the first row of the key up to this one."""
-    work = df.withColumns({"__bucket": col(bucket), "__value": col(value)})
-    per_bucket = work.groupBy(*keys, "__bucket").agg(F.sum("__value").alias("__sum"))
-    before = W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    carried = per_bucket.select(*keys, "__bucket",
-                                F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__carried"))
-    inside = (W.partitionBy(*keys, "__bucket").orderBy(*_order(order))
-              .rowsBetween(W.unboundedPreceding, W.currentRow))
-    out = equi(work, carried, [*keys, "__bucket"], "inner", null_safe=True)
-    total = F.col("__carried") + F.coalesce(F.sum("__value").over(inside), F.lit(0))
-    return out.withColumn(name, total).drop("__bucket", "__value", "__carried")
+    return ordered(df, keys, order, bucket, sums={name: value})
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str,
              bucket: str | Column) -> DataFrame:
     """1-based position within the key."""
-    return running_sum(df, keys, order, F.lit(1), name, bucket)
+    return ordered(df, keys, order, bucket, sums={name: F.lit(1)})
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
               columns: Sequence[str], bucket: str | Column, prefix: str = "previous_",
               forward: bool = False) -> DataFrame:
     """Columns of the row before (or after) within the key; null at the end."""
-    work = df.withColumns({"__bucket": col(bucket), "__order": F.struct(*[col(c) for c in order])})
-    row = F.struct(*columns)
-    edge = F.min_by(row, "__order") if forward else F.max_by(row, "__order")
-    edges = work.groupBy(*keys, "__bucket").agg(edge.alias("__edge"))
-    shift = F.lead if forward else F.lag
-    across = W.partitionBy(*keys).orderBy("__bucket")
-    linked = edges.select(*keys, "__bucket", shift("__edge").over(across).alias("__linked"))
-    inside = W.partitionBy(*keys, "__bucket").orderBy(*_order(order))
-    out = equi(work, linked, [*keys, "__bucket"], "inner", null_safe=True)
-    found = F.coalesce(shift(row).over(inside), F.col("__linked"))
-    out = out.withColumn("__found", found)
-    return (out.withColumns({prefix + c: F.col(f"__found.{c}") for c in columns})
-            .drop("__bucket", "__order", "__linked", "__found"))
+    wanted = {prefix + c: c for c in columns}
+    return ordered(df, keys, order, bucket, **({"following": wanted} if forward else {"previous": wanted}))
 
 
 def islands(days: DataFrame, keys: Sequence[str], day: str, max_gap_days: int = 1,

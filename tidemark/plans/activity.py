@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date, minutes_between, month_start, on_days
 from tidemark.functions.numbers import percent
-from tidemark.operators.joins import equi, groupwise_max, range_join
+from tidemark.operators.joins import equi, groupwise_max, range_join, span_of
 
 # Days before the end of a licence that count as expiring.
 EXPIRING_DAYS = 30
@@ -88,8 +88,9 @@ def planned_routes(visits: DataFrame, staff_terms: DataFrame, validity: DataFram
     ``visits``: route, customer, freq, visit_date; ``staff_terms``: route, staff, from_date,
     to_date; ``validity``: route, customer, freq, start_date, end_date.
     """
-    out = range_join(visits, staff_terms, ["route"], "visit_date", "from_date", "to_date")
-    out = range_join(out, validity, ["route", "customer", "freq"], "visit_date", "start_date", "end_date")
+    span = span_of(visits, "visit_date")
+    out = range_join(visits, staff_terms, ["route"], "visit_date", "from_date", "to_date", span=span)
+    out = range_join(out, validity, ["route", "customer", "freq"], "visit_date", "start_date", "end_date", span=span)
     return out.select("route", "customer", "freq", "visit_date", "staff").distinct()
 
 

@@ -13,7 +13,7 @@ from tidemark.functions.dates import (NO_DATE, as_date, calendar, month_name3, m
                                       parse_date, workdays)
 from tidemark.functions.numbers import by_unit, money, zero_sum
 from tidemark.operators.filters import blank
-from tidemark.operators.joins import anti, equi, lookup, membership
+from tidemark.operators.joins import anti, equi, facts, lookup, membership
 from tidemark.operators.quality import assert_unique
 from tidemark.operators.sets import stack
 from tidemark.sources.upserts import window_replace
@@ -76,8 +76,8 @@ def sales_lines(headers: DataFrame, lines: DataFrame, lots: DataFrame, types: Da
     quantity at the line price; the line's own amounts are repeated on each of its lots.
     """
     keys = list(keys)
-    out = equi(headers, lines, keys, "inner")
-    out = equi(out, lots.withColumnRenamed("qty", "lot_qty"), [*keys, "line_ref"], "left")
+    out = facts(headers, lines, keys)
+    out = facts(out, lots.withColumnRenamed("qty", "lot_qty"), [*keys, "line_ref"], "left")
     out = equi(out, types, "order_type", "left")
     sign = type_sign("doc_type")
     free = F.coalesce(F.col("free_item"), F.lit(False))

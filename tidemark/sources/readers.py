@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tidemark.functions.dates import on_days
@@ -106,8 +108,12 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal table (settings, maps)."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small literal table (settings, maps), of known size for the join planner."""
+    fields = StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else [() for _ in fields]
+    arrow = pa.table([pa.array(list(c), t.type) for c, t in zip(columns, to_arrow_schema(fields))],
+                     names=fields.names)
+    return spark.createDataFrame(arrow, fields)
 
 
 def day_extract(table: DataFrame, date: str, on) -> DataFrame:
