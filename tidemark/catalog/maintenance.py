@@ -131,6 +131,20 @@ def hwm_copy(t):
     return upserts.copy_new(stored, e, "ts")
 
 
+@query("daily_income", f"""
+    SELECT o_orderkey, {ymd('o_orderdate')} AS o_orderdate,
+           CAST(CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE 0 END AS BIGINT) AS amount FROM orders""")
+def daily_income(t):
+    """Stored amounts are 0; the day's list brings them as text with thousands commas."""
+    stored = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), F.lit(0).cast("bigint").alias("amount"))
+    sheet = t.orders.filter("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("Order"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("Date"),
+        F.concat(F.format_number(F.floor("o_totalprice"), 0), F.lit(" ")).alias("Amount"))
+    spec = LoadSpec(rename={"order": "o_orderkey", "date": "o_orderdate"}, dates={"o_orderdate": "dd/MM/yyyy"},
+                    numbers={"amount": "bigint"}, required=["amount"])
+    return upserts.upsert(stored, load_landed(sheet, spec), ["o_orderkey"])
+
+
 # ---- mirrors ---------------------------------------------------------------------------
 
 AS_OF = "2001-06-15"
@@ -162,6 +176,33 @@ def sync_table(t):
     return shown(stack([df.withColumn("kind", F.lit(kind)) for kind, df in runs.items()]))
 
 
+@query("sync_mirrors", f"""
+    WITH s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, {UPDATED} AS updated FROM orders),
+         {TGT}, ch AS (SELECT * EXCLUDE (updated) FROM s WHERE updated >= DATE '2001-06-15')
+    SELECT 'sales_order' AS kind, {SHOW} FROM (SELECT * FROM ch UNION ALL SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ch))
+    WHERE o_orderdate < DATE '2001-06-15' - 15 OR o_orderkey IN (SELECT o_orderkey FROM s WHERE o_orderdate >= DATE '2001-06-15' - 15)
+    UNION ALL SELECT 'delivery_history_done', {SHOW} FROM (SELECT * FROM ch WHERE o_orderstatus = 'F'
+        UNION ALL SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ch WHERE o_orderstatus = 'F'))
+    WHERE o_orderdate < DATE '2001-06-15' - 45 OR o_orderkey IN
+        (SELECT o_orderkey FROM s WHERE o_orderdate >= DATE '2001-06-15' - 45 AND o_orderstatus = 'F')""")
+def sync_mirrors(t):
+    """Two of the named mirrors: a short look-back, and one that takes one status only."""
+    updated = F.expr("case when o_orderpriority = '1-URGENT' then o_orderdate + interval 40 day "
+                     "else o_orderdate + interval 1 day end")
+    one = F.lit("MR")
+    names = {"o_orderkey": "ordernbr", "o_orderstatus": "status", "o_orderdate": "created"}
+    s = t.orders.withColumn("updated", updated).select(*COLS, "updated").withColumnsRenamed(names)
+    s = s.withColumns({"branchid": one, "batnbr": one, "shiptime": one,
+                       "status": F.when(F.col("status") == "F", "C").otherwise(F.col("status"))})
+    c = target_of(t).withColumnsRenamed(names)
+    c = c.withColumns({"branchid": one, "batnbr": one, "shiptime": one,
+                       "status": F.when(F.col("status") == "F", "C").otherwise(F.col("status"))})
+    runs = [mirror.sync_mirror(name, s, c, "created", "updated", "2001-06-15").withColumn("kind", F.lit(name))
+            for name in ("sales_order", "delivery_history_done")]
+    out = stack(runs).withColumn("status", F.when(F.col("status") == "C", "F").otherwise(F.col("status")))
+    return shown(out.withColumnsRenamed({v: k for k, v in names.items()}).select("kind", *COLS))
+
+
 @query("sync_lookback", f"""
     SELECT 'working' AS run, event_id, CASE WHEN ts < DATE '2024-01-20' THEN 0.0 ELSE value END AS value FROM events
     UNION ALL SELECT 'night', event_id, CASE WHEN ts < DATE '2024-01-10' THEN 0.0 ELSE value END FROM events""")

@@ -603,9 +603,9 @@ def snapshot_soft_delete(t):
 # ---- activity --------------------------------------------------------------------------
 
 @query("visit_compliance", f"""
-    WITH e AS (SELECT event_id, user_id, user_id % 10 AS staff, event_type, date_trunc('month', ts)::DATE AS m FROM events),
+    WITH e AS (SELECT event_id, user_id, user_id % 10 AS staff, value, event_type, date_trunc('month', ts)::DATE AS m FROM events),
          p AS (SELECT DISTINCT staff, m, user_id FROM e WHERE event_type = 'view'),
-         v AS (SELECT staff, m, user_id, count(*) FILTER (event_type = 'click' AND event_id % 7 = user_id % 7) AS checks, count(*) FILTER (event_type = 'purchase') AS ords
+         v AS (SELECT staff, m, user_id, count(*) FILTER (event_type = 'click' AND value > 100) AS checks, count(*) FILTER (event_type = 'purchase') AS ords
                FROM e WHERE event_type IN ('click', 'purchase') GROUP BY ALL),
          lic AS (SELECT c_custkey, DATE '2024-01-01' + CAST(floor(c_acctbal / 100) AS INTEGER) AS fin FROM customer),
          n AS (SELECT staff, m, count(*) AS unvisited FROM v WHERE checks = 0 GROUP BY ALL),
@@ -617,9 +617,9 @@ def snapshot_soft_delete(t):
            any_value(coalesce(checkins, 0)) AS checkins, any_value(coalesce(round(100.0::DOUBLE * orders / nullif(checkins, 0), 0), 0)) AS order_ratio
     FROM p LEFT JOIN n USING (staff, m) LEFT JOIN g USING (staff, m) LEFT JOIN o USING (staff, m) GROUP BY p.staff, p.m""")
 def visit_compliance(t):
-    e = t.events.select("event_id", "event_type", F.col("user_id").alias("customer"), (F.col("user_id") % 10).alias("staff"),
+    e = t.events.select("event_id", "event_type", "value", F.col("user_id").alias("customer"), (F.col("user_id") % 10).alias("staff"),
                         F.col("ts").alias("visit_date"))
-    real = (F.col("event_type") == "click") & (F.col("event_id") % 7 == F.col("customer") % 7)
+    real = (F.col("event_type") == "click") & (F.col("value") > 100)
     visits = e.filter("event_type in ('click', 'purchase')").withColumns({
         "checkin_id": F.when(real, F.col("event_id")),
         "order_id": F.when(F.col("event_type") == "purchase", F.col("event_id"))})
@@ -671,6 +671,15 @@ def delivery_state(t):
     return out.select("order_nbr", "sequence", "status", F.to_date(F.coalesce("ship_date", "o_orderdate")).alias("ship_date"))
 
 
+@query("visit_notes", """
+    SELECT event_id, CASE event_type WHEN 'view' THEN 'seen' WHEN 'click' THEN 'opened' ELSE event_type END AS type_label,
+           CASE WHEN event_type <> 'error' THEN 'https://images.example.com/' || event_id || '.jpg' END AS image FROM events""")
+def visit_notes(t):
+    notes = t.events.select("event_id", F.col("event_type").alias("type"), F.when(
+        F.col("event_type") == "error", " ").otherwise(F.concat(F.col("event_id").cast("string"), F.lit(".jpg"))).alias("image"))
+    return activity.visit_notes(notes, {"view": "seen", "click": "opened"}, "https://images.example.com/").drop("type")
+
+
 @query("planned_routes", f"""
     WITH v AS (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type IN ('view', 'click')),
          s AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS a, CASE WHEN day(ts) = 1 THEN CAST(ts AS DATE) + 9 ELSE DATE '9999-12-31' END AS z
@@ -872,6 +881,17 @@ def ticket_flatten(t):
     return masters.ticket_rows(tickets, {"assignee": ["id", "name"]}, {"channel": 0, "reason": 1})
 
 
+@query("contact_flatten", """
+    SELECT user_id AS id, CAST(json_extract(props, '$.k') AS VARCHAR) AS phone_no, event_type AS channel, count(*) AS contacts
+    FROM events GROUP BY ALL""")
+def contact_flatten(t):
+    fields = F.array(F.named_struct(F.lit("value"), F.get_json_object("props", "$.k")),
+                     F.named_struct(F.lit("value"), F.col("event_type")))
+    contacts = t.events.select(F.col("user_id").alias("id"), fields.alias("custom_fields"))
+    flat = masters.ticket_rows(contacts, {}, {"phone_no": 0, "channel": 1, "missing": 2}).filter("missing is null")
+    return flat.groupBy("id", "phone_no", "channel").agg(F.count(F.lit(1)).alias("contacts"))
+
+
 @query("marketplace_items", """
     SELECT p_partkey AS shopid, CAST(p_partkey AS VARCHAR) AS item_id, p_brand AS sku, p_retailprice AS price,
            p_retailprice AS price_min, p_retailprice AS price_max, CAST(p_size AS DOUBLE) AS rating FROM part""")

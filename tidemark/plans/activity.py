@@ -8,8 +8,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.codes import label
 from tidemark.functions.dates import as_date, minutes_between, month_start, on_days
 from tidemark.functions.numbers import percent
+from tidemark.functions.text import none_if_blank
 from tidemark.operators.joins import equi, groupwise_max, range_join, span_of
 
 # Days before the end of a licence that count as expiring.
@@ -82,6 +84,16 @@ def checkin_trace(trace: DataFrame, keys: Sequence[str] = ("branch_id", "staff",
     return equi(visits, events, list(keys), "left")
 
 
+def visit_notes(notes: DataFrame, labels: Mapping[str, str], image_prefix: str) -> DataFrame:
+    """Visit notes with the label of their type and the full address of their image.
+
+    ``notes``: type, image and anything else; a blank image stays null.
+    """
+    image = none_if_blank("image")
+    return notes.withColumns({"type_label": label("type", labels, keep_unknown=True),
+                              "image": F.concat(F.lit(image_prefix), image)})
+
+
 def planned_routes(visits: DataFrame, staff_terms: DataFrame, validity: DataFrame) -> DataFrame:
     """Route visits within the staff assignment and the customer's validity interval.
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +53,13 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Seq
     return kept.unionByName(fresh)
 
 
+def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], update: Sequence[str]) -> None:
+    """The same merge run by the table's own catalog, for table formats that support it."""
+    match = reduce(and_, [F.col(f"{table}.{k}") == source[k] for k in keys])
+    (source.mergeInto(table, match).whenMatched().update({c: source[c] for c in update})
+     .whenNotMatched().insertAll().merge())
+
+
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str],
                 columns: Sequence[str]) -> DataFrame:
     """Staged update: the new value where the staging table has one, else the old one."""
