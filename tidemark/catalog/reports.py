@@ -456,7 +456,8 @@ def _position(t):
 @query("stock_position", f"""
     WITH {POSITION} SELECT product, name, unit, branch, {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in NUMBERS)} FROM pos""")
 def stock_position(t):
-    return stock.checked_position(_position(t)).withColumns({n: F.col(n).cast("double") for n in NUMBERS})
+    position = written(_position(t), "position")   # computed once, checked, then returned
+    return stock.checked_position(position).withColumns({n: F.col(n).cast("double") for n in NUMBERS})
 
 
 @query("stock_cover", f"""

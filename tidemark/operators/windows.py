@@ -10,6 +10,7 @@ total; callers add a unique tie-break.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,16 @@ def _order(order: Sequence[str | Column], descending: bool = False) -> list[Colu
     return [col(c).desc_nulls_last() if descending else col(c).asc_nulls_first() for c in order]
 
 
+def _filled(name: str, kind: str) -> Column:
+    """The column with nulls replaced by some value of its type."""
+    plain = {"string": "", "boolean": False, "date": dt.date(1970, 1, 1)}
+    if kind in plain:
+        return F.coalesce(F.col(name), F.lit(plain[kind]))
+    if kind.startswith("timestamp"):
+        return F.coalesce(F.col(name), F.lit("1970-01-01").cast(kind))
+    return F.coalesce(F.col(name), F.lit(0).cast(kind))
+
+
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int = 1,
            name: str | None = None) -> DataFrame:
     """The n last rows per key under a total order; ``name`` keeps the position (1 = last)."""
@@ -64,6 +75,15 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], b
     sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
     values = {f"__v{i}": col(v) for i, v in enumerate(sums.values())}
     work = df.withColumns({"__bucket": col(bucket), **values})
+    # Null-free stand-ins for key and bucket: a plain equi join then serves null keys too, and
+    # the window finds its rows already partitioned by the join.
+    kinds = dict(work.select(*keys, "__bucket").dtypes)
+    key_part = [f"__k{i}" for i in range(len(keys))] + ["__key_nulls"]
+    part = [*key_part, "__filled_bucket", "__has_bucket"]
+    key_nulls = sum((F.col(k).isNull().cast("int") * 2 ** i for i, k in enumerate(keys)), F.lit(0))
+    stand_ins = [*[_filled(k, kinds[k]) for k in keys], key_nulls, _filled("__bucket", kinds["__bucket"]),
+                 F.col("__bucket").isNotNull()]
+    work = work.withColumns(dict(zip(part, stand_ins)))
     place = F.struct(*[col(c) for c in order])
     before_row = F.struct(*previous.values()) if previous else None
     after_row = F.struct(*following.values()) if following else None
@@ -72,17 +92,17 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], b
         aggs.append(F.max_by(before_row, place).alias("__last"))
     if following:
         aggs.append(F.min_by(after_row, place).alias("__first"))
-    summary = work.groupBy(*keys, "__bucket").agg(*aggs)
-    across = W.partitionBy(*keys).orderBy("__bucket")
+    summary = work.groupBy(*part).agg(*aggs)
+    across = W.partitionBy(*key_part).orderBy("__has_bucket", "__filled_bucket")
     so_far = across.rowsBetween(W.unboundedPreceding, -1)
     carried = [F.coalesce(F.sum(v).over(so_far), F.lit(0)).alias(f"__carried{v}") for v in values]
     if previous:
         carried.append(F.lag("__last").over(across).alias("__before"))
     if following:
         carried.append(F.lead("__first").over(across).alias("__after"))
-    out = equi(work, summary.select(*keys, "__bucket", *carried), [*keys, "__bucket"], "inner", null_safe=True)
+    out = work.join(summary.select(*part, *carried), part)
 
-    inside = W.partitionBy(*keys, "__bucket").orderBy(*_order(order))
+    inside = W.partitionBy(*part).orderBy(*_order(order))
     running = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     new = {name: F.col(f"__carried{v}") + F.coalesce(F.sum(v).over(running), F.lit(0)) for name, v in zip(sums, values)}
     if previous:

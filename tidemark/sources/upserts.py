@@ -92,8 +92,8 @@ def key_date_replace(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Rows whose day and key both occur among the touched ones deleted, the extract appended.
 
     The two conditions are independent, as in the stored delete: a touched key on another
-    touched day goes too. Filtering on the days first lets a date-partitioned table skip
-    the partitions that cannot change.
+    touched day goes too. Both lists are distinct and usually small enough to be broadcast,
+    so the stored table is scanned without a shuffle.
     """
     days = source.select(F.to_date(date).alias("__day"))
     marked = target.withColumn("__day", F.to_date(date))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.names import load_names
 from tidemark.operators.quality import assert_not_empty, assert_unique
+from tidemark.sources.scratch import written
 
 # Load options by number.
 LOAD_MODES = {1: "errorifexists", 2: "append", 3: "overwrite"}
@@ -43,8 +44,10 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def gated_load(df: DataFrame, path: str, option: int, keys: Sequence[str]) -> None:
-    """Non-empty and unique, or nothing is written."""
-    load(assert_unique(assert_not_empty(df), keys), path, option)
+    """Non-empty and unique, or nothing is written. The rows are computed once, into a
+    staging table that the gates and the load read."""
+    staged = written(df, "gate")
+    load(assert_unique(assert_not_empty(staged), keys), path, option)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
