@@ -31,9 +31,21 @@ def _rows(rows, order):
     return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
+# Operators no plan may hold: pair products, unsized literal rows, Python workers.
+NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD", "BatchEvalPython", "ArrowEvalPython",
+         "MapInPandas", "FlatMapGroups")
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+
+
 def compare(spark, con, folder: str, run, sql: str) -> tuple[int, str | None]:
-    """Row count and, when the two sides differ, why."""
+    """Row count and, when the two sides differ or the plan is not acceptable, why."""
     df = run(spark, folder)
+    bad = [word for word in NEVER if word in plan(df)]
+    if bad:
+        return -1, f"plan holds {bad}"
     names = df.columns
     got = _rows([tuple(r) for r in df.collect()], sorted(range(len(names)), key=lambda i: names[i]))
     cur = con.execute(sql)

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on DuckDB.
+"""Every registered query against its SQL on DuckDB, and its plan against the operators it must not hold.
 
 TIDEMARK_SF names the folder (default: the smallest tables, to keep the suite quick).
 """

@@ -1,26 +1,15 @@
-"""Plans: what the optimizer makes of the operators."""
+"""Plans: what the optimizer makes of the operators (every query's plan is checked in test_oracle)."""
 
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from tests.oracle import plan
 from tidemark.catalog import registered
 from tidemark.functions.dates import on_days
 from tidemark.operators import windows as W
 from tidemark.operators.joins import facts
 
 SMALL = "/root/testdata/sf0.001"
-NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
-
-
-def plan(df):
-    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
-
-
-@pytest.mark.parametrize("name", sorted(registered))
-def test_no_query_leaves_the_engine(spark, name):
-    text = plan(registered[name].run(spark, SMALL))
-    assert not [word for word in NEVER if word in text]
 
 
 def test_latest_limits_before_the_shuffle(spark):
