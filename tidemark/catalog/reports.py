@@ -333,7 +333,7 @@ def order_balance(t):
     FROM bl LEFT JOIN due ON due.order_nbr = bl.order_nbr""")
 def receivables_due_dates(t):
     branch = t.customer.select(F.col("c_custkey").alias("cust_id"), F.col("c_nationkey").alias("branch"))
-    rows = equi(_balance(t), branch, "cust_id", "left")
+    rows = equi(_by_order(t).withColumn("balance", rec.open_balance()), branch, "cust_id", "left")
     rows = written(rows.select("order_nbr", "branch", "order_date", "balance", "terms", "due_date"), "balance")
     return rec.due_dates(rows, ["branch"], "order_date", "balance", "terms", "O1", "due_date") \
         .select("order_nbr", "due_date")

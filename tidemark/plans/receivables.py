@@ -218,7 +218,8 @@ def rolling_days(orders: DataFrame, part: Sequence[str], date: str, terms_days:
     days = orders.select(*part, F.to_date(date).alias("__day")).distinct()
     chained = islands(days, part, "__day", max_gap_days, "__island", "__n")
     starts = F.when((F.col("__n") - 1) % chunk == 0, F.col("__day"))
-    ahead = W.partitionBy(*part).orderBy("__day").rowsBetween(1, W.unboundedFollowing)
+    # Backwards in time the days ahead are a growing frame, which is kept in one step per row.
+    ahead = W.partitionBy(*part).orderBy(F.col("__day").desc()).rowsBetween(W.unboundedPreceding, -1)
     return chained.select(*part, "__day",
                           F.least(F.date_add("__day", terms_days), F.min(starts).over(ahead)).alias(name))
 
@@ -278,6 +279,12 @@ def last_delivery(deliveries: DataFrame, order_keys: Sequence[str], sequence: st
                        delivery_status("__last.status").alias("delivery_status"))
 
 
+def open_balance() -> Column:
+    """What an order still owes."""
+    return (F.col("opening_amt") + F.col("released_amt") - F.col("returned_amt")
+            - F.col("confirmed_released_amt"))
+
+
 def order_balance(by_order: DataFrame, delivery: DataFrame, order_keys: Sequence[str],
                   order_date: str, unit: str) -> DataFrame:
     """Open balance and delivery state per order.
@@ -294,8 +301,7 @@ def order_balance(by_order: DataFrame, delivery: DataFrame, order_keys: Sequence
         "delivery_status": F.when(carrier, F.lit(WITH_CARRIER)).when(old, F.lit(DELIVERED)).otherwise(F.col("delivery_status")),
         "delivery_time": F.when(carrier | old, on_order_day)
         .otherwise(F.coalesce("delivery_time", F.lit(NO_DATE).cast("timestamp_ntz"))),
-        "balance": (F.col("opening_amt") + F.col("released_amt") - F.col("returned_amt")
-                    - F.col("confirmed_released_amt"))})
+        "balance": open_balance()})
     return out.withColumns({
         "is_open": flag("balance"),
         "undelivered": F.col("has_released") - F.col("has_delivered") - F.col("has_returned"),
