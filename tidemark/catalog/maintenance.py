@@ -189,7 +189,7 @@ def sync_mirrors(t):
     """Two of the named mirrors: a short look-back, and one that takes one status only."""
     updated = F.expr("case when o_orderpriority = '1-URGENT' then o_orderdate + interval 40 day "
                      "else o_orderdate + interval 1 day end")
-    one = F.lit("MR")
+    one = F.lit("B1")
     names = {"o_orderkey": "ordernbr", "o_orderstatus": "status", "o_orderdate": "created"}
     s = t.orders.withColumn("updated", updated).select(*COLS, "updated").withColumnsRenamed(names)
     s = s.withColumns({"branchid": one, "batnbr": one, "shiptime": one,

@@ -74,9 +74,9 @@ def sales_fact(t):
            CASE WHEN coalesce(lot.qty, ln.qty) > 25 THEN 'large' ELSE 'plain' END AS name
     FROM ln JOIN h ON ln.l_orderkey = o_orderkey LEFT JOIN lot ON lot.l_orderkey = ln.l_orderkey AND lot.l_linenumber = ln.l_linenumber""")
 def sales_raw_to_fact(t):
-    o = t.orders.select(F.lit("MR").alias("branch_id"), F.col("o_orderkey").alias("order_nbr"), "o_orderpriority",
+    o = t.orders.select(F.lit("B1").alias("branch_id"), F.col("o_orderkey").alias("order_nbr"), "o_orderpriority",
                         codes.label("o_orderstatus", {"F": "IN", "O": "CO", "P": "XX"}).alias("order_type"))
-    keys = [F.lit("MR").alias("branch_id"), F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").alias("line_ref")]
+    keys = [F.lit("B1").alias("branch_id"), F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").alias("line_ref")]
     amount = money("l_extendedprice")
     lines = t.lineitem.groupBy(*keys).agg(
         zero_sum(money("l_quantity")).cast("double").alias("line_qty"), F.bool_or(F.col("l_discount") >= 0.1).alias("free_item"),
@@ -414,7 +414,7 @@ def _feeds(t):
 
 def _warehouses(t):
     key = F.col("s_nationkey")
-    cls = F.when(key < 5, "CN").when(key < 10, "HCM").when(key < 14, "MERAP").when(key < 18, "VIME").when(key < 21, "ECE")
+    cls = F.when(key < 5, "CN").when(key < 10, "HCM").when(key < 14, "CENTRAL").when(key < 18, "PARTNER").when(key < 21, "ECE")
     return t.supplier.join(t.nation, key == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("warehouse"), F.nullif("n_name", F.lit("NATION_3")).alias("branch"), cls.alias("wh_class"),
         key.cast("double").alias("receive_days"))
@@ -428,8 +428,8 @@ FEEDS = f"""p AS (SELECT p_partkey, p_name AS name, CASE WHEN p_brand = 'Brand#1
         FROM lineitem JOIN p ON l_partkey = p_partkey
         WHERE (l_returnflag = 'N' AND product NOT LIKE 'V%') OR (l_returnflag = 'R' AND l_linestatus = 'O' AND l_discount < 0.05) OR l_returnflag = 'A'),
     w AS (SELECT s_suppkey, coalesce(nullif(n_name, 'NATION_3'), 'NA') AS branch, n_nationkey AS k,
-            CASE WHEN n_nationkey < 5 THEN 'CN' WHEN n_nationkey < 10 THEN 'HCM' WHEN n_nationkey < 14 THEN 'MERAP'
-                 WHEN n_nationkey < 18 THEN 'VIME' WHEN n_nationkey < 21 THEN 'ECE' END AS cls
+            CASE WHEN n_nationkey < 5 THEN 'CN' WHEN n_nationkey < 10 THEN 'HCM' WHEN n_nationkey < 14 THEN 'CENTRAL'
+                 WHEN n_nationkey < 18 THEN 'PARTNER' WHEN n_nationkey < 21 THEN 'ECE' END AS cls
         FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
 _IS = {"in_transit": "feed = 'pending'", **{n: f"feed = 'stock' AND cls = '{c}'" for c, n in stock.CLASS_MEASURES.items() if c != "HDD"}}
 _FACT = {n: f"kind = '{c}'" for c, n in stock.FACTORY_MEASURES.items()}
@@ -647,7 +647,7 @@ def lead_times(t):
     SELECT v.user_id AS staff, {ymdhms('v.ts')} AS checkin_time, CAST(d.event_id AS VARCHAR) AS order_nbr, {ymdhms('d.ts')} AS delivery_time
     FROM v LEFT JOIN events d ON d.event_type = 'purchase' AND d.user_id = v.user_id AND CAST(d.ts AS DATE) = CAST(v.ts AS DATE)""")
 def checkin_trace(t):
-    e = t.events.select(F.lit("MR").alias("branch_id"), F.col("user_id").alias("staff"), F.to_date("ts").alias("visit_nbr"),
+    e = t.events.select(F.lit("B1").alias("branch_id"), F.col("user_id").alias("staff"), F.to_date("ts").alias("visit_nbr"),
                         F.col("user_id").alias("customer"), F.col("ts").alias("time"), "event_id", "event_type")
     # One check-in per visit number.
     visits = earliest(e.filter("event_type = 'click'"), ["staff", "visit_nbr"], ["time", "event_id"]).withColumn("type", F.lit("IO"))

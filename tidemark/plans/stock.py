@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +16,9 @@ from tidemark.operators.joins import equi, lookup
 from tidemark.operators.quality import assert_unique
 from tidemark.operators.sets import stack
 
-# One stock measure per warehouse class.
-CLASS_MEASURES = {"HDD": "in_transit", "CN": "branch_stock", "HCM": "city", "MERAP": "central",
-                  "VIME": "partner", "ECE": "online"}
+# One stock measure per warehouse class; callers with other class codes pass their own map.
+CLASS_MEASURES = {"HDD": "in_transit", "CN": "branch_stock", "HCM": "city", "CENTRAL": "central",
+                  "PARTNER": "partner", "ECE": "online"}
 IN_TRANSIT_CLASS = "HDD"
 # Factory stock kinds.
 FACTORY_MEASURES = {"TP": "factory_finished", "BT": "factory_semi", "HH": "factory_goods",
@@ -53,7 +53,8 @@ def stock_feeds(on_hand: DataFrame, receipts: DataFrame, transfers: DataFrame) -
 
 
 def stock_position(feeds: DataFrame, warehouses: DataFrame, destroyed: Sequence[str] = (),
-                   factory: DataFrame | None = None, sheet: DataFrame | None = None) -> DataFrame:
+                   factory: DataFrame | None = None, sheet: DataFrame | None = None,
+                   classes: Mapping[str, str] = CLASS_MEASURES) -> DataFrame:
     """One row per (product, branch), one measure per warehouse class.
 
     ``warehouses``: warehouse, branch, wh_class, receive_days. Warehouses without a class are
@@ -68,7 +69,7 @@ def stock_position(feeds: DataFrame, warehouses: DataFrame, destroyed: Sequence[
             .withColumn("branch", F.coalesce("branch", F.lit(NO_BRANCH))))
     qty = money("quantity")
     measures = [zero_sum(F.when(F.col("wh_class") == code, qty).otherwise(F.lit(0))).alias(name)
-                for code, name in CLASS_MEASURES.items()]
+                for code, name in classes.items()]
     if destroyed:
         measures.append(zero_sum(F.when(F.col("warehouse").isin(*destroyed), qty).otherwise(F.lit(0)))
                         .alias("destroyed"))
