@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import host_rules, lines
+from tidemark.llm.registry import ship
 from tidemark.sources.scratch import written
 
 

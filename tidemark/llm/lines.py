@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import SPACE, ascii_lower, carried, let, released, text_key
+from tidemark.sources.scratch import written
 
 
 def split_lines(text: Column) -> Column:
@@ -40,13 +41,14 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, i
     rows = carried(docs).withColumn("id", F.col(f"row.`{id_col}`")) \
         .withColumn("tkey", text_key(F.col(f"row.`{text_col}`")))
     text = F.col(f"row.`{text_col}`")
-    keyed = (rows.select("id", "tkey", F.posexplode(split_lines(text)).alias("pos", "line"))
-             .withColumn("key", line_key(F.col("line")))
-             .where(F.length("key") >= max(1, min_chars))
-             .select("id", "tkey", "pos", F.unhex(F.md5("key")).alias("h")))
+    keyed = written(rows.select("id", "tkey", F.posexplode(split_lines(text)).alias("pos", "line"))
+                    .withColumn("key", line_key(F.col("line")))
+                    .where(F.length("key") >= max(1, min_chars))
+                    .select("id", "tkey", "pos", F.unhex(F.md5("key")).alias("h")), "line-keys")
     # One row per line and document first, so that a line of a third of all documents is counted in many tasks.
-    common = (keyed.select("h", "id").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= min_docs).select("h"))
+    # Written, so that the join below shuffles both sides itself and Spark can split a hot hash.
+    common = written(keyed.select("h", "id").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+                     .where(F.col("n") >= min_docs).select("h"), "common-lines")
     dropped = (keyed.join(common, "h").groupBy(F.col("id").alias("d_id"), F.col("tkey").alias("d_tkey"))
                .agg(F.sort_array(F.collect_set("pos")).alias("dropped")))
     joined = rows.join(dropped, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("tkey") == F.col("d_tkey")), "left")

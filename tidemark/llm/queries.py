@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, lines, urls
+from tidemark.llm import host_rules, lines, tokens, toxicity, urls
 from tidemark.llm.registry import query, registered  # noqa: F401
+from tidemark.sources.scratch import run_folder
 
 _WS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -105,3 +106,26 @@ FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 def quality_host_rules(t):
     return host_rules.judge(t.documents.select("doc_id", "text", "source"), carry=["doc_id"]).select(
         "doc_id", *host_rules.FEATURES, "base_failed", "kept")
+
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_token_output")
+def token_output(t):
+    folder = run_folder(t.spark, "tokens")
+    tokens.write_tokens(t.documents, folder, _tokenizer(WORD_TOKENIZER))
+    return tokens.checksums(tokens.read_tokens(t.spark, folder))
+
+
+@query("op6_toxicity")
+def toxicity_scores(t):
+    model = toxicity.train(t.documents, t.labels)
+    scored = toxicity.score(t.documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_hits")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,15 +14,28 @@ from tidemark.catalog.base import Query, Tables
 registered: dict[str, Query] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="py-files-"), f"{package.name}.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame``; the session's settings are left as they are."""
 
     def register(fn: Callable[[Tables], DataFrame]):
-        registered[name] = Query(lambda spark, folder: fn(Tables(spark, folder)), sql)
+        registered[name] = Query(lambda spark, folder: fn(Tables(ship(spark), folder)), sql)
         return fn
 
     return register
-
-
-def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return registered[name].run(spark, folder)
