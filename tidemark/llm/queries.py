@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, lines, tokens, toxicity, urls
+from tidemark.llm import host_rules, lines, substrings, tokens, toxicity, urls
 from tidemark.llm.registry import query, registered  # noqa: F401
 from tidemark.sources.scratch import run_folder
 
@@ -35,7 +35,7 @@ def line_dedup(t):
 LABELLED_URLS = [
     *[(u, 1) for u in (
         "http://www.cheap-meds.test.com/en/1", "https://cheap-pills.shop.org/en/buy.html", "http://pills-online.test.net/de/3",
-        "https://spam-links.test.org/fr/2", "http://link-farm.test.com/en/44", "https://spam-site.example.org/es/5",
+        "https://spam-links.test.org/fr/2", "http://link-farm.test.com/en/44", "https://spam-site.test.org/es/5",
         "http://casino-bonus.test.com/en/7", "https://m.casino-slots.test.org/en/8", "http://win-money.test.net/es/19",
         "https://best-casino-win.test.com/fr/4", "http://ads-click.test.org/en/2", "https://tracker-ads.test.net/en/99",
         "http://ad-track.test.com/en/100", "https://track-clicks.test.org/de/12", "http://free-download-crack.test.net/en/1",
@@ -129,3 +129,9 @@ def toxicity_scores(t):
     model = toxicity.train(t.documents, t.labels)
     scored = toxicity.score(t.documents.select("doc_id", "text"), model)
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_hits")
+
+
+@query("op5_suffix_array_dedup")
+def suffix_array_dedup(t):
+    cut = substrings.repeated_strings(t.documents.select("doc_id", "text"), width=200, hashed=True)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))

@@ -32,7 +32,7 @@ from tidemark.sources.scratch import written
 
 MAX_LABELLED = 20_000
 MAX_TERMS = 5_000
-MIN_SUPPORT = 6  # toxic rows that must hold a learned term
+MIN_SUPPORT = 5  # toxic rows that must hold a learned term
 MIN_WEIGHT = 3.0
 PREFIXES = (4, 5, 6)
 SEED_WEIGHT = 5.0
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(weights, intercept=a, slope=b)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int = 50) -> tuple[float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 50) -> tuple[float, float]:
     """Newton's method for one feature; the ridge keeps it finite when a cut parts the labels."""
     design, beta = np.stack([np.ones_like(x), x], 1), np.zeros(2)
     for _ in range(steps):
