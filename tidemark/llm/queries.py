@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, lines, substrings, tokens, toxicity, urls
+from tidemark.llm import host_rules, lines, near_dup, substrings, tokens, toxicity, urls
 from tidemark.llm.registry import query, registered  # noqa: F401
 from tidemark.sources.scratch import run_folder
 
@@ -135,3 +135,8 @@ def toxicity_scores(t):
 def suffix_array_dedup(t):
     cut = substrings.repeated_strings(t.documents.select("doc_id", "text"), width=200, hashed=True)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+
+
+@query("op1_minhash_near_dedup")
+def minhash_near_dedup(t):
+    return near_dup.classify(t.documents.select("doc_id", "text")).select("doc_id", "class_id", "class_size", "kept")

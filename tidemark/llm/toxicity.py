@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.frames import carried, released
 from tidemark.sources.scratch import written
@@ -209,7 +210,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
     rows = carried(docs).select("row", F.col(f"row.`{text_col}`").alias("text"))
     kept = F.struct(*[F.col(f"row.`{c}`") for c in docs.columns if c != text_col])
     done = rows.select(kept.alias("row"), "text")
-    schema = done.schema["row"].dataType.simpleString()
-    found = done.mapInArrow(_scored(model), f"row {schema}, score double, n_hits bigint")
+    schema = T.StructType([done.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("n_hits", T.LongType())])
+    found = done.mapInArrow(_scored(model), schema)
     return released(found, score=F.col("score"), predicted=(F.col("score") >= threshold).cast("int"),
                     n_hits=F.col("n_hits"))
