@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, lines, near_dup, substrings, tokens, toxicity, urls
+from tidemark.llm import host_rules, lines, near_dup, recurrent_lm, substrings, tokens, toxicity, urls
 from tidemark.llm.registry import query, registered  # noqa: F401
 from tidemark.sources.scratch import run_folder
 
@@ -140,3 +140,8 @@ def suffix_array_dedup(t):
 @query("op1_minhash_near_dedup")
 def minhash_near_dedup(t):
     return near_dup.classify(t.documents.select("doc_id", "text")).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query("op10_lm_scoring")
+def lm_scoring(t):
+    return recurrent_lm.score(t.documents.select("doc_id", "text"))
