@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, lines, near_dup, recurrent_lm, substrings, tokens, toxicity, urls
+from tidemark.llm import decontam, host_rules, lines, near_dup, recurrent_lm, substrings, tokens, toxicity, urls
 from tidemark.llm.registry import query, registered  # noqa: F401
 from tidemark.sources.scratch import run_folder
 
@@ -145,3 +145,9 @@ def minhash_near_dedup(t):
 @query("op10_lm_scoring")
 def lm_scoring(t):
     return recurrent_lm.score(t.documents.select("doc_id", "text"))
+
+
+@query("op3_benchmark_decontamination")
+def benchmark_decontamination(t):
+    return decontam.leaked_items(t.documents.select("doc_id", "text"), t.benchmark).select(
+        "doc_id", "contaminated", "items")

@@ -74,13 +74,18 @@ def chunks(column: pa.Array | pa.ChunkedArray, limit: int = 1 << 20) -> Iterator
         base += n
 
 
-def words(data: np.ndarray, bounds: np.ndarray, signs: bytes = b"") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+IS_SIGN = np.ones(256, bool)
+IS_SIGN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
+
+def words(data: np.ndarray, bounds: np.ndarray, signs: bytes = b"", between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and where the words of each text begin (one more at the end).
 
-    Words are also parted between an ASCII letter and one of ``signs``.
+    Words are also parted between an ASCII letter and one of ``signs``. ``between`` tells which
+    bytes stand between words: white space, or with ``IS_SIGN`` all but letters and digits.
     """
     n = len(data)
-    letter = ~IS_SPACE[data]
+    letter = ~between[data]
     head = letter.copy()
     head[1:] &= ~letter[:-1]
     tail = letter.copy()
@@ -124,3 +129,9 @@ def shingles(tokens: np.ndarray, firsts: np.ndarray, width: int) -> tuple[np.nda
     for j in range(width):
         h = mix(h * _U(_BASE) + np.where(left > j, padded[at + j], _U(j)))
     return h, out_first
+
+
+def runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0]+1, … size[0] numbers, then those of the next."""
+    before = np.cumsum(size) - size
+    return np.repeat(begin - before, size) + np.arange(int(size.sum()))

@@ -89,7 +89,7 @@ class WordEncoder:
         made = np.concatenate([plain, other])
         flat, before = np.concatenate(ids), np.zeros(len(distinct), np.int64)
         before[made] = np.cumsum(sizes[made]) - sizes[made]
-        return flat[_runs(before, sizes)], sizes
+        return flat[tb.runs(before, sizes)], sizes
 
     def _look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> np.ndarray:
         """The place of each (distinct, sorted) word among the known, after encoding what is new."""
@@ -117,16 +117,10 @@ class WordEncoder:
             out = np.full(out_first[-1], end_id, np.int32)
             body = np.ones(len(out), bool)
             body[out_first[1:] - 1] = False
-            out[body] = self.flat[_runs(self.begin[place], n)]
+            out[body] = self.flat[tb.runs(self.begin[place], n)]
             yield out, out_first
 
 
-def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """begin[0], begin[0]+1, … size[0] numbers, then those of the next."""
-    before = np.cumsum(size) - size
-    return np.repeat(begin - before, size) + np.arange(int(size.sum()))
-
-
 def _encoder(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total = WordEncoder.of(path), 0
