@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, lines
+from tidemark.llm import decontam, host_rules, lines, near_dup, pieces
+from tidemark.llm.queries import PIECE_MODEL, tokenizer
 from tidemark.llm.registry import ship
 from tidemark.sources.scratch import written
 
@@ -23,7 +24,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _documents(lines.drop_common_lines(docs))
 
 
-STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return near_dup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents with their ids; the text is the one that the ids spell."""
+    ship(spark)
+    coded = pieces.encode_decode(docs, tokenizer(PIECE_MODEL))
+    return coded.select("doc_id", F.col("decoded").alias("text"), "lang", "source", "n_chars", "n_pieces", "ids")
+
+
+STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("near dedup", near_dedup),
+          ("decontamination", decontamination), ("sentencepiece", sentencepiece)]
 
 # The near-dedup and encoding stages have no SQL form; tests/llm holds the rows against a plain version.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, host_rules, lines, near_dup, recurrent_lm, substrings, tokens, toxicity, urls
+from tidemark.llm import decontam, host_rules, lines, near_dup, pieces, recurrent_lm, substrings, tokens, toxicity, urls
 from tidemark.llm.registry import query, registered  # noqa: F401
 from tidemark.sources.scratch import run_folder
 
@@ -108,10 +108,10 @@ def quality_host_rules(t):
         "doc_id", *host_rules.FEATURES, "base_failed", "kept")
 
 
-WORD_TOKENIZER = "word_bpe_49k.json"
+WORD_TOKENIZER, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -120,7 +120,7 @@ def _tokenizer(name: str) -> str:
 @query("op4_token_output")
 def token_output(t):
     folder = run_folder(t.spark, "tokens")
-    tokens.write_tokens(t.documents, folder, _tokenizer(WORD_TOKENIZER))
+    tokens.write_tokens(t.documents, folder, tokenizer(WORD_TOKENIZER))
     return tokens.checksums(tokens.read_tokens(t.spark, folder))
 
 
@@ -151,3 +151,10 @@ def lm_scoring(t):
 def benchmark_decontamination(t):
     return decontam.leaked_items(t.documents.select("doc_id", "text"), t.benchmark).select(
         "doc_id", "contaminated", "items")
+
+
+@query("op8_sentencepiece")
+def sentencepiece(t):
+    coded = pieces.encode_decode(t.documents.select("doc_id", "text"), tokenizer(PIECE_MODEL), digest=True)
+    return coded.select("doc_id", "n_pieces", F.col("ids").alias("ids_crc32"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

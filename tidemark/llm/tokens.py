@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidemark.llm import text_bytes as tb
+from tidemark.llm.distinct import Known
 from tidemark.llm.frames import text_key
 
 END_ID = 2
@@ -50,7 +51,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends_word[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
-        self._forget()
+        self.known = Known(self._encode, CACHED_WORDS)
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -59,16 +60,13 @@ class WordEncoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _forget(self) -> None:
-        self.known, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
-
-    def _encode(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, and how many each has.
 
         Words of letters alone have one id that ends a word, the last, so many can be encoded
         in one string; a block where that does not come out is encoded word by word.
         """
+        distinct = [w.decode() for w in raw]
         letters = np.fromiter((w.isascii() and w.isalpha() for w in distinct), bool, len(distinct))
         plain, other = np.flatnonzero(letters), np.flatnonzero(~letters)
         blocks = [plain[i:i + BLOCK] for i in range(0, len(plain), BLOCK)]
@@ -91,34 +89,10 @@ class WordEncoder:
         before[made] = np.cumsum(sizes[made]) - sizes[made]
         return flat[tb.runs(before, sizes)], sizes
 
-    def _look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """The place of each (distinct, sorted) word among the known, after encoding what is new."""
-        if len(self.known) + len(h) > CACHED_WORDS:
-            self._forget()
-        at = np.searchsorted(self.known, h)
-        new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != h) if len(self.known) else np.arange(len(h))
-        if len(new):
-            raw = data.tobytes()
-            ids, sizes = self._encode([raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())])
-            self.begin = np.insert(self.begin, at[new], len(self.flat) + np.cumsum(sizes) - sizes)
-            self.size, self.known = np.insert(self.size, at[new], sizes), np.insert(self.known, at[new], h[new])
-            self.flat = np.concatenate([self.flat, ids])
-        return np.searchsorted(self.known, h)
-
     def texts(self, column: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of texts: the ids, an end after each text, and where each text's begin."""
         for _, data, bounds in tb.chunks(column, CHUNK_BYTES):
-            starts, ends, firsts = tb.words(data, bounds, SIGNS)
-            h, at, which = np.unique(tb.hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
-            place = self._look_up(data, starts[at], ends[at], h)[which]
-            n = self.size[place]  # ids of each word of the run
-            before = np.concatenate([[0], np.cumsum(n)])
-            out_first = np.concatenate([[0], np.cumsum(np.diff(before[firsts]) + 1)])
-            out = np.full(out_first[-1], end_id, np.int32)
-            body = np.ones(len(out), bool)
-            body[out_first[1:] - 1] = False
-            out[body] = self.flat[tb.runs(self.begin[place], n)]
-            yield out, out_first
+            yield self.known.ids(data, *tb.words(data, bounds, SIGNS), end_id=end_id)
 
 
 def _encoder(path: str, end_id: int):
