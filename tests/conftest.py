@@ -4,8 +4,8 @@ from tidemark.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")), spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
                             spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     yield session

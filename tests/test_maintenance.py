@@ -183,6 +183,11 @@ def test_promote_header(frame, rows):
     assert out.columns == ["code", "name"] and rows(out) == [("1", "x"), (None, "y")]
     with pytest.raises(ValueError):
         readers.promote_header(raw, F.col("a") == "zzz")
+    # Every file brings its header, and equal data rows stay.
+    files = frame("a string, b string", ("code", "name"), ("1", "x"), ("1", "x"), ("code", "name"))
+    assert rows(readers.promote_header(files, F.col("a") == "code")) == [("1", "x"), ("1", "x")]
+    with pytest.raises(ValueError):
+        readers.promote_header(files.union(frame("a string, b string", ("code", "other"))), F.col("a") == "code")
 
 
 def test_payload(spark, tmp_path):
@@ -202,7 +207,7 @@ def test_literal_rows_have_a_known_size(spark):
 def test_scratch(spark, frame):
     folder = run_folder(spark, "x")
     assert folder != run_folder(spark, "x") and "/tidemark/x-" in folder
-    assert shared_folder(spark)
+    assert shared_folder(spark) in folder
     assert written(frame("a int", (1,), (2,)), "w").count() == 2
 
 

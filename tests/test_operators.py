@@ -131,7 +131,7 @@ def test_cond_pivot_and_counts(frame, rows):
 
 def test_first_values(frame, rows):
     df = frame("k int, v string", (1, "c"), (1, "a"), (1, "a"), (1, "b"), (1, "d"), (2, "z"), (3, None))
-    assert rows(A.first_values(df, ["k"], "v", 3)) == [(1, "a", "b", "c"), (2, "z", None, None)]
+    assert rows(A.first_values(df, ["k"], "v", 3)) == [(1, "a", "b", "c", 4), (2, "z", None, None, 1)]
 
 
 def test_all_members_counts_copies_once(frame, rows):
@@ -181,9 +181,9 @@ def test_islands(frame, rows):
 
 # ---- sets ------------------------------------------------------------------------------
 
-def test_stack_and_differences(frame, rows):
+def test_union_and_differences(frame, rows):
     a, b = frame("x int, y string", (1, "a"), (2, "b"), (2, "b")), frame("y string, x int, z int", ("a", 1, None), ("c", 3, 9))
-    assert rows(sets.stack([a, b], distinct=True)) == [(1, "a", None), (2, "b", None), (3, "c", 9)]
+    assert rows(sets.union_by_name([a, b], distinct=True)) == [(1, "a", None), (2, "b", None), (3, "c", 9)]
     # Copies inside one input vanish too.
     assert rows(sets.symmetric_difference(a, b.drop("z"))) == [(3, "c")]
     assert rows(sets.key_difference(a, b, ["x"])) == [(2,)]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityError
-from tidemark.plans import activity, demos, history, masters, receivables as rec, sales, stock
+from tidemark.plans import activity, history, masters, receivables as rec, sales, stock
 
 
 def d(n):
@@ -164,13 +164,38 @@ def test_stock_rules(frame):
     wh = frame("warehouse string, branch string, wh_class string, receive_days double", ("w1", "b1", "CN", 2.0), ("w2", None, "HCM", 3.0), ("w9", "b1", None, 1.0))
     feeds = stock.stock_feeds(on_hand, receipts, transfers)
     assert feeds.count() == 5
-    pos = stock.checked_position(stock.stock_position(feeds, wh, destroyed=["w2"]))
+    pos = stock.checked_position(stock.stock_position(feeds, wh, destroyed={"destroyed": ["w2"]}))
     got = {(r["product"], r.branch): (float(r.branch_stock), float(r.in_transit), float(r.city), float(r.virtual), float(r.destroyed), r.unit) for r in pos.collect()}
     assert got == {("P1", "b1"): (5.0, 3.0, 0.0, 1.0, 0.0, "HOP"), ("P1", "NA"): (0.0, 4.0, 0.0, 0.0, 4.0, "HOP"),
                    (None, "b1"): (2.0, 0.0, 0.0, 0.0, 0.0, "CAI")}
     with pytest.raises(QualityError):
         stock.checked_position(pos.union(pos))
-    assert [stock.restated_day(x) for x in ("2024-03-08", "2024-03-09", "2024-03-10")] == [dt.date(2024, 3, 8)] * 3
+    sheet = frame("product string, branch string, quantity int", ("P1", "b1", 10), ("P1", "b1", 1), ("P9", None, 5), (None, "b1", 7))
+    more = stock.stock_position(feeds, wh, destroyed={"one": ["w2"], "two": ["w1"]}, sheet=sheet)
+    seen = {(r["product"], r.branch): (r.name, float(r.in_transit), float(r.one), float(r.two)) for r in more.collect()}
+    assert seen[("P1", "b1")][1] == 14.0 and seen[("P9", "NA")][:2] == (None, 5.0) and len(seen) == 4
+
+
+def test_restated_day():
+    # Friday, Saturday, Sunday, Monday, Tuesday
+    got = [stock.restated_day(f"2024-03-{x:02}").day for x in (8, 9, 10, 11, 12)]
+    assert got == [7, 8, 9, 9, 11]
+
+
+def test_notes_of_two_months(frame):
+    weekly = frame("user int, month string, w1 string, w2 string", (1, "2024-01", "a", None), (1, "2024-02", "b", "c"))
+    calendar = frame("month string, week string, note_date date", ("2024-01", "w1", dt.date(2024, 1, 1)),
+                     ("2024-02", "w1", dt.date(2024, 2, 1)), ("2024-02", "w2", dt.date(2024, 2, 8)))
+    out = masters.consolidated_notes(weekly, ["user", "month"], ["w1", "w2"], calendar, [], ["user", "note_date"], ["note"],
+                                     ["note"], period=["month"])
+    assert {(r.note_date, r.note) for r in out.collect()} == {(dt.date(2024, 1, 1), "a"), (dt.date(2024, 2, 1), "b"), (dt.date(2024, 2, 8), "c")}
+
+
+def test_access_sheet_without_a_group(frame):
+    staff = frame("p int, s string, r string", (1, "A", "X"), (2, "A", "Y"))
+    wide = frame("report string, `A-X` string", ("r1", "x"))
+    with pytest.raises(ValueError, match="A-Y"):
+        masters.access_matrix(wide, ["report"], staff, ["s", "r"], "p", "report")
 
 
 def test_shortfall_without_request(frame):
@@ -246,15 +271,10 @@ def test_hierarchy_fallbacks(frame):
 def test_discount_lines(frame):
     df = frame("o int, l string, p string, t string", (1, "1,2", "B", "tb"), (1, "1", "A", "ta"), (1, "1", "A", "ta"), (1, "1", "C", "tc"), (1, "1", "D", "td"), (1, "", "E", "te"))
     got = {r.line_ref: tuple(r)[2:] for r in masters.discount_lines(df, ["o"], "l", "p", ["t"]).collect()}
-    assert got == {"1": ("A", "B", "C", "ta", "tb", "tc"), "2": ("B", None, None, "tb", None, None)}
+    assert got == {"1": ("A", "B", "C", "ta", "tb", "tc", 4), "2": ("B", None, None, "tb", None, None, 1)}
 
 
 def test_weblog(frame):
     df = frame("pathname string, title_page string", ("/a/b", "x | y: z"), ("/", "only"), (None, None))
     got = [tuple(r) for r in masters.web_log_levels(df).select("level_1", "level_2", "level_3", "title_1", "title_2", "keyword").collect()]
     assert sorted(got, key=str) == sorted([("a", "b", None, "x", "y", "z"), ("", None, None, "only", None, None), (None,) * 6], key=str)
-
-
-def test_random_points(spark):
-    r = demos.estimate_pi(demos.random_points(spark, 200_000)).first()
-    assert r.points == 200_000 and abs(r.pi - 3.14159) < 0.03

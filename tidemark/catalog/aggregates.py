@@ -78,7 +78,7 @@ def agg_distinct_values(t):
          r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS n FROM d)
     SELECT l_orderkey, CAST(max(l_partkey) FILTER (n = 1) AS BIGINT) AS part1,
            CAST(max(l_partkey) FILTER (n = 2) AS BIGINT) AS part2,
-           CAST(max(l_partkey) FILTER (n = 3) AS BIGINT) AS part3 FROM r GROUP BY l_orderkey""")
+           CAST(max(l_partkey) FILTER (n = 3) AS BIGINT) AS part3, count(*) AS part_count FROM r GROUP BY l_orderkey""")
 def agg_collect_top3(t):
     return A.first_values(t.lineitem, ["l_orderkey"], "l_partkey", 3, "part")
 

@@ -153,18 +153,14 @@ def join_key_transform(t):
     return J.equi(parts, brands, "__k", "left").select("p_partkey", "brand_name")
 
 
-@query("join_list_membership", f"""
-    WITH d AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
-         r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS n FROM d)
-    SELECT l.l_orderkey, l.l_partkey, CAST(sum({dec('l_quantity')}) AS DOUBLE) AS quantity
-    FROM lineitem l JOIN r ON l.l_orderkey = r.l_orderkey AND l.l_partkey = r.l_partkey AND r.n <= 3 GROUP BY ALL""")
+@query("join_list_membership", """
+    WITH w AS (SELECT DISTINCT p_brand, string_split(p_name, ' ')[1] AS word FROM part),
+         r AS (SELECT DISTINCT p_brand, p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part)
+    SELECT w.p_brand, w.word, p_partkey FROM w JOIN r USING (p_brand, word)""")
 def join_list_membership(t):
-    top = first_values(t.lineitem, ["l_orderkey"], "l_partkey", 3, "p")
-    lists = top.select("l_orderkey", F.concat_ws(",", "p1", "p2", "p3").alias("part_list"))
-    lines = t.lineitem.select("l_orderkey", F.col("l_partkey").cast("string").alias("part"), "l_quantity")
-    hit = J.membership(lines, lists, "l_orderkey", "part", "part_list")
-    return (hit.groupBy("l_orderkey", F.col("part").cast("bigint").alias("l_partkey"))
-            .agg(zero_sum(money("l_quantity")).alias("quantity")))
+    """Parts of a brand that have one of the brand's first words anywhere in the list of words, their name."""
+    words = t.part.select("p_brand", F.substring_index("p_name", " ", 1).alias("word")).distinct()
+    return J.membership(words, t.part.select("p_brand", "p_partkey", "p_name"), "p_brand", "word", "p_name", sep=" ")
 
 
 @query("join_conditional_left", """
@@ -198,7 +194,7 @@ def join_coalesce_lead(t):
     o = t.orders.withColumn("status", F.nullif("o_orderstatus", F.lit("P")))
     copy = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
     out = neighbour(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderdate"],
-                    F.year("o_orderdate"), "next_", forward=True)
+                    F.to_date("o_orderdate"), "next_", forward=True)
     out = J.fill_from(out, copy, "o_orderkey", ["status"])
     as_of = t.orders.agg(F.max("o_orderdate")).scalar()
     return out.select("o_orderkey", F.to_date("next_o_orderdate").alias("next_date"), "status",

@@ -5,14 +5,13 @@ missing, rows with a stale price, and surplus rows the source does not have.
 """
 
 import datetime as dt
-import math
 
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import dec, query, ymd, ymdhms
 from tidemark.functions.numbers import money, zero_sum
 from tidemark.operators.aggregates import word_count
-from tidemark.operators.sets import stack
+from tidemark.operators.sets import union_by_name
 from tidemark.plans.masters import LoadSpec, load_landed
 from tidemark.sources import mirror, readers, upserts, writers
 from tidemark.sources.scratch import run_folder
@@ -52,7 +51,7 @@ def shown(df):
 def upsert(t):
     changes = source_of(t).filter("o_orderstatus in ('O', 'P') and o_totalprice > 100000")
     # Each change arrives twice, first with an older price: the later one counts.
-    twice = stack([changes.withColumn("__seq", F.lit(2)),
+    twice = union_by_name([changes.withColumn("__seq", F.lit(2)),
                    changes.withColumns({"__seq": F.lit(1), "o_totalprice": F.lit(0.0)})])
     return shown(upserts.upsert(target_of(t), twice, ["o_orderkey"], ["__seq"]))
 
@@ -93,7 +92,7 @@ def window_replace(t):
     quarter = readers.report_source(s, "o_orderdate", "1999-04-01", "1999-06-30")
     a = upserts.window_replace(target_of(t), recent, "o_orderdate", "2000-01-01")
     b = upserts.window_replace(target_of(t), quarter, "o_orderdate", "1999-04-01", "1999-06-30")
-    return shown(stack([a.withColumn("kind", F.lit("open")), b.withColumn("kind", F.lit("range"))]))
+    return shown(union_by_name([a.withColumn("kind", F.lit("open")), b.withColumn("kind", F.lit("range"))]))
 
 
 @query("month_replace", f"""
@@ -173,7 +172,7 @@ def sync_table(t):
             "same_day": mirror.sync_table(*args, lookback_days=None, floor="1998-01-01", same_day=True),
             "reload": mirror.sync_table(*args, lookback_days=45, floor="1998-01-01", reload_days=180,
                                         reconcile_by=["o_orderstatus"])}
-    return shown(stack([df.withColumn("kind", F.lit(kind)) for kind, df in runs.items()]))
+    return shown(union_by_name([df.withColumn("kind", F.lit(kind)) for kind, df in runs.items()]))
 
 
 @query("sync_mirrors", f"""
@@ -199,7 +198,7 @@ def sync_mirrors(t):
                        "status": F.when(F.col("status") == "F", "C").otherwise(F.col("status"))})
     runs = [mirror.sync_mirror(name, s, c, "created", "updated", "2001-06-15").withColumn("kind", F.lit(name))
             for name in ("sales_order", "delivery_history_done")]
-    out = stack(runs).withColumn("status", F.when(F.col("status") == "C", "F").otherwise(F.col("status")))
+    out = union_by_name(runs).withColumn("status", F.when(F.col("status") == "C", "F").otherwise(F.col("status")))
     return shown(out.withColumnsRenamed({v: k for k, v in names.items()}).select("kind", *COLS))
 
 
@@ -213,7 +212,7 @@ def sync_lookback(t):
         start = mirror.lookback_start(dt.datetime(2024, 1, 20, hour, 30), days=10)
         fresh = readers.report_source(e, "ts", start, None)
         runs.append(upserts.window_replace(stale, fresh, "ts", start).withColumn("run", F.lit(run)))
-    return stack(runs).select("run", "event_id", "value")
+    return union_by_name(runs).select("run", "event_id", "value")
 
 
 @query("sync_full_refresh", f"SELECT {SHOW} FROM orders")
@@ -224,6 +223,9 @@ def sync_full_refresh(t):
     return shown(t.spark.read.parquet(folder))
 
 
+FILES_PER_BATCH = 8  # bounds a micro-batch, whatever has landed
+
+
 @query("sync_stream_upsert", f"""
     SELECT user_id, event_type, event_id, {ymdhms('ts')} AS ts, value FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
@@ -235,8 +237,7 @@ def sync_stream_upsert(t):
     folder = run_folder(t.spark, "stream")
     changes.withColumn("dt", F.to_date("ts")).write.partitionBy("dt").parquet(f"{folder}/landed")
     landed = t.spark.read.parquet(f"{folder}/landed")
-    per_batch = max(1, math.ceil(len(landed.inputFiles()) / 4))
-    stream = change_log.read_changes(t.spark, f"{folder}/landed", landed.schema, per_batch).drop("dt")
+    stream = change_log.read_changes(t.spark, f"{folder}/landed", landed.schema, FILES_PER_BATCH).drop("dt")
     change_log.write_change_log(stream, f"{folder}/log", f"{folder}/checkpoint", keys, order).awaitTermination()
     log = t.spark.read.parquet(f"{folder}/log")
     return change_log.current_state(base, log, keys, order)
@@ -260,7 +261,7 @@ def load_modes(t):
     writers.load(orders, f"{folder}/partition", 1, ["o_orderstatus"])
     writers.replace_partitions(orders.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.lit(0.0)),
                                f"{folder}/partition", ["o_orderstatus"])
-    return stack([t.spark.read.parquet(f"{folder}/{kind}").groupBy(F.lit(kind).alias("kind"), "o_orderstatus")
+    return union_by_name([t.spark.read.parquet(f"{folder}/{kind}").groupBy(F.lit(kind).alias("kind"), "o_orderstatus")
                   .agg(F.count(F.lit(1)).alias("orders"), zero_sum(money("o_totalprice")).alias("total"))
                   for kind in ("append", "replace", "partition")])
 
@@ -281,7 +282,10 @@ FORMATS = f"""
     SELECT 'csv' AS format, count(*) AS n, CAST(sum({dec('o_totalprice')}) AS DOUBLE) AS total,
            min(lpad(CAST(o_custkey AS VARCHAR), 9, '0')) AS first_code, {ymd('max(o_orderdate)')} AS last_day FROM orders
     UNION ALL SELECT 'linked', count(*), CAST(sum({dec('o_totalprice')}) AS DOUBLE),
-           min(lpad(CAST(o_custkey AS VARCHAR), 9, '0')), {ymd('max(o_orderdate)')} FROM orders WHERE o_orderstatus <> 'P'"""
+           min(lpad(CAST(o_custkey AS VARCHAR), 9, '0')), {ymd('max(o_orderdate)')} FROM orders"""
+
+
+STATUSES = ("F", "O", "P")
 
 
 @query("source_formats", FORMATS + f"""
@@ -294,10 +298,10 @@ def source_formats(t):
     schema = "code string, o_totalprice double, o_orderdate date"
     text_rows = t.orders.select(F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("code"), "o_totalprice",
                                 F.date_format("o_orderdate", "dd/MM/yyyy").alias("o_orderdate"), "o_orderstatus")
-    for s in ("F", "O"):
+    for s in STATUSES:
         writers.export_csv(text_rows.filter(F.col("o_orderstatus") == s).drop("o_orderstatus"), f"{folder}/csv_{s}")
     writers.export_csv(text_rows.drop("o_orderstatus"), f"{folder}/csv")
-    links = readers.literal_rows(spark, [(f"{folder}/csv_F",), (f"{folder}/csv_O",)], "path string")
+    links = readers.literal_rows(spark, [(f"{folder}/csv_{s}",) for s in STATUSES], "path string")
 
     def orders_row(df, name):
         return df.agg(F.lit(name).alias("format"), F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("total"),
@@ -318,15 +322,14 @@ def source_formats(t):
 
     t.nation.write.option("header", "true").csv(f"{folder}/header")
     raw = readers.read_csv(spark, f"{folder}/header", "a string, b string, c string", header=False)
-    # One header per written file; a single file after an export.
-    promoted = readers.promote_header(raw.dropDuplicates(), F.col("a") == "n_nationkey")
+    promoted = readers.promote_header(raw, F.col("a") == "n_nationkey")  # one header per written file
     out.append(promoted.agg(F.lit("header").alias("format"), F.count(F.lit(1)).alias("n"),
                             F.sum(F.col("n_nationkey").cast("double")).alias("total"), F.min("n_name").alias("first_code")))
 
     out.append(readers.read_sql(spark, "select 'sql' as format, count(*) as n, sum(cast(s_acctbal as decimal(18,2))) as total, "
                                        "min(s_name) as first_code from {supplier}", supplier=t.supplier))
     out = [df.withColumn("total", F.col("total").cast("double")) for df in out]
-    return stack(out).select("format", "n", "total", "first_code", "last_day")
+    return union_by_name(out).select("format", "n", "total", "first_code", "last_day")
 
 
 @query("export_formats", """
@@ -343,7 +346,7 @@ def export_formats(t):
     back = {"csv": readers.read_csv(spark, f"{folder}/csv", schema),
             "json": spark.read.schema(schema).json(f"{folder}/json"),
             "parquet": readers.read_snapshot(spark, f"{folder}/parquet")}
-    return stack([df.select(F.lit(name).alias("format"), *part.columns) for name, df in back.items()])
+    return union_by_name([df.select(F.lit(name).alias("format"), *part.columns) for name, df in back.items()])
 
 
 @query("landed_loads", f"""

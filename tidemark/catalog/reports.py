@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.base import dec, query, ymd, ymdhms
 from tidemark.functions import codes
-from tidemark.functions.dates import month_start
+from tidemark.functions.dates import month_key, month_start
 from tidemark.functions.numbers import money, signed, zero_sum
 from tidemark.functions.text import pieces
 from tidemark.operators.joins import equi, facts
-from tidemark.operators.sets import stack
-from tidemark.operators.windows import earliest
-from tidemark.plans import activity, demos, history, masters, sales, stock
+from tidemark.operators.sets import union_by_name
+from tidemark.plans import activity, history, masters, sales, stock
 from tidemark.plans import receivables as rec
 from tidemark.sources import upserts, writers
 from tidemark.sources.readers import literal_rows
@@ -20,6 +19,7 @@ from tidemark.sources.scratch import written
 
 # ---- sales -----------------------------------------------------------------------------
 
+# The label of unknown codes is the stored one.
 SEGMENTS = [("AUTOMOBILE", "AUT"), ("BUILDING", "BLD"), ("FURNITURE", "FUR"), ("HOUSEHOLD", "HOU")]
 PAY = {"F": "B", "O": "C", "P": "T"}
 
@@ -294,6 +294,7 @@ def _balance(t):
     return rec.order_balance(by, delivery, ["order_nbr"], "order_date", "unit")
 
 
+# Labels of delivery states.
 BALANCE = f"""{BY_ORDER},
     ld AS (SELECT l_orderkey, l_shipdate AS delivered_at,
                CASE l_returnflag WHEN 'N' THEN 'Đã giao hàng' WHEN 'R' THEN 'KH Không Nhận' ELSE 'Đã Xác Nhận' END AS s
@@ -401,15 +402,15 @@ def _feeds(t):
     p = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("name"),
                       F.concat(F.when(F.col("p_brand") == "Brand#13", "V").otherwise("P"), "p_partkey").alias("product"),
                       F.when(F.col("p_size") > 25, "Hộp").otherwise("Cái").alias("unit"))
+    flag = F.col("l_returnflag")
     rows = equi(t.lineitem, p, "l_partkey", "inner").select(
         F.col("l_suppkey").alias("warehouse"), "product", "name", "unit", F.col("l_linestatus").alias("lot"),
-        month_start("l_shipdate").alias("expiry"), F.col("l_quantity").alias("quantity"), "l_returnflag", "l_tax", "l_discount")
-    on_hand = rows.filter("l_returnflag = 'N'").withColumns({"held": F.col("l_tax") * 100, "pending": F.lit(1.0)})
-    receipts = rows.filter("l_returnflag = 'R'").withColumns(
-        {"state": F.when(F.col("lot") == "O", "pending").otherwise("done"),
-         "kind": F.when(F.col("l_discount") < 0.05, "purchase").otherwise("other")})
-    feeds = stock.stock_feeds(on_hand, receipts, rows.filter("l_returnflag = 'A'"))
-    return feeds.withColumn("virtual", F.round("virtual", 2))
+        month_start("l_shipdate").alias("expiry"), F.col("l_quantity").alias("quantity"),
+        F.when(flag == "N", F.round(F.col("l_tax") * 100, 2)).alias("held"), F.when(flag == "N", F.lit(1.0)).alias("pending"),
+        F.when(F.col("l_linestatus") == "O", "pending").otherwise("done").alias("state"),
+        F.when(F.col("l_discount") < 0.05, "purchase").otherwise("other").alias("kind"),
+        F.to_date("l_shipdate").alias("on_day"), flag.alias("movement"))
+    return stock.feeds_of(rows, {"N": "stock", "R": "receipt", "A": "transfer"}, keep=["on_day"])
 
 
 def _warehouses(t):
@@ -422,7 +423,7 @@ def _warehouses(t):
 
 FEEDS = f"""p AS (SELECT p_partkey, p_name AS name, CASE WHEN p_brand = 'Brand#13' THEN 'V' ELSE 'P' END || p_partkey AS product,
         CASE WHEN p_size > 25 THEN 'HOP' ELSE 'CAI' END AS unit FROM part),
-    f AS (SELECT l_suppkey AS wh, product, name, unit, l_linestatus AS lot, date_trunc('month', l_shipdate)::DATE AS expiry, {dec('l_quantity')} AS q,
+    f AS (SELECT l_suppkey AS wh, product, name, unit, l_linestatus AS lot, date_trunc('month', l_shipdate)::DATE AS expiry, l_shipdate::DATE AS on_day, {dec('l_quantity')} AS q,
             CASE WHEN l_returnflag = 'N' THEN CAST(l_tax * 100 AS DECIMAL(18,2)) + 1 ELSE 0 END AS virt,
             CASE WHEN l_returnflag = 'N' THEN 'stock' ELSE 'pending' END AS feed
         FROM lineitem JOIN p ON l_partkey = p_partkey
@@ -436,46 +437,67 @@ _FACT = {n: f"kind = '{c}'" for c, n in stock.FACTORY_MEASURES.items()}
 POSITION = f"""{FEEDS},
     pos AS (SELECT product, name, unit, branch, CAST(k AS DOUBLE) AS receive_days, sum(virt) AS virtual,
             {', '.join(f"sum(CASE WHEN {c} THEN q ELSE 0 END) AS {n}" for n, c in _IS.items())},
-            sum(CASE WHEN wh IN (7, 8, 9) THEN q ELSE 0 END) AS destroyed, {', '.join(f'0 AS {n}' for n in _FACT)}
+            sum(CASE WHEN wh IN (7, 8) THEN q ELSE 0 END) AS destroyed_branch, sum(CASE WHEN wh = 9 THEN q ELSE 0 END) AS destroyed_city,
+            {', '.join(f'0 AS {n}' for n in _FACT)}
         FROM f JOIN w ON wh = s_suppkey WHERE cls IS NOT NULL GROUP BY ALL
-        UNION ALL SELECT product, name, unit, 'NM', 0, 0, {', '.join('0' for _ in _IS)}, 0,
+        UNION ALL SELECT product, name, unit, 'NM', 0, 0, {', '.join('0' for _ in _IS)}, 0, 0,
             {', '.join(f"sum(CASE WHEN {c} THEN {dec('p_size')} ELSE 0 END)" for c in _FACT.values())}
         FROM p JOIN (SELECT p_partkey, p_size, CASE p_type WHEN 'ECONOMY' THEN 'TP' WHEN 'PROMO' THEN 'BT' WHEN 'STANDARD' THEN 'PO' ELSE 'HH' END AS kind
                      FROM part) k USING (p_partkey) GROUP BY ALL)"""
-NUMBERS = ["receive_days", "virtual", *_IS, "destroyed", *_FACT]
+NUMBERS = ["receive_days", "virtual", *_IS, "destroyed_branch", "destroyed_city", *_FACT]
+DESTROYED = {"destroyed_branch": [7, 8], "destroyed_city": [9]}
 
 
-def _position(t):
+def _position(t, sheet=None):
     factory = t.part.select(
         F.concat(F.when(F.col("p_brand") == "Brand#13", "V").otherwise("P"), "p_partkey").alias("product"), F.col("p_name").alias("name"),
         F.when(F.col("p_size") > 25, "HOP").otherwise("CAI").alias("unit"), F.col("p_size").alias("quantity"),
         codes.label("p_type", {"ECONOMY": "TP", "PROMO": "BT", "STANDARD": "PO"}, "HH").alias("kind"))
-    return stock.stock_position(_feeds(t), _warehouses(t), destroyed=[7, 8, 9], factory=factory)
+    return stock.stock_position(_feeds(t), _warehouses(t), destroyed=DESTROYED, factory=factory, sheet=sheet)
 
 
 @query("stock_position", f"""
-    WITH {POSITION} SELECT product, name, unit, branch, {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in NUMBERS)} FROM pos""")
+    WITH {POSITION},
+         sheet AS (SELECT product, coalesce(nullif(n_name, 'NATION_3'), 'NA') AS branch, sum({dec('p_size')}) AS q
+                   FROM p JOIN part USING (p_partkey) JOIN nation ON n_nationkey = p_partkey % 25 WHERE p_size > 40 GROUP BY ALL),
+         known AS (SELECT * FROM pos WHERE branch <> 'NM'),
+         nm AS (SELECT product, max(name) AS name, max(unit) AS unit FROM known GROUP BY product),
+         br AS (SELECT branch, max(receive_days) AS receive_days FROM known GROUP BY branch),
+         allp AS (SELECT * FROM pos UNION ALL SELECT product, name, unit, branch, coalesce(receive_days, 0),
+                      {', '.join('q' if n == 'in_transit' else '0' for n in NUMBERS[1:])}
+                  FROM sheet LEFT JOIN nm USING (product) LEFT JOIN br USING (branch))
+    SELECT product, name, unit, branch, CAST(receive_days AS DOUBLE) AS receive_days,
+           {', '.join(f'CAST(sum({n}) AS DOUBLE) AS {n}' for n in NUMBERS[1:])} FROM allp GROUP BY product, name, unit, branch, receive_days""")
 def stock_position(t):
-    position = written(_position(t), "position")   # computed once, checked, then returned
+    # The sheet of goods in transit: large parts, under the branch of their number.
+    big = t.part.filter("p_size > 40").select(
+        F.concat(F.when(F.col("p_brand") == "Brand#13", "V").otherwise("P"), "p_partkey").alias("product"),
+        (F.col("p_partkey") % 25).alias("n_nationkey"), F.col("p_size").alias("quantity"))
+    sheet = equi(big, t.nation.select(F.col("n_nationkey").cast("bigint"), F.nullif("n_name", F.lit("NATION_3")).alias("branch")),
+                 "n_nationkey", "inner").drop("n_nationkey")
+    position = written(_position(t, sheet), "position")   # computed once, checked, then returned
     return stock.checked_position(position).withColumns({n: F.col(n).cast("double") for n in NUMBERS})
 
 
+def _three_months(t, as_of):
+    sold = equi(t.lineitem.filter("l_returnflag = 'N'"), t.part.select(
+        F.col("p_partkey").alias("l_partkey"), F.concat(F.when(F.col("p_brand") == "Brand#13", "V").otherwise("P"), "p_partkey").alias("product")),
+        "l_partkey", "inner").select("product", F.col("l_suppkey").alias("warehouse"), F.col("l_quantity").alias("quantity"), "l_shipdate")
+    wh = _warehouses(t).withColumn("branch", F.coalesce("branch", F.lit("NA")))
+    return stock.three_month_sales(sold, wh, "l_shipdate", as_of)
+
+
 @query("stock_cover", f"""
     WITH {POSITION},
          s AS (SELECT product, branch, CAST(sum({dec('l_quantity')}) AS DOUBLE) AS sold FROM lineitem JOIN p ON l_partkey = p_partkey
                JOIN w ON l_suppkey = s_suppkey WHERE l_returnflag = 'N' AND l_shipdate >= DATE '2001-03-01' GROUP BY ALL)
-    SELECT pos.product, pos.branch, coalesce(sold, 0) AS sold, coalesce(round(sold / 77, 0), 0) AS average,
-           CAST(branch_stock + city + central + factory_finished + virtual + in_transit AS DOUBLE) AS total_stock,
-           round(CAST(branch_stock + city + central + factory_finished + virtual + in_transit AS DOUBLE) / nullif(round(sold / 77, 0), 0), 0) AS cover_days
+    SELECT pos.product, pos.branch, coalesce(sold, 0) AS sold, coalesce(round_even(sold / 77, 0), 0) AS average,
+           CAST(branch_stock + city + central + partner + virtual + in_transit AS DOUBLE) AS total_stock,
+           round_even(CAST(branch_stock + city + central + partner + virtual + in_transit AS DOUBLE) / nullif(round_even(sold / 77, 0), 0), 0) AS cover_days
     FROM pos LEFT JOIN s ON s.product = pos.product AND s.branch = pos.branch""")
 def stock_cover(t):
-    sold = equi(t.lineitem.filter("l_returnflag = 'N'"), t.part.select(
-        F.col("p_partkey").alias("l_partkey"), F.concat(F.when(F.col("p_brand") == "Brand#13", "V").otherwise("P"), "p_partkey").alias("product")),
-        "l_partkey", "inner").select("product", F.col("l_suppkey").alias("warehouse"), F.col("l_quantity").alias("quantity"), "l_shipdate")
-    wh = _warehouses(t).withColumn("branch", F.coalesce("branch", F.lit("NA")))
-    recent = stock.three_month_sales(sold, wh, "l_shipdate", "2001-06-01")
-    out = stock.stock_cover(_position(t), recent,
-                            ["branch_stock", "city", "central", "factory_finished", "virtual", "in_transit"])
+    out = stock.stock_cover(_position(t), _three_months(t, "2001-06-01"),
+                            ["branch_stock", "city", "central", "partner", "virtual", "in_transit"])
     return out.select("product", "branch", "sold", "average", "total_stock", "cover_days")
 
 
@@ -489,21 +511,32 @@ def stock_by_lot(t):
 
 
 @query("stock_restatement", f"""
-    WITH {FEEDS}, d AS (SELECT DISTINCT l_shipdate::DATE AS on_day FROM lineitem WHERE l_shipdate >= DATE '2001-05-21' AND l_shipdate < DATE '2001-05-28')
-    SELECT '2001-05-25' AS snapshot, wh AS warehouse, CAST(sum(q) AS DOUBLE) AS quantity
-    FROM f WHERE expiry <= DATE '2001-05-25' GROUP BY wh
-    UNION ALL SELECT '2001-05-24', wh, CAST(sum(q) AS DOUBLE) FROM f WHERE expiry <= DATE '2001-05-24' GROUP BY wh""")
+    WITH {FEEDS},
+         snap AS (SELECT f.*, created_date FROM f CROSS JOIN (VALUES (DATE '2001-05-25'), (DATE '2001-05-26')) v(created_date) WHERE on_day <= created_date),
+         pos AS (SELECT created_date, product, name, unit, branch, sum(virt) AS virtual,
+                 {', '.join(f"sum(CASE WHEN {c} THEN q ELSE 0 END) AS {n}" for n, c in _IS.items())}
+             FROM snap JOIN w ON wh = s_suppkey WHERE cls IS NOT NULL GROUP BY ALL),
+         s AS (SELECT product, branch, CAST(sum({dec('l_quantity')}) AS DOUBLE) AS sold FROM lineitem JOIN p ON l_partkey = p_partkey
+               JOIN w ON l_suppkey = s_suppkey WHERE l_returnflag = 'N' AND l_shipdate >= DATE '2001-02-28' GROUP BY ALL)
+    SELECT {ymd('created_date')} AS created_date, pos.product, pos.branch, CAST(virtual AS DOUBLE) AS virtual,
+           {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in _IS)},
+           CASE WHEN created_date = DATE '2001-05-26' THEN coalesce(sold, 0) ELSE 0 END AS sold,
+           CASE WHEN created_date = DATE '2001-05-26' THEN coalesce(round_even(sold / 77, 0), 0) ELSE 0 END AS average
+    FROM pos LEFT JOIN s ON s.product = pos.product AND s.branch = pos.branch""")
 def stock_restatement(t):
-    feeds = _feeds(t)
-
-    def snapshot(on):
-        return (feeds.filter(F.col("expiry") <= F.lit(on)).groupBy("warehouse")
-                .agg(zero_sum(money("quantity")).alias("quantity")).withColumn("snapshot", F.lit(on)))
-
-    friday = stock.restated_day("2001-05-27")   # a Sunday
-    stored = stack([snapshot(friday - dt.timedelta(days=1)),
-                    snapshot(friday).withColumn("quantity", F.lit(0).cast("decimal(28,2)"))])
-    return upserts.window_replace(stored, snapshot(friday), "snapshot", friday, friday)
+    """On a Monday: the position of two days back is made anew, with the sales known by then."""
+    monday = "2001-05-28"
+    day = stock.restated_day(monday)
+    days = F.array(F.lit(day - dt.timedelta(days=1)), F.lit(day))
+    dated = _feeds(t).withColumn("created_date", F.explode(days)).filter("on_day <= created_date")
+    columns = ["created_date", "product", "branch", "virtual", *_IS, "sold", "average"]
+    both = written(stock.stock_position(dated, _warehouses(t), by=["created_date"]), "positions")
+    none = both.withColumns({"sold": F.lit(0.0), "average": F.lit(0.0)}).select(*columns)
+    # What was stored for the day is stale: all of it is twice too much.
+    stale = F.col("created_date") == F.lit(day)
+    stored = none.withColumn("virtual", F.when(stale, F.col("virtual") * 2).otherwise(F.col("virtual")))
+    fresh = both.filter(stale).drop("created_date")
+    return stock.restated_position(stored, fresh, _three_months(t, monday), monday)
 
 
 @query("purchase_shortfall", f"""
@@ -547,7 +580,7 @@ def lot_receipts(t):
         SELECT o_orderkey, o_custkey, o_orderdate, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS version_id
         FROM orders) WHERE o_orderdate >= DATE '1998-01-01'""")
 def version_history(t):
-    cols, order, bucket = ["o_orderkey", "o_custkey", "o_orderdate"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate")
+    cols, order, bucket = ["o_orderkey", "o_custkey", "o_orderdate"], ["o_orderdate", "o_orderkey"], F.to_date("o_orderdate")
     cut = F.lit(dt.date(1998, 1, 1))
     stored = history.versions(t.orders.select(*cols).filter(F.col("o_orderdate") < cut), None, ["o_custkey"], order, bucket)
     new = history.versions(t.orders.select(*cols).filter(F.col("o_orderdate") >= cut), stored, ["o_custkey"], order, bucket)
@@ -558,7 +591,7 @@ def _versions(t):
     o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus",
                         F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"),
                         F.when(F.col("o_totalprice") > 400000, " ").otherwise(F.year("o_orderdate").cast("string")).alias("class"))
-    return history.versions(o, None, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate"))
+    return history.versions(o, None, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.to_date("o_orderdate"))
 
 
 CHANGES = """v AS (SELECT o_custkey, row_number() OVER w AS version_id, o_orderstatus AS s0, nullif(o_orderpriority, '5-LOW') AS p0,
@@ -595,7 +628,7 @@ def snapshot_soft_delete(t):
         "c_custkey", "c_mktsegment", F.when(F.col("c_acctbal") < 0, "left").otherwise("active").alias("status"), F.lit(1).alias("loaded"))
     # An older load of the same people, which the latest view must hide.
     older = stored.withColumns({"loaded": F.lit(0), "c_mktsegment": F.lit("OLD")})
-    last = history.current_list(stack([stored, older]), "c_custkey", ["loaded"]).drop("loaded")
+    last = history.current_list(union_by_name([stored, older]), "c_custkey", ["loaded"]).drop("loaded")
     current = c.filter("c_acctbal > 1000").select(
         "c_custkey", codes.replace_values("c_mktsegment", {"BUILDING": "HOMES"}).alias("c_mktsegment"), F.lit("active").alias("status"))
     return history.snapshot_diff(last, current, "c_custkey", "status", "left")
@@ -643,19 +676,27 @@ def lead_times(t):
 
 
 @query("checkin_trace", f"""
-    WITH v AS (SELECT * FROM events WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) = 1)
+    WITH v AS (SELECT * FROM events WHERE event_type = 'click')
     SELECT v.user_id AS staff, {ymdhms('v.ts')} AS checkin_time, CAST(d.event_id AS VARCHAR) AS order_nbr, {ymdhms('d.ts')} AS delivery_time
     FROM v LEFT JOIN events d ON d.event_type = 'purchase' AND d.user_id = v.user_id AND CAST(d.ts AS DATE) = CAST(v.ts AS DATE)""")
 def checkin_trace(t):
     e = t.events.select(F.lit("B1").alias("branch_id"), F.col("user_id").alias("staff"), F.to_date("ts").alias("visit_nbr"),
                         F.col("user_id").alias("customer"), F.col("ts").alias("time"), "event_id", "event_type")
-    # One check-in per visit number.
-    visits = earliest(e.filter("event_type = 'click'"), ["staff", "visit_nbr"], ["time", "event_id"]).withColumn("type", F.lit("IO"))
+    visits = e.filter("event_type = 'click'").withColumn("type", F.lit("IO"))
     events = e.filter("event_type = 'purchase'").withColumn("type", F.concat(F.lit("DE"), "event_id"))
-    out = activity.checkin_trace(stack([visits, events]).drop("event_id", "event_type"))
+    out = activity.checkin_trace(union_by_name([visits, events]).drop("event_id", "event_type"))
     return out.select("staff", "checkin_time", "order_nbr", "delivery_time")
 
 
+@query("checkin_rows", f"""
+    SELECT event_id, user_id AS staff, {ymdhms('ts')} AS time, CASE event_type WHEN 'click' THEN 'IO' ELSE 'OO' END AS check_type
+    FROM events WHERE event_type IN ('click', 'view')""")
+def checkin_rows(t):
+    kind = codes.label("event_type", {"click": "IO", "view": "OO"}, "DE")
+    trace = t.events.select("event_id", F.col("user_id").alias("staff"), F.col("ts").alias("time"), kind.alias("type"))
+    return activity.check_rows(trace).drop("type")
+
+
 @query("delivery_state", f"""
     WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, o_orderdate FROM lineitem JOIN orders ON o_orderkey = l_orderkey
                QUALIFY l_linenumber = max(l_linenumber) OVER (PARTITION BY l_orderkey)),
@@ -705,13 +746,12 @@ def planned_routes(t):
 @query("plan_unpivot", f"""
     SELECT o_orderpriority AS product, strftime(o_orderdate, '%Y-%m') AS month, {ymd('o_orderdate')} AS plan_date,
            count(*) AS quantity, 'plan ' || o_orderpriority AS stage
-    FROM orders WHERE year(o_orderdate) IN (1998, 1999) AND o_orderpriority <> '5-LOW' GROUP BY o_orderpriority, o_orderdate""")
+    FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY o_orderpriority, o_orderdate""")
 def plan_unpivot(t):
-    from tidemark.functions.dates import month_key
     days = [str(d) for d in range(1, 32)]
 
-    def sheet(year):
-        o = t.orders.filter(F.year("o_orderdate") == year).select(
+    def sheet(months):
+        o = t.orders.filter(months).select(
             F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("product"),
             month_key("o_orderdate").alias("month"), F.dayofmonth("o_orderdate").alias("d"))
         counted = o.groupBy("product", "month", F.concat(F.lit("plan "), "product").alias("stage")).agg(*[
@@ -719,7 +759,8 @@ def plan_unpivot(t):
         # Empty days hold text, as filled-in sheets do.
         return counted.withColumns({d: F.when(F.col(d) > 0, F.format_number(d, 0)).otherwise("-") for d in days})
 
-    out = masters.production_plan([sheet(1998), sheet(1999)], ["product"], days, "month", "product", ["stage"])
+    until, since = F.col("o_orderdate") < F.lit(dt.date(1998, 1, 1)), F.col("o_orderdate") >= F.lit(dt.date(1998, 1, 1))
+    out = masters.production_plan([sheet(until), sheet(since)], ["product"], days, "month", "product", ["stage"])
     return out.select("product", "month", "plan_date", "quantity", "stage")
 
 
@@ -746,21 +787,24 @@ def access_matrix(t):
     return masters.access_matrix(wide, ["report"], staff, ["c_mktsegment", "r_name"], "person", "report")
 
 
-NOTES = f"""w AS (SELECT user_id, ((day(ts) - 1) // 7) + 1 AS week, max(event_type) AS note FROM events WHERE event_type IN ('view', 'signup') GROUP BY ALL),
-    a AS (SELECT user_id, DATE '2024-01-01' + CAST((week - 1) * 7 AS INTEGER) AS note_date, note, 0 AS rank FROM w WHERE week <= 4),
+NOTES = f"""w AS (SELECT user_id, date_trunc('month', ts)::DATE AS m, ((day(ts) - 1) // 7) + 1 AS week, max(event_type) AS note FROM events WHERE event_type IN ('view', 'signup') GROUP BY ALL),
+    a AS (SELECT user_id, m + CAST((week - 1) * 7 AS INTEGER) AS note_date, note, 0 AS rank FROM w),
     b AS (SELECT user_id, CAST(ts AS DATE) AS note_date, 'P' || event_id AS note, 1 AS rank FROM events WHERE event_type = 'purchase'),
     c AS (SELECT user_id, CAST(ts AS DATE) AS note_date, 'E' || event_id AS note, 2 AS rank FROM events WHERE event_type = 'error' AND value > 5),
     n AS (SELECT * FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)
           QUALIFY row_number() OVER (PARTITION BY user_id, note_date ORDER BY rank DESC, note DESC) = 1)"""
 
 
+WEEKS = range(1, 6)  # a month has days in five weeks of seven
+
+
 def _notes(t):
     e = t.events
-    week = F.floor((F.dayofmonth("ts") - 1) / 7) + 1
-    weekly = e.filter("event_type in ('view', 'signup')").groupBy("user_id").agg(*[
-        F.max(F.when(week == i, F.concat(F.lit(" "), "event_type", F.lit("\t")))).alias(f"w{i}") for i in range(1, 5)])
-    # The calendar sheet: first day of each week, derived from the event days.
-    calendar = e.select(F.concat(F.lit("w"), week.cast("string")).alias("week"),
+    week, month = F.floor((F.dayofmonth("ts") - 1) / 7) + 1, month_key("ts").alias("month")
+    weekly = e.filter("event_type in ('view', 'signup')").groupBy("user_id", month).agg(*[
+        F.max(F.when(week == i, F.concat(F.lit(" "), "event_type", F.lit("\t")))).alias(f"w{i}") for i in WEEKS])
+    # The calendar sheet: first day of each week of a month, derived from the event days.
+    calendar = e.select(month, F.concat(F.lit("w"), week.cast("string")).alias("week"),
                         F.date_add(F.trunc("ts", "month"), ((week - 1) * 7).cast("int")).alias("note_date")).distinct()
 
     def others(kind, letter, rank, cond):
@@ -768,9 +812,9 @@ def _notes(t):
             "user_id", F.to_date("ts").alias("note_date"), F.concat(F.lit(letter), "event_id").alias("note"), F.lit(rank).alias("rank"))
 
     return masters.consolidated_notes(
-        weekly, ["user_id"], ["w1", "w2", "w3", "w4"], calendar,
+        weekly, ["user_id", "month"], [f"w{i}" for i in WEEKS], calendar,
         [others("purchase", "P", 1, F.lit(True)), others("error", "E", 2, F.col("value") > 5)],
-        ["user_id", "note_date"], [F.coalesce("rank", F.lit(0)), "note"], ["note"])
+        ["user_id", "note_date"], [F.coalesce("rank", F.lit(0)), "note"], ["note"], period=["month"])
 
 
 @query("note_consolidation", f"WITH {NOTES} SELECT user_id, {ymd('note_date')} AS note_date, note FROM n")
@@ -791,7 +835,8 @@ def note_check(t):
                       'type ' || l_returnflag AS kind FROM lineitem),
          r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, line_ref ORDER BY promo) AS n FROM d)
     SELECT l_orderkey, CAST(line_ref AS VARCHAR) AS line_ref, max(promo) FILTER (n = 1) AS promo1, max(promo) FILTER (n = 2) AS promo2,
-           max(promo) FILTER (n = 3) AS promo3, max(kind) FILTER (n = 1) AS kind1, max(kind) FILTER (n = 2) AS kind2, max(kind) FILTER (n = 3) AS kind3
+           max(promo) FILTER (n = 3) AS promo3, max(kind) FILTER (n = 1) AS kind1, max(kind) FILTER (n = 2) AS kind2, max(kind) FILTER (n = 3) AS kind3,
+           count(*) AS promotions
     FROM r GROUP BY l_orderkey, line_ref""")
 def discount_lines(t):
     rows = t.lineitem.select(
@@ -812,7 +857,7 @@ def customer_master(t):
         F.date_add(F.lit(dt.date(2024, 1, 1)), F.floor("c_acctbal").cast("int")))
     c = t.customer.withColumns({"licence_end": end, "street": F.nullif("c_mktsegment", F.lit("MACHINERY"))})
     # The nation list twice: one row per key has to survive.
-    nations = stack([t.nation, t.nation])
+    nations = union_by_name([t.nation, t.nation])
     out = masters.customer_master(
         c, [(nations, "c_nationkey", "n_nationkey", "nation_", ["n_name", "n_regionkey"]),
             (t.region, "nation_n_regionkey", "r_regionkey", "region_", ["r_name"])],
@@ -842,11 +887,11 @@ def hierarchy(t):
     staff = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("staff"), F.concat(F.lit("N"), "n_nationkey").alias("sup_id"),
         F.concat(F.lit("R"), "r_regionkey").alias("asm_id"), F.lit("T").alias("rsm_id"))
-    names = stack([
+    names = union_by_name([
         t.nation.filter("n_nationkey not in (2, 3, 12)").select(F.concat(F.lit("N"), "n_nationkey").alias("user_name"), F.col("n_name").alias("first_name")),
         t.region.filter("r_name <> 'ASIA'").select(F.concat(F.lit("R"), "r_regionkey").alias("user_name"), F.col("r_name").alias("first_name")),
         t.region.select(F.lit("T").alias("user_name"), F.lit("TOP").alias("first_name")).distinct()])
-    out = masters.staff_hierarchy(stack([staff, staff]), names, {"sup_id": "supervisor", "asm_id": "manager", "rsm_id": "director"},
+    out = masters.staff_hierarchy(union_by_name([staff, staff]), names, {"sup_id": "supervisor", "asm_id": "manager", "rsm_id": "director"},
                                   [("manager", "director"), ("supervisor", "manager")])
     return out.select("staff", "supervisor", "manager")
 
@@ -937,22 +982,3 @@ def follower_list(t):
 
 
 # ---- points ----------------------------------------------------------------------------
-
-_X = "(l_orderkey * 7919 + l_partkey * 104729 + l_suppkey * 1299709 + l_linenumber * 15485863) % 1000003 / 1000003.0::DOUBLE"
-_Y = "(l_orderkey * 611953 + l_partkey * 350377 + l_suppkey * 27644437 + l_linenumber * 86028121) % 999983 / 999983.0::DOUBLE"
-
-
-@query("monte_carlo_pi", f"""
-    WITH p AS (SELECT {_X} AS x, {_Y} AS y FROM lineitem)
-    SELECT count(*) AS points, 4.0::DOUBLE * count(*) FILTER (x * x + y * y <= 1) / count(*) AS pi FROM p""")
-def monte_carlo_pi(t):
-    """One point per lineitem row, spread by its keys, so the result is repeatable."""
-    key = [F.col(c).cast("bigint") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
-
-    def coordinate(factors, modulus):
-        mixed = sum((k * f for k, f in zip(key[1:], factors[1:])), key[0] * factors[0])
-        return (mixed % modulus).cast("double") / F.lit(float(modulus))
-
-    points = t.lineitem.select(coordinate((7919, 104729, 1299709, 15485863), 1000003).alias("x"),
-                               coordinate((611953, 350377, 27644437, 86028121), 999983).alias("y"))
-    return demos.estimate_pi(points)

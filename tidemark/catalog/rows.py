@@ -96,7 +96,7 @@ def set_union_by_name(t):
     a = t.customer.filter("c_acctbal < 5000").select("c_acctbal", "c_custkey", "c_name")
     b = t.customer.filter("c_acctbal > 2000").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     c = t.customer.filter("c_mktsegment = 'BUILDING'").select("c_mktsegment", "c_custkey", "c_name", "c_acctbal")
-    return sets.stack([a, b, c], distinct=True)
+    return sets.union_by_name([a, b, c], distinct=True)
 
 
 @query("set_symdiff", """
@@ -132,7 +132,7 @@ def dedup_first_none_last(t):
     found = {k: sets.dedup(e, keys, order, k) for k in ("first", "last", "none")}
     found["repeat"] = sets.mark_duplicates(e, keys, order).filter("duplicated")
     found["copied"] = sets.mark_duplicates(e, keys, keep="none").filter("duplicated")
-    return sets.stack([df.select(F.lit(rule).alias("rule"), "event_id", "user_id", "event_type")
+    return sets.union_by_name([df.select(F.lit(rule).alias("rule"), "event_id", "user_id", "event_type")
                        for rule, df in found.items()])
 
 
@@ -161,17 +161,15 @@ def reshape_json_struct(t):
 
 
 @query("reshape_list_rows", """
-    WITH d AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
-         r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS n FROM d)
-    SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS piece,
-           max(CASE WHEN n = 1 THEN CAST(l_partkey AS VARCHAR) END) OVER w AS piece1,
-           max(CASE WHEN n = 2 THEN CAST(l_partkey AS VARCHAR) END) OVER w AS piece2
-    FROM r WHERE n <= 4 WINDOW w AS (PARTITION BY l_orderkey)""")
+    SELECT conv_id, turn, piece, pieces[1] AS piece1, pieces[2] AS piece2
+    FROM (SELECT conv_id, turn, pieces, unnest(pieces) AS piece
+          FROM (SELECT conv_id, turn, string_split(regexp_replace(trim(text), ' *\\. *', '.', 'g'), '.') AS pieces FROM (SELECT conv_id, turn, translate(text, chr(9) || chr(10) || chr(13), '   ') AS text FROM conversations)))
+    WHERE piece <> ''""")
 def reshape_list_rows(t):
-    top = first_values(t.lineitem, ["l_orderkey"], "l_partkey", 4, "p")
-    lists = top.select("l_orderkey", F.concat_ws(",", "p1", "p2", "p3", "p4").alias("parts"))
-    wide = reshape.list_to_columns(lists, pieces("parts"), 2, "piece")
-    return reshape.list_to_rows(wide, "parts", "piece").select("l_orderkey", "piece", "piece1", "piece2")
+    """Texts as lists of their sentences."""
+    lists = t.conversations.select("conv_id", "turn", F.translate("text", "\t\n\r", "   ").alias("text"))
+    wide = reshape.list_to_columns(lists, pieces("text", "."), 2, "piece")
+    return reshape.list_to_rows(wide, "text", "piece", ".").select("conv_id", "turn", "piece", "piece1", "piece2")
 
 
 # ---- quality ---------------------------------------------------------------------------

@@ -41,7 +41,7 @@ def win_first_and_group_value(t):
            CAST(date_diff('day', lag(o_orderdate) OVER w, o_orderdate) AS BIGINT) AS gap_days
     FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
 def win_running(t):
-    keys, order, bucket = ["o_custkey"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate")
+    keys, order, bucket = ["o_custkey"], ["o_orderdate", "o_orderkey"], F.to_date("o_orderdate")
     o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", money("o_totalprice").alias("price"))
     out = Win.ordered(o, keys, order, bucket, sums={"position": F.lit(1), "running": "price"},
                       previous={"previous_date": "o_orderdate"})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions.numbers import col, money, zero_sum
+from tidemark.operators.joins import equi
 
 
 def group_sum(df: DataFrame, keys: Sequence[str | Column], sums: Sequence[str] = (),
@@ -57,7 +58,8 @@ def distinct_values(df: DataFrame, name: str) -> DataFrame:
 
 def first_values(df: DataFrame, keys: Sequence[str], value: str, n: int = 3,
                  prefix: str | None = None) -> DataFrame:
-    """The first n distinct values per group, in value order, as columns ``<prefix>1..n``.
+    """The first n distinct values per group, in value order, as columns ``<prefix>1..n``, and
+    ``<prefix>_count``, the number of all distinct values.
 
     Duplicates go in a partial aggregation and the rank limit is applied before the
     shuffle, so no group is ever gathered as a list.
@@ -66,8 +68,10 @@ def first_values(df: DataFrame, keys: Sequence[str], value: str, n: int = 3,
     distinct = df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(value))
     top = distinct.withColumn("__n", rank).filter(F.col("__n") <= n)
-    return top.groupBy(*keys).agg(*[
+    counts = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{prefix}_count"))
+    wide = top.groupBy(*keys).agg(*[
         F.max(F.when(F.col("__n") == i, F.col(value))).alias(f"{prefix}{i}") for i in range(1, n + 1)])
+    return equi(wide, counts, list(keys), "inner", null_safe=True)
 
 
 def all_members(df: DataFrame, keys: Sequence[str], item: str | Column, members: Sequence,

@@ -13,7 +13,7 @@ from tidemark.operators.joins import anti, equi
 from tidemark.operators.windows import earliest, latest
 
 
-def stack(frames: Sequence[DataFrame], distinct: bool = False) -> DataFrame:
+def union_by_name(frames: Sequence[DataFrame], distinct: bool = False) -> DataFrame:
     """Union aligned by name, missing columns null; optionally without copies."""
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return out.distinct() if distinct else out
@@ -21,7 +21,7 @@ def stack(frames: Sequence[DataFrame], distinct: bool = False) -> DataFrame:
 
 def symmetric_difference(*frames: DataFrame) -> DataFrame:
     """Rows occurring exactly once in the concatenation of all frames."""
-    both = stack(frames)
+    both = union_by_name(frames)
     return (both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("__copies"))
             .filter("__copies = 1").drop("__copies"))
 

@@ -115,12 +115,6 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], b
     return out.select(*df.columns, *sums, *picked)
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                value: str | Column, name: str, bucket: str | Column) -> DataFrame:
-    """Sum of the value from the first row of the key up to this one."""
-    return ordered(df, keys, order, bucket, sums={name: value})
-
-
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str,
              bucket: str | Column) -> DataFrame:
     """1-based position within the key."""

@@ -16,8 +16,9 @@ from tidemark.operators.joins import equi, groupwise_max, range_join, span_of
 
 # Days before the end of a licence that count as expiring.
 EXPIRING_DAYS = 30
-# Check-in types.
+# Types of check-ins and check-outs, and the prefix of delivery events.
 VISIT_TYPE = "IO"
+CHECK_OUT_TYPE = "OO"
 DELIVERY_PREFIX = "DE"
 
 
@@ -84,6 +85,11 @@ def checkin_trace(trace: DataFrame, keys: Sequence[str] = ("branch_id", "staff",
     return equi(visits, events, list(keys), "left")
 
 
+def check_rows(trace: DataFrame) -> DataFrame:
+    """Check-ins and check-outs of a location trace, with ``check_type``; other events go."""
+    return trace.filter(F.col("type").isin(VISIT_TYPE, CHECK_OUT_TYPE)).withColumn("check_type", F.col("type"))
+
+
 def visit_notes(notes: DataFrame, labels: Mapping[str, str], image_prefix: str) -> DataFrame:
     """Visit notes with the label of their type and the full address of their image.
 

@@ -17,7 +17,7 @@ from tidemark.functions.text import address, squash, token
 from tidemark.operators.joins import alias_dimension, equi, one_per_key
 from tidemark.operators.names import lower_names
 from tidemark.operators.reshape import list_to_rows, melt
-from tidemark.operators.sets import dedup, stack
+from tidemark.operators.sets import dedup, union_by_name
 from tidemark.operators.windows import earliest, latest
 from tidemark.sources.writers import audited
 
@@ -76,20 +76,24 @@ def access_matrix(wide: DataFrame, ids: Sequence[str], staff: DataFrame, group_p
     """Who may see which report: sheet columns are staff groups, a filled cell grants access.
 
     The staff group is made of ``group_parts`` joined by dashes; one row per (report, person).
+    A group of staff without a column of the sheet raises.
     """
     grants = melt(wide, ids, variable="staff_group", value="granted", drop_nulls=True)
     people = staff.withColumn("staff_group", F.concat_ws("-", *group_parts))
+    missing = people.filter(~F.col("staff_group").isin(*[c for c in wide.columns if c not in ids])).first()
+    if missing is not None:
+        raise ValueError(f"the sheet has no column for the staff group {missing['staff_group']}")
     return equi(grants, people, "staff_group", "inner").select(report, person, "staff_group") \
         .groupBy(report, person).agg(F.min("staff_group").alias("staff_group"))
 
 
 def production_plan(sheets: Sequence[DataFrame], ids: Sequence[str], days: Sequence[str], month: str,
                     product: str, order_level: Sequence[str]) -> DataFrame:
-    """Day columns of stacked month sheets as dated quantities, with the order-level columns.
+    """Day columns of the united month sheets as dated quantities, with the order-level columns.
 
     Cells that are no number are dropped; a day the month does not have gives no row.
     """
-    both = stack(sheets)
+    both = union_by_name(sheets)
     both = both.filter(F.col(product).isNotNull())
     cells = melt(both.select(*ids, month, *days), [*ids, month], days, "__day", "__cell", drop_nulls=True)
     cells = (cells.withColumn("quantity", to_number("__cell").cast("bigint"))
@@ -101,14 +105,16 @@ def production_plan(sheets: Sequence[DataFrame], ids: Sequence[str], days: Seque
 
 def consolidated_notes(weekly: DataFrame, ids: Sequence[str], weeks: Sequence[str], calendar: DataFrame,
                        others: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str | Column],
-                       texts: Sequence[str]) -> DataFrame:
+                       texts: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
     """Payment notes of several inputs in one list, the last one per key and day.
 
-    ``calendar``: week, note_date. Week columns become dated notes; blanks at both ends go.
+    ``calendar``: the columns of ``period`` (a month, say, also among ``ids``), week, note_date.
+    Week columns become dated notes; blanks at both ends go.
     """
     long = melt(weekly, ids, weeks, "week", "note", drop_nulls=True)
-    dated = equi(long, one_per_key(calendar, "week"), "week", "inner").drop("week")
-    rows = stack([dated, *others])
+    dates = [*period, "week"]
+    dated = equi(long, one_per_key(calendar, dates), dates, "inner").drop(*dates)
+    rows = union_by_name([dated, *others])
     rows = rows.withColumns({c: squash(c) for c in texts}).filter(F.col("note").isNotNull())
     return dedup(rows, keys, order, "last")
 
@@ -121,15 +127,18 @@ def latest_notes(notes: DataFrame, customer: str, date: str, names: DataFrame) -
 
 def discount_lines(discounts: DataFrame, keys: Sequence[str], list_col: str, promo: str,
                    values: Sequence[str], n: int = 3) -> DataFrame:
-    """Up to n promotions per order line: line lists become rows, repeats go, and the first n
-    (by promotion) become columns. Of a promotion's differing texts the greatest counts."""
+    """Promotions per order line: line lists become rows, repeats go, the first n (by promotion)
+    become columns, and ``promotions`` tells how many there are. Of a promotion's differing
+    texts the greatest counts."""
     line = [*keys, "line_ref"]
-    rows = list_to_rows(discounts.select(*keys, list_col, promo, *values), list_col, "line_ref").distinct()
-    place = F.dense_rank().over(W.partitionBy(*line).orderBy(promo))
+    rows = list_to_rows(discounts.select(*keys, list_col, promo, *values), list_col, "line_ref")
+    rows = rows.groupBy(*line, promo).agg(F.max(F.struct(promo, *values)).alias("__p"))
+    place = F.row_number().over(W.partitionBy(*line).orderBy(promo))
     top = rows.withColumn("__n", place).filter(F.col("__n") <= n)
-    packed = F.struct(promo, *values)
-    wide = top.groupBy(*line).agg(*[F.max(F.when(F.col("__n") == i, packed)).alias(f"__{i}") for i in range(1, n + 1)])
-    return wide.select(*line, *[F.col(f"__{i}.{c}").alias(f"{c}{i}") for c in (promo, *values) for i in range(1, n + 1)])
+    wide = top.groupBy(*line).agg(*[F.max(F.when(F.col("__n") == i, F.col("__p"))).alias(f"__{i}") for i in range(1, n + 1)])
+    wide = equi(wide, rows.groupBy(*line).agg(F.count(F.lit(1)).alias("promotions")), line, "inner")
+    return wide.select(*line, *[F.col(f"__{i}.{c}").alias(f"{c}{i}") for c in (promo, *values) for i in range(1, n + 1)],
+                       "promotions")
 
 
 # ---- landed files ----------------------------------------------------------------------
@@ -190,7 +199,7 @@ def load_landed(df: DataFrame, spec: LoadSpec, as_of=None) -> DataFrame:
 
 def carrier_report(sites: Sequence[tuple[DataFrame, str]], code: str, sep: str = "\t") -> DataFrame:
     """Reports of several sites under one schema; the order code is the part before a tab."""
-    return stack([df.withColumn("site", F.lit(site)).withColumn(code, token(code, sep, 0))
+    return union_by_name([df.withColumn("site", F.lit(site)).withColumn(code, token(code, sep, 0))
                   for df, site in sites])
 
 

@@ -16,7 +16,7 @@ from tidemark.functions.dates import NO_DATE, as_date
 from tidemark.functions.numbers import col, flag, money, zero_sum
 from tidemark.operators.aggregates import all_members
 from tidemark.operators.joins import anti, equi, lookup
-from tidemark.operators.sets import stack
+from tidemark.operators.sets import union_by_name
 from tidemark.operators.windows import islands
 
 # The ledger's amount columns, one per event.
@@ -115,11 +115,11 @@ def receivables_ledger(legs: Mapping[str, DataFrame], flags: DataFrame, order_ke
     """
     rows = []
     for amount, leg in legs.items():
-        leg = stack([stored[amount], leg]) if stored and amount in stored else leg
+        leg = union_by_name([stored[amount], leg]) if stored and amount in stored else leg
         rows.append(leg.withColumn("leg", F.lit(amount)))
     by_order = list(order_keys)
     hit = reversed_orders(flags, by_order)
-    out = equi(stack(rows), hit, by_order, "left")
+    out = equi(union_by_name(rows), hit, by_order, "left")
     if invoice_keys and list(invoice_keys) != by_order:
         by_invoice = hit.filter("returned").toDF(*invoice_keys, "__c", "__invoice_returned").drop("__c")
         out = equi(out, by_invoice, list(invoice_keys), "left")

@@ -15,7 +15,7 @@ from tidemark.functions.numbers import by_unit, money, zero_sum
 from tidemark.operators.filters import blank
 from tidemark.operators.joins import anti, equi, facts, lookup, membership
 from tidemark.operators.quality import assert_unique
-from tidemark.operators.sets import stack
+from tidemark.operators.sets import union_by_name
 from tidemark.sources.upserts import window_replace
 from tidemark.sources.writers import audited
 
@@ -94,11 +94,11 @@ def sales_lines(headers: DataFrame, lines: DataFrame, lots: DataFrame, types: Da
 def raw_to_fact(regular: DataFrame, replacement: DataFrame | None, returned: DataFrame,
                 names: Sequence[tuple[str, str]] = (),
                 order_keys: Sequence[str] = ("branch_id", "order_nbr")) -> DataFrame:
-    """Regular and replacement lines stacked, blank names filled, returned orders removed.
+    """Regular and replacement lines united, blank names filled, returned orders removed.
 
     ``names`` lists (column, fallback): a blank value is taken from the fallback column.
     """
-    out = regular if replacement is None else stack([regular, replacement], distinct=True)
+    out = regular if replacement is None else union_by_name([regular, replacement], distinct=True)
     out = out.withColumns({c: F.when(blank(c), F.col(f)).otherwise(F.col(c)) for c, f in names})
     return anti(out, returned, list(order_keys))
 
@@ -156,7 +156,7 @@ def accumulation_detail(sales: DataFrame, returns: DataFrame, accumulated: DataF
                    accumulation_discounts(lines, discounts, keys, sign), keys, "left")
         legs.append(leg.withColumn("discount", F.coalesce("discount", F.lit(0)))
                     .withColumn("kind", F.lit(kind)))
-    return stack(legs)
+    return union_by_name(legs)
 
 
 def run_rate(sales: DataFrame, item_keys: Sequence[str], date: str, quantity: str, as_of) -> DataFrame:

@@ -8,13 +8,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.codes import replace_values
+from tidemark.functions.codes import label, replace_values
 from tidemark.functions.dates import as_date
-from tidemark.functions.numbers import by_unit, money, zero_sum
+from tidemark.functions.numbers import by_unit, money, round_half_even, zero_sum
 from tidemark.operators.filters import not_starting_with
-from tidemark.operators.joins import equi, lookup
+from tidemark.operators.joins import equi, lookup, one_per_key
 from tidemark.operators.quality import assert_unique
-from tidemark.operators.sets import stack
+from tidemark.operators.sets import union_by_name
+from tidemark.sources.scratch import written
+from tidemark.sources.upserts import window_replace
 
 # One stock measure per warehouse class; callers with other class codes pass their own map.
 CLASS_MEASURES = {"HDD": "in_transit", "CN": "branch_stock", "HCM": "city", "CENTRAL": "central",
@@ -25,6 +27,7 @@ FACTORY_MEASURES = {"TP": "factory_finished", "BT": "factory_semi", "HH": "facto
                     "PO": "factory_ordered", "NO": "factory_owed"}
 FACTORY_BRANCH = "NM"
 NO_BRANCH = "NA"
+# Products with this prefix are left out; labels of units.
 SKIPPED_PREFIX = "V"
 UNIT_LABELS = {"Hộp": "HOP", "Cái": "CAI"}
 # Selling days behind a three-month average.
@@ -49,18 +52,33 @@ def stock_feeds(on_hand: DataFrame, receipts: DataFrame, transfers: DataFrame) -
     b = (receipts.filter((F.col("state") == "pending") & (F.col("kind") == "purchase"))
          .withColumn("virtual", none).withColumn("feed", F.lit("pending")))
     c = transfers.withColumn("virtual", none).withColumn("feed", F.lit("pending"))
-    return stack([a, b, c]).select(*FEED)
+    return union_by_name([a, b, c]).select(*FEED)
 
 
-def stock_position(feeds: DataFrame, warehouses: DataFrame, destroyed: Sequence[str] = (),
+def feeds_of(rows: DataFrame, kinds: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """``stock_feeds`` for rows of one source, in one pass: ``kinds`` maps the values of
+    ``movement`` to ``stock``, ``receipt`` or ``transfer``; other columns as there."""
+    kind = label("movement", kinds)
+    receipt = (kind == "receipt") & (F.col("state") == "pending") & (F.col("kind") == "purchase")
+    feed = (F.when((kind == "stock") & not_starting_with("product", SKIPPED_PREFIX), "stock")
+            .when(receipt | (kind == "transfer"), "pending"))
+    held = F.coalesce("held", F.lit(0.0)) + F.coalesce("pending", F.lit(0.0))
+    return (rows.withColumn("feed", feed).filter(F.col("feed").isNotNull())
+            .withColumn("virtual", F.when(F.col("feed") == "stock", held).otherwise(F.lit(0.0)))
+            .select(*FEED, *keep))
+
+
+def stock_position(feeds: DataFrame, warehouses: DataFrame, destroyed: Mapping[str, Sequence] | None = None,
                    factory: DataFrame | None = None, sheet: DataFrame | None = None,
-                   classes: Mapping[str, str] = CLASS_MEASURES) -> DataFrame:
+                   classes: Mapping[str, str] = CLASS_MEASURES, by: Sequence[str] = ()) -> DataFrame:
     """One row per (product, branch), one measure per warehouse class.
 
     ``warehouses``: warehouse, branch, wh_class, receive_days. Warehouses without a class are
-    dropped; pending feeds count as in transit; ``destroyed`` lists warehouses shown
-    apart as well. ``sheet`` adds rows already in the output schema; ``factory``
-    (product, name, unit, kind, quantity) goes under a branch of its own.
+    dropped; pending feeds count as in transit; ``destroyed`` maps a measure to the warehouses
+    it shows apart as well. ``sheet`` (product, branch, quantity) is stock in transit that is
+    kept by hand; it takes names and receiving days from the position. ``factory``
+    (product, name, unit, kind, quantity) goes under a branch of its own. ``by`` names
+    columns of the feeds (a day) that each have a position of their own.
     """
     known = warehouses.filter(F.col("wh_class").isNotNull())
     rows = equi(feeds, known, "warehouse", "inner")
@@ -70,18 +88,26 @@ def stock_position(feeds: DataFrame, warehouses: DataFrame, destroyed: Sequence[
     qty = money("quantity")
     measures = [zero_sum(F.when(F.col("wh_class") == code, qty).otherwise(F.lit(0))).alias(name)
                 for code, name in classes.items()]
-    if destroyed:
-        measures.append(zero_sum(F.when(F.col("warehouse").isin(*destroyed), qty).otherwise(F.lit(0)))
-                        .alias("destroyed"))
-    keys = ["product", "name", "unit", "branch", "receive_days"]
+    measures += [zero_sum(F.when(F.col("warehouse").isin(*wh), qty).otherwise(F.lit(0))).alias(name)
+                 for name, wh in (destroyed or {}).items()]
+    keys = [*by, "product", "name", "unit", "branch", "receive_days"]
     out = rows.groupBy(*keys).agg(zero_sum(money("virtual")).alias("virtual"), *measures)
-    parts = [out] + ([sheet] if sheet is not None else [])
+    if sheet is not None:
+        out = written(out, "position")
+        transit = (sheet.filter(F.col("product").isNotNull()).withColumn("branch", F.coalesce("branch", F.lit(NO_BRANCH)))
+                   .groupBy("product", "branch").agg(zero_sum(qty).alias(classes[IN_TRANSIT_CLASS])))
+        transit = equi(transit, one_per_key(out.select("product", "name", "unit"), "product"), "product", "left")
+        transit = equi(transit, one_per_key(out.select("branch", "receive_days"), "branch"), "branch", "left")
+        numbers = [c for c in out.columns if c not in keys]
+        both = union_by_name([out, transit]).fillna(0, subset=["receive_days", *numbers])
+        out = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in numbers])
+    parts = [out]
     if factory is not None:
         parts.append(factory.groupBy("product", "name", "unit", F.lit(FACTORY_BRANCH).alias("branch")).agg(*[
             zero_sum(F.when(F.col("kind") == code, qty).otherwise(F.lit(0))).alias(name)
             for code, name in FACTORY_MEASURES.items()]))
-    merged = stack(parts)
-    numbers = [c for c in merged.columns if c not in ("product", "name", "unit", "branch")]
+    merged = union_by_name(parts)
+    numbers = [c for c in merged.columns if c not in ("product", "name", "unit", "branch", *by)]
     return merged.fillna(0, subset=numbers)
 
 
@@ -98,7 +124,7 @@ def three_month_sales(sales: DataFrame, warehouses: DataFrame, date: str, as_of)
     total = zero_sum(money("quantity"))
     return (by_branch.groupBy("product", "branch").agg(total.alias("sold"))
             .withColumn("sold", F.col("sold").cast("double"))
-            .withColumn("average", F.round(F.col("sold") / F.lit(AVERAGE_DAYS), 0)))
+            .withColumn("average", round_half_even(F.col("sold") / F.lit(AVERAGE_DAYS), 0)))
 
 
 def stock_cover(position: DataFrame, sales: DataFrame, total_of: Sequence[str]) -> DataFrame:
@@ -107,7 +133,7 @@ def stock_cover(position: DataFrame, sales: DataFrame, total_of: Sequence[str])
     out = out.withColumns({"sold": F.coalesce("sold", F.lit(0.0)), "average": F.coalesce("average", F.lit(0.0))})
     total = sum((F.col(c).cast("double") for c in total_of[1:]), F.col(total_of[0]).cast("double"))
     return (out.withColumn("total_stock", total)
-            .withColumn("cover_days", F.round(F.try_divide(F.col("total_stock"), F.col("average")), 0)))
+            .withColumn("cover_days", round_half_even(F.try_divide(F.col("total_stock"), F.col("average")), 0)))
 
 
 def stock_by_lot(feeds: DataFrame, warehouses: DataFrame) -> DataFrame:
@@ -118,9 +144,22 @@ def stock_by_lot(feeds: DataFrame, warehouses: DataFrame) -> DataFrame:
 
 
 def restated_day(as_of) -> dt.date:
-    """The working day a snapshot is restated for: Saturday and Sunday fall back to Friday."""
+    """The day a snapshot is restated for: the day before, and on Mondays two days back."""
     as_of = as_date(as_of)
-    return as_of - dt.timedelta(days=max(0, as_of.weekday() - 4))
+    return as_of - dt.timedelta(days=2 if as_of.weekday() == 0 else 1)
+
+
+def restated_position(stored: DataFrame, position: DataFrame, sales: DataFrame, as_of) -> DataFrame:
+    """Stored daily positions with the restated day's rows replaced.
+
+    ``stored``: the position's columns with sold, average and ``created_date``; ``position`` is
+    the day's, unique by product and branch; products without sales have sold nothing.
+    """
+    day = restated_day(as_of)
+    fresh = equi(position, sales, ["product", "branch"], "left")
+    fresh = fresh.withColumns({"sold": F.coalesce("sold", F.lit(0.0)), "average": F.coalesce("average", F.lit(0.0)),
+                               "created_date": F.lit(day)})
+    return window_replace(stored, fresh.select(*stored.columns), "created_date", day, day)
 
 
 def purchase_shortfall(ordered: DataFrame, awaiting: DataFrame, keys: Sequence[str], request: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.dates import on_days
 from tidemark.operators.names import rename_all
-from tidemark.operators.sets import stack
+from tidemark.operators.sets import union_by_name
 
 
 def jdbc_options(url: str, query: str, *, user: str | None = None, password: str | None = None,
@@ -63,31 +63,38 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str | Stru
     return out.select(*columns) if columns else out
 
 
+# A link table is a list kept by hand; longer ones are refused, never cut.
+MAX_LINKS = 10_000
+
+
 def read_linked_csvs(spark: SparkSession, links: DataFrame, path_col: str,
                      schemas: str | dict[str, str], **options) -> DataFrame:
-    """All files named in a small link table, stacked by name.
+    """All files named in a small link table, united by name.
 
     One scan when all files share a schema; otherwise one scan per distinct schema.
     """
-    paths = sorted({r[0] for r in links.select(path_col).distinct().toLocalIterator()})
+    paths = sorted(r[0] for r in links.select(path_col).distinct().limit(MAX_LINKS + 1).collect())
     if not paths:
         raise ValueError("the link table names no file")
+    if len(paths) > MAX_LINKS:
+        raise ValueError(f"the link table names more than {MAX_LINKS} files; give their folder instead")
     if isinstance(schemas, str):
         return read_csv(spark, paths, schemas, **options)
     groups: dict[str, list[str]] = {}
     for p in paths:
         groups.setdefault(schemas[p], []).append(p)
-    return stack([read_csv(spark, ps, s, **options) for s, ps in groups.items()])
+    return union_by_name([read_csv(spark, ps, s, **options) for s, ps in groups.items()])
 
 
 def promote_header(df: DataFrame, marker: Column) -> DataFrame:
-    """The one row matching ``marker`` becomes the column names and leaves the data.
+    """The rows matching ``marker`` become the column names and leave the data.
 
-    The row is found by content, since row order is not a property of a distributed file.
+    They are found by content, since row order is not a property of a distributed file; every
+    file may bring its own header, as long as all of them are equal.
     """
-    found = df.filter(marker).limit(2).collect()
+    found = df.filter(marker).distinct().limit(2).collect()
     if len(found) != 1:
-        raise ValueError("exactly one header row must match")
+        raise ValueError("exactly one header must match")
     names = [str(v) for v in found[0]]
     return rename_all(df.filter(~F.coalesce(marker, F.lit(False))), names)
 

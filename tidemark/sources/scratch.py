@@ -1,8 +1,7 @@
-"""Where intermediate tables go."""
+"""Where intermediate tables go, and how they go away again."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,27 +10,47 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as named by the session.
-
-    Only a local master may go without the setting; it then gets a new temporary folder.
-    """
+    """The folder all executors share: the one the session names for checkpoints, else its warehouse."""
     named = spark.conf.get(CHECKPOINT_SETTING, None) or \
         spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run under the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, however often it is used,
-    and still there when executors are lost."""
+    and still there when executors are lost. It stays until ``drop_scratch``."""
     folder = run_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def put_bytes(spark: SparkSession, folder: str, name: str, content: bytes) -> str:
+    """A file in the shared folder; its address."""
+    path, files = _path(spark, f"{folder}/{name}")
+    out = files.create(path)
+    out.write(bytearray(content))
+    out.close()
+    return path.toString()
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has put into the shared folder.
+
+    For when its results have been read: frames made from these tables cannot be read again.
+    """
+    path, files = _path(spark, application_folder(spark))
+    files.delete(path, True)
