@@ -1,9 +1,13 @@
 """Plans: what the optimizer makes of the operators (every query's plan is checked in test_oracle)."""
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tests.oracle import plan
+from tidemark import catalog
 from tidemark.catalog import registered
 from tidemark.functions.dates import on_days
 from tidemark.operators import windows as W
@@ -44,6 +48,33 @@ def test_hot_key_is_spread_over_buckets(spark):
     assert "partial_sum" in text
 
 
+def scans(text: str, table: str) -> int:
+    return sum(f"/{table}.parquet" in line and "Scan parquet" in line for line in text.splitlines())
+
+
+@pytest.mark.parametrize("name", ["receivables_ledger", "receivables_by_order", "order_balance", "overdue_classes"])
+def test_receivables_read_their_facts_once(spark, name):
+    text = plan(registered[name].run(spark, SMALL))
+    assert scans(text, "lineitem") <= 1 and scans(text, "orders") <= 2
+
+
+@pytest.mark.parametrize("name, most", [("stock_by_lot", 1), ("stock_position", 0), ("stock_cover", 2), ("run_rate", 0), ("programme_progress", 0)])
+def test_stock_and_sales_read_lines_once(spark, name, most):
+    """Frames that are staged read their lines before; the plan left reads the staged rows."""
+    assert scans(plan(registered[name].run(spark, SMALL)), "lineitem") <= most
+
+
+def test_receivables_broadcast_dimensions_only(spark):
+    text = plan(registered["receivables_by_order"].run(spark, SMALL))
+    assert text.count("SortMergeJoin") == 2  # reversals and lines
+
+
+def test_no_year_buckets():
+    for module in ("windows", "joins", "reports"):
+        source = Path(catalog.__file__).with_name(f"{module}.py").read_text()
+        assert '"o_orderkey"], F.year' not in source and "bucket = F.year" not in source
+
+
 def test_contract():
     queries, sql = contract.queries(), contract.oracle_sql()
     assert set(sql) <= set(queries) and contract.FLAGSHIP in queries

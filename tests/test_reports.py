@@ -145,13 +145,15 @@ def test_enrich_and_refresh(frame):
 
 
 def test_accumulation_discount_counts_once(frame):
-    lines = frame("o int, line_ref string, qty double, price double, unit_rate double, unit_op string",
-                  (1, "1", 2.0, 5.0, 4.0, "D"), (1, "2", 3.0, 5.0, 4.0, "M"), (2, "1", 1.0, 1.0, 1.0, "M"))
+    data = [(1, "1", 2.0, 5.0, 4.0, "D"), (1, "2", 3.0, 5.0, 4.0, "M"), (2, "1", 1.0, 1.0, 1.0, "M")]
+    lines = frame("kind string, o int, line_ref string, qty double, price double, unit_rate double, unit_op string",
+                  *[("sale", *r) for r in data], *[("return", *r) for r in data if r[0] == 1])
     disc = frame("o int, disc_id int, disc_amount double, line_list string", (1, 7, 10.4, "1,2"), (1, 8, 2.5, "9"))
-    out = sales.accumulation_detail(lines, lines.filter("o = 1"), lines.filter("o = 2").select("o"), disc, ["o"])
+    done = lines.filter("o = 2").select("o")
+    out = sales.accumulation_detail(lines, done, disc, ["o"])
     assert sorted((r.o, r.kind, float(r.value), float(r.discount)) for r in out.collect()) == [(1, "return", -25.0, -10.0), (1, "sale", 25.0, 10.0)]
-    units = sales.accumulation_values(lines, ["o"], -1, "Q")
-    assert {r.o: float(r.value) for r in units.collect()} == {1: -12.5, 2: -1.0}
+    units = sales.accumulation_detail(lines, done, disc, ["o"], "Q")
+    assert {(r.o, r.kind): float(r.value) for r in units.collect()} == {(1, "sale"): 12.5, (1, "return"): -12.5}
 
 
 def test_stock_rules(frame):

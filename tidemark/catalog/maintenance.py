@@ -175,31 +175,49 @@ def sync_table(t):
     return shown(union_by_name([df.withColumn("kind", F.lit(kind)) for kind, df in runs.items()]))
 
 
+# One mirror of each kind of rule: (name, repair days, reload days, same day, status at the source).
+MIRROR_KINDS = [("ar_doc", 45, 180, False, None), ("delivery_history_done", 45, 90, False, "F"), ("sales_order", 15, 90, False, None),
+                ("order_errors", None, 90, True, None), ("carrier_keys", None, 90, False, None)]
+
+
+def _mirror_sql(name, repair, reload_, same_day, status):
+    only = f"WHERE o_orderstatus = '{status}'" if status else ""
+    target = "tgt"
+    if name == "carrier_keys":
+        target = "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate FROM orders)"
+    day, kept = f"DATE '{AS_OF}'", ["o_orderkey NOT IN (SELECT o_orderkey FROM ch)"]
+    if same_day:
+        kept.append(f"o_orderdate < {day}")
+    if repair is not None:
+        kept.append(f"(o_orderdate < {day} - {repair} OR o_orderkey IN (SELECT o_orderkey FROM so WHERE o_orderdate >= {day} - {repair}))")
+    return f"""(WITH so AS (SELECT * FROM s {only}), ch AS (SELECT * EXCLUDE (updated) FROM so WHERE updated >= {day}),
+        st AS (SELECT * FROM ch UNION ALL SELECT * FROM (SELECT * FROM {target} {only}) WHERE {' AND '.join(kept)}),
+        df AS (SELECT (SELECT count(*) FROM st WHERE o_orderdate >= {day} - {reload_}) <> (SELECT count(*) FROM so WHERE o_orderdate >= {day} - {reload_}) AS differs)
+        SELECT '{name}' AS kind, {SHOW} FROM st, df WHERE o_orderdate < {day} - {reload_} OR NOT differs
+        UNION ALL SELECT '{name}', {SHOW} FROM so, df WHERE o_orderdate >= {day} - {reload_} AND differs)"""
+
+
 @query("sync_mirrors", f"""
-    WITH s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, {UPDATED} AS updated FROM orders),
-         {TGT}, ch AS (SELECT * EXCLUDE (updated) FROM s WHERE updated >= DATE '2001-06-15')
-    SELECT 'sales_order' AS kind, {SHOW} FROM (SELECT * FROM ch UNION ALL SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ch))
-    WHERE o_orderdate < DATE '2001-06-15' - 15 OR o_orderkey IN (SELECT o_orderkey FROM s WHERE o_orderdate >= DATE '2001-06-15' - 15)
-    UNION ALL SELECT 'delivery_history_done', {SHOW} FROM (SELECT * FROM ch WHERE o_orderstatus = 'F'
-        UNION ALL SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ch WHERE o_orderstatus = 'F'))
-    WHERE o_orderdate < DATE '2001-06-15' - 45 OR o_orderkey IN
-        (SELECT o_orderkey FROM s WHERE o_orderdate >= DATE '2001-06-15' - 45 AND o_orderstatus = 'F')""")
+    WITH s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, {UPDATED} AS updated FROM orders), {TGT}
+    """ + " UNION ALL ".join(f"SELECT * FROM {_mirror_sql(*k)}" for k in MIRROR_KINDS))
 def sync_mirrors(t):
-    """Two of the named mirrors: a short look-back, and one that takes one status only."""
+    """Mirrors by name: most find other counts than the source and reload, the last one reconciles."""
     updated = F.expr("case when o_orderpriority = '1-URGENT' then o_orderdate + interval 40 day "
                      "else o_orderdate + interval 1 day end")
-    one = F.lit("B1")
-    names = {"o_orderkey": "ordernbr", "o_orderstatus": "status", "o_orderdate": "created"}
-    s = t.orders.withColumn("updated", updated).select(*COLS, "updated").withColumnsRenamed(names)
-    s = s.withColumns({"branchid": one, "batnbr": one, "shiptime": one,
-                       "status": F.when(F.col("status") == "F", "C").otherwise(F.col("status"))})
-    c = target_of(t).withColumnsRenamed(names)
-    c = c.withColumns({"branchid": one, "batnbr": one, "shiptime": one,
-                       "status": F.when(F.col("status") == "F", "C").otherwise(F.col("status"))})
-    runs = [mirror.sync_mirror(name, s, c, "created", "updated", "2001-06-15").withColumn("kind", F.lit(name))
-            for name in ("sales_order", "delivery_history_done")]
-    out = union_by_name(runs).withColumn("status", F.when(F.col("status") == "C", "F").otherwise(F.col("status")))
-    return shown(out.withColumnsRenamed({v: k for k, v in names.items()}).select("kind", *COLS))
+    keys = {k: F.col("o_orderkey") for k in ("ordernbr", "refnbr", "batnbr")} | {k: F.lit("B1") for k in ("branchid", "shiptime")}
+
+    def named(df, status):
+        done = F.when(F.col("o_orderstatus") == "F", "C").otherwise(F.col("o_orderstatus"))
+        df = df.withColumns({**keys, "status": done, "created": F.col("o_orderdate")})
+        return df.filter(F.col("o_orderstatus") == status) if status else df
+
+    source = t.orders.withColumn("updated", updated).select(*COLS, "updated")
+    runs = []
+    for name, _, _, _, status in MIRROR_KINDS:
+        target = source_of(t).withColumn("o_totalprice", F.col("o_totalprice") + 1) if name == "carrier_keys" else target_of(t)
+        state = mirror.sync_mirror(name, named(source, None), named(target, status), "created", "updated", AS_OF)
+        runs.append(state.select(F.lit(name).alias("kind"), *COLS))
+    return shown(union_by_name(runs))
 
 
 @query("sync_lookback", f"""

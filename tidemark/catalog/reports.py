@@ -133,9 +133,9 @@ def programme_paid(t):
 @query("programme_progress", f"""
     WITH ln AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_extendedprice AS p, l_returnflag AS flag FROM lineitem),
          used AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW'),
-         v AS (SELECT l_orderkey, 'sale' AS kind, sum(CAST(q * p AS DECIMAL(24,4))) AS value FROM ln
+         v AS (SELECT l_orderkey, 'sale' AS kind, sum({dec('q')} * {dec('p')}) AS value FROM ln
                WHERE flag <> 'R' AND l_orderkey NOT IN (SELECT o_orderkey FROM used) GROUP BY ALL
-               UNION ALL SELECT l_orderkey, 'return', -sum(CAST(q * p AS DECIMAL(24,4))) FROM ln WHERE flag = 'R' GROUP BY ALL),
+               UNION ALL SELECT l_orderkey, 'return', -sum({dec('q')} * {dec('p')}) FROM ln WHERE flag = 'R' GROUP BY ALL),
          dl AS (SELECT o_orderkey, {dec('o_totalprice / 100')} AS amount FROM orders),
          dd AS (SELECT DISTINCT l_orderkey, CASE WHEN flag = 'R' THEN 'return' ELSE 'sale' END AS kind FROM ln WHERE l_linenumber IN (1, 3))
     SELECT v.l_orderkey AS order_nbr, v.kind, CAST(value AS DOUBLE) AS value,
@@ -144,12 +144,31 @@ def programme_paid(t):
 def programme_progress(t):
     ln = t.lineitem.select(F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").cast("string").alias("line_ref"),
                            F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
-                           F.lit(1.0).alias("unit_rate"), F.lit("M").alias("unit_op"), "l_returnflag")
+                           F.lit(1.0).alias("unit_rate"), F.lit("M").alias("unit_op"),
+                           F.when(F.col("l_returnflag") == "R", "return").otherwise("sale").alias("kind"))
     used = t.orders.filter("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias("order_nbr"))
     discounts = t.orders.select(F.col("o_orderkey").alias("order_nbr"), F.col("o_orderkey").alias("disc_id"),
                                 (F.col("o_totalprice") / 100).alias("disc_amount"), F.lit("1, 3").alias("line_list"))
-    return sales.accumulation_detail(ln.filter("l_returnflag <> 'R'"), ln.filter("l_returnflag = 'R'"), used,
-                                     discounts, ["order_nbr"])
+    return sales.accumulation_detail(ln, used, discounts, ["order_nbr"])
+
+
+@query("programme_units", """
+    WITH ln AS (SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN 'return' ELSE 'sale' END AS kind,
+                       CAST(CASE WHEN p_type = 'PROMO' THEN l_quantity * p_size ELSE l_quantity / p_size END AS DECIMAL(24,4)) AS units
+                FROM lineitem JOIN part ON l_partkey = p_partkey)
+    SELECT l_orderkey AS order_nbr, kind, CAST(sum(CASE WHEN kind = 'sale' THEN units ELSE -units END) AS DOUBLE) AS value
+    FROM ln WHERE kind = 'return' OR l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW') GROUP BY ALL""")
+def programme_units(t):
+    part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("unit_rate"),
+                         F.when(F.col("p_type") == "PROMO", "M").otherwise("D").alias("unit_op"))
+    ln = equi(t.lineitem, part, "l_partkey", "inner").select(
+        F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").cast("string").alias("line_ref"),
+        F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"), "unit_rate", "unit_op",
+        F.when(F.col("l_returnflag") == "R", "return").otherwise("sale").alias("kind"))
+    used = t.orders.filter("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias("order_nbr"))
+    none = t.orders.filter("o_orderkey is null").select(F.col("o_orderkey").alias("order_nbr"), F.col("o_orderkey").alias("disc_id"),
+                                                        F.col("o_totalprice").alias("disc_amount"), F.lit("").alias("line_list"))
+    return sales.accumulation_detail(ln, used, none, ["order_nbr"], apply_type="U").drop("discount")
 
 
 # ---- receivables -----------------------------------------------------------------------
@@ -160,7 +179,9 @@ def _orders(t):
         F.to_date("o_orderdate").alias("order_date"), "o_totalprice", F.col("o_orderpriority").alias("priority"),
         F.trunc("o_orderdate", "month").alias("invoice"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "O1")
-        .otherwise(F.concat(F.lit("T"), F.left("o_orderpriority", F.lit(1)))).alias("terms"))
+        .otherwise(F.concat(F.lit("T"), F.left("o_orderpriority", F.lit(1)))).alias("terms"),
+        codes.label("o_orderstatus", PAY).alias("payment"),
+        codes.label("o_orderpriority", {"5-LOW": codes.CARRIER_UNIT, "4-NOT SPECIFIED": None}, "PN").alias("unit"))
 
 
 O = """o AS (SELECT o_orderkey, o_custkey, o_orderstatus AS st, CAST(o_orderdate AS DATE) AS d, o_totalprice AS amt, o_orderpriority AS pr,
@@ -176,8 +197,15 @@ def _flags(t):
     return rec.reversal_flags(o.filter("status <> 'P'"), o.filter("status = 'P'"), ["cust_id", "invoice"], "order_date")
 
 
-def _ledger(t):
+LEDGER_KEYS = ["order_nbr", "cust_id", "terms", "order_date", "due_date"]
+
+
+def _ledger(t, carry=()):
+    """The ledger, with ``carry`` of the order's own columns. Orders are read twice (the rows, and
+    the days of their reversals), lines once."""
     o = _orders(t).withColumn("due_date", rec.terms_due("terms", "order_date", "order_date"))
+    o = rec.reversal_flags(o, _orders(t).filter("status = 'P'"), ["cust_id", "invoice"], "order_date")
+    o = o.withColumns({"cancelled": F.col("same_day") & (F.col("status") != "P"), "returned": F.col("other_day") & (F.col("status") != "P")})
     amount = money("l_extendedprice")
 
     def total(cond):
@@ -187,8 +215,9 @@ def _ledger(t):
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("order_nbr")).agg(
         F.to_date(F.min("l_shipdate")).alias("first_ship"), F.to_date(F.max("l_shipdate")).alias("last_ship"),
         total(flag == "N").alias("n_amt"), total(flag == "R").alias("r_amt"),
-        total((flag == "A") & (state == "F")).alias("af_amt"), total((flag == "A") & (state == "O")).alias("ao_amt"))
-    wide = equi(facts(o, lines, "order_nbr", "left"), rec.reversed_orders(_flags(t), ["order_nbr"]), "order_nbr", "left")
+        total((flag == "A") & (state == "F")).alias("af_amt"), total((flag == "A") & (state == "O")).alias("ao_amt"),
+        rec.last_step("l_linenumber", codes.label("l_returnflag", {"N": "C", "R": "D"}, "A"), "l_shipdate").alias("__last"))
+    wide = facts(o, lines, "order_nbr", "left").select("*", *rec.delivery_of("__last"))
     early, shipped, done = F.col("order_date") < F.lit(dt.date(1996, 1, 1)), F.col("last_ship").isNotNull(), F.col("status") == "F"
     total_price = F.col("o_totalprice")
     legs = {
@@ -201,7 +230,7 @@ def _ledger(t):
         "confirmed_released_amt": (shipped, F.col("ao_amt"), F.col("first_ship"))}
     counted = {name: (cond & rec.leg_counts(F.lit(name), "cancelled", "returned"), value, event)
                for name, (cond, value, event) in legs.items()}
-    return rec.ledger_from_orders(wide, counted, ["order_nbr", "cust_id", "terms", "order_date", "due_date"])
+    return rec.ledger_from_orders(wide, counted, [*LEDGER_KEYS, *carry])
 
 
 def _leg(name, value, event, source, where, returned):
@@ -251,11 +280,12 @@ RULES = [("O1", "TM", "MDS"), ("T2", "TM", "MDS"), ("T3", "CK", "INS"), ("T5", "
 EXCLUDED = [("T4", "CK", 1.0), ("T4", "TM", None)]
 
 
+CARRIED = ["payment", "unit", "delivery_time", "delivery_status"]
+
+
 def _by_order(t):
-    keys = ["order_nbr", "cust_id", "terms", "order_date", "due_date"]
-    by = rec.receivables_by_order(_ledger(t), keys, last_dates=["event_date"])
-    pay = t.orders.select(F.col("o_orderkey").alias("order_nbr"), codes.label("o_orderstatus", PAY).alias("payment"))
-    by = rec.with_payment_class(equi(by, pay, "order_nbr", "left"), "payment")
+    by = rec.receivables_by_order(_ledger(t, CARRIED), [*LEDGER_KEYS, *CARRIED], last_dates=["event_date"])
+    by = rec.with_payment_class(by, "payment")
     rules = literal_rows(t.spark, RULES, "terms string, payment string, owner string")
     by = rec.owner_by_rule(by, rules, ["terms", "payment"], "owner")
     by = by.withColumn("terms_type", rec.terms_type(F.lit("D"), F.substring("terms", 2, 1).cast("int")))
@@ -280,18 +310,11 @@ BY_ORDER = f"""{LEDGER},
            {', '.join(f'CAST({a} AS DOUBLE) AS {a}' for a in rec.AMOUNTS)}, {', '.join(f'has_{a[:-4]}' for a in rec.AMOUNTS)},
            payment, owner, terms_type FROM bo""")
 def receivables_by_order(t):
-    return _by_order(t)
+    return _by_order(t).drop("unit", "delivery_time", "delivery_status")
 
 
 def _balance(t):
-    steps = t.lineitem.select(
-        F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").alias("sequence"), F.col("l_shipdate").alias("updated"),
-        codes.label("l_returnflag", {"N": "C", "R": "D"}, "A").alias("status"))
-    delivery = rec.last_delivery(steps, ["order_nbr"], "sequence", "status", "updated")
-    unit = t.orders.select(F.col("o_orderkey").alias("order_nbr"),
-                           codes.label("o_orderpriority", {"5-LOW": codes.CARRIER_UNIT, "4-NOT SPECIFIED": None}, "PN").alias("unit"))
-    by = equi(_by_order(t), unit, "order_nbr", "left")
-    return rec.order_balance(by, delivery, ["order_nbr"], "order_date", "unit")
+    return rec.order_balance(_by_order(t), None, ["order_nbr"], "order_date", "unit")
 
 
 # Labels of delivery states.

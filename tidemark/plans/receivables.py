@@ -15,7 +15,7 @@ from tidemark.functions.codes import (CARRIER_UNIT, DELIVERED, WITH_CARRIER, del
 from tidemark.functions.dates import NO_DATE, as_date
 from tidemark.functions.numbers import col, flag, money, zero_sum
 from tidemark.operators.aggregates import all_members
-from tidemark.operators.joins import anti, equi, lookup
+from tidemark.operators.joins import anti, equi, facts, lookup
 from tidemark.operators.sets import union_by_name
 from tidemark.operators.windows import islands
 
@@ -46,16 +46,17 @@ def reversal_flags(orders: DataFrame, counterparts: DataFrame, keys: Sequence[st
     """For each order: is there a counterpart under the same invoice on the same / on another day?
 
     The same day means cancelled, another day returned. Only the counterpart's days per
-    invoice are needed, so no order pairs are formed however many orders share an invoice.
+    invoice are needed, a set no larger than the calendar, so no order pairs are formed
+    however many orders share an invoice, and either side is read once.
     """
     keys = list(keys)
-    days = counterparts.select(*keys, F.to_date(date).alias("__day")).distinct()
-    span = days.groupBy(*keys).agg(F.min("__day").alias("__first"), F.max("__day").alias("__last"))
-    out = equi(orders.withColumn("__day", F.to_date(date)), span, keys, "left")
-    out = equi(out, days.withColumn("__same", F.lit(True)), [*keys, "__day"], "left")
-    other = (F.col("__first") != F.col("__day")) | (F.col("__last") != F.col("__day"))
-    return (out.withColumn("same_day", F.coalesce("__same", F.lit(False)))
-            .withColumn("other_day", F.coalesce(other, F.lit(False)))
+    day = F.to_date(date)
+    days = counterparts.groupBy(*keys).agg(F.collect_set(day).alias("__days"))
+    out = facts(orders, days, keys, "left")
+    same = F.array_contains("__days", day)
+    other = F.size("__days") > F.when(same, 1).otherwise(0)
+    return (out.withColumn("same_day", F.coalesce(same, F.lit(False)))
+            .withColumn("other_day", F.coalesce(other & day.isNotNull() & F.col("__days").isNotNull(), F.lit(False)))
             .select(*orders.columns, "same_day", "other_day"))
 
 
@@ -273,10 +274,19 @@ def owner_class(sub_channel: str, payment: str, terms: str) -> Column:
 def last_delivery(deliveries: DataFrame, order_keys: Sequence[str], sequence: str, status: str,
                   updated: str) -> DataFrame:
     """Label and time of each order's last delivery step (the latest one among equal steps)."""
-    step = F.struct(F.col(sequence).alias("n"), F.col(updated).alias("at"), F.col(status).alias("status"))
-    last = deliveries.groupBy(*order_keys).agg(F.max(step).alias("__last"))
-    return last.select(*order_keys, F.col("__last.at").alias("delivery_time"),
-                       delivery_status("__last.status").alias("delivery_status"))
+    last = deliveries.groupBy(*order_keys).agg(last_step(sequence, status, updated).alias("__last"))
+    return last.select(*order_keys, *delivery_of("__last"))
+
+
+def last_step(sequence: str | Column, status: str | Column, updated: str | Column) -> Column:
+    """Aggregate: the last delivery step, for a frame that is grouped by order anyway."""
+    return F.max(F.struct(col(sequence).alias("n"), col(updated).alias("at"), col(status).alias("status")))
+
+
+def delivery_of(step: str) -> list[Column]:
+    """Time and label of a step, null without one."""
+    label = F.when(F.col(step).isNotNull(), delivery_status(f"{step}.status"))
+    return [F.col(f"{step}.at").alias("delivery_time"), label.alias("delivery_status")]
 
 
 def open_balance() -> Column:
@@ -285,9 +295,9 @@ def open_balance() -> Column:
             - F.col("confirmed_released_amt"))
 
 
-def order_balance(by_order: DataFrame, delivery: DataFrame, order_keys: Sequence[str],
+def order_balance(by_order: DataFrame, delivery: DataFrame | None, order_keys: Sequence[str],
                   order_date: str, unit: str) -> DataFrame:
-    """Open balance and delivery state per order.
+    """Open balance and delivery state per order; without ``delivery`` the orders carry its columns.
 
     A carrier's orders count as delivered unless something came back, and carry their own
     status; orders of the opening balance without a unit count as delivered on their day.
@@ -295,7 +305,8 @@ def order_balance(by_order: DataFrame, delivery: DataFrame, order_keys: Sequence
     carrier = F.coalesce(F.col(unit) == CARRIER_UNIT, F.lit(False))
     old = F.col(unit).isNull() & (F.col(order_date) < F.lit(OPENING_BEFORE))
     on_order_day = F.col(order_date).cast("timestamp_ntz")
-    out = equi(by_order, delivery, list(order_keys), "left").withColumns({
+    both = by_order if delivery is None else facts(by_order, delivery, list(order_keys), "left")
+    out = both.withColumns({
         "delivered_amt": F.when(carrier & (F.col("returned_amt") == 0), F.col("released_amt")).otherwise(F.col("delivered_amt")),
         "has_delivered": F.when(carrier & (F.col("has_returned") == 0), F.lit(1)).otherwise(F.col("has_delivered")),
         "delivery_status": F.when(carrier, F.lit(WITH_CARRIER)).when(old, F.lit(DELIVERED)).otherwise(F.col("delivery_status")),

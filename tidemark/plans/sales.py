@@ -16,6 +16,7 @@ from tidemark.operators.filters import blank
 from tidemark.operators.joins import anti, equi, facts, lookup, membership
 from tidemark.operators.quality import assert_unique
 from tidemark.operators.sets import union_by_name
+from tidemark.sources.scratch import written
 from tidemark.sources.upserts import window_replace
 from tidemark.sources.writers import audited
 
@@ -56,7 +57,7 @@ def refresh_sales(stored: DataFrame, enriched: DataFrame, date: str, first,
                   unique: Sequence[str] = ()) -> DataFrame:
     """The last days of the stored fact replaced; optionally only if the key is unique."""
     if unique:
-        assert_unique(enriched, unique)
+        enriched = assert_unique(written(enriched, "refresh"), unique)  # computed once, checked, then used
     return window_replace(stored, enriched, date, first)
 
 
@@ -119,44 +120,35 @@ def programme_progress(registrations: DataFrame, results: DataFrame, orders: Dat
     return out.withColumn("paid_amount", F.coalesce("paid_amount", F.lit(0)))
 
 
-def accumulation_values(lines: DataFrame, order_keys: Sequence[str], sign: int,
-                        apply_type: str | Column = "A") -> DataFrame:
-    """Value per order of a programme: amounts, or quantities in the base unit; returns negative.
-
-    ``lines``: order keys, qty, price, unit_rate, unit_op. The sign applies to both kinds.
-    """
+def line_value(apply_type: str | Column = "A") -> Column:
+    """Value of an order line in a programme: its amount, or its quantity in the base unit."""
     kind = F.lit(apply_type) if isinstance(apply_type, str) else apply_type
-    amount = F.col("qty").cast("double") * F.col("price").cast("double")
-    value = F.when(kind == "A", amount).otherwise(by_unit("qty", "unit_rate", "unit_op"))
-    return lines.groupBy(*order_keys).agg(
-        (zero_sum(value.cast("decimal(24,4)")) * F.lit(sign)).cast("decimal(24,4)").alias("value"))
-
-
-def accumulation_discounts(lines: DataFrame, discounts: DataFrame, order_keys: Sequence[str],
-                           sign: int) -> DataFrame:
-    """Rounded discounts whose line list names at least one line of the order, each counted once."""
-    keys = list(order_keys)
-    hit = membership(lines.select(*keys, "line_ref").distinct(), discounts, keys, "line_ref", "line_list")
-    once = hit.select(*keys, "disc_id", "disc_amount").distinct()
-    return once.groupBy(*keys).agg(
-        (zero_sum(F.round(money("disc_amount"), 0)) * F.lit(sign)).alias("discount"))
+    amount = (money("qty") * money("price")).cast("decimal(24,4)")
+    return F.when(kind == "A", amount).otherwise(by_unit("qty", "unit_rate", "unit_op").cast("decimal(24,4)"))
 
 
-def accumulation_detail(sales: DataFrame, returns: DataFrame, accumulated: DataFrame,
-                        discounts: DataFrame, order_keys: Sequence[str],
+def accumulation_detail(lines: DataFrame, accumulated: DataFrame, discounts: DataFrame, order_keys: Sequence[str],
                         apply_type: str | Column = "A") -> DataFrame:
     """Programme detail: sale orders not yet accumulated, and return orders with minus sign.
 
-    One grouped job over all branches.
+    ``lines``: order keys, line_ref, kind (``sale`` or ``return``), qty, price, unit_rate,
+    unit_op; ``discounts``: order keys, disc_id, disc_amount, line_list. A discount counts
+    once, rounded, if its list names at least one of the kind's lines. Lines are read once,
+    into one row per order, kind and line.
     """
     keys = list(order_keys)
-    legs = []
-    for lines, sign, kind in ((anti(sales, accumulated, keys), 1, "sale"), (returns, -1, "return")):
-        leg = equi(accumulation_values(lines, keys, sign, apply_type),
-                   accumulation_discounts(lines, discounts, keys, sign), keys, "left")
-        legs.append(leg.withColumn("discount", F.coalesce("discount", F.lit(0)))
-                    .withColumn("kind", F.lit(kind)))
-    return union_by_name(legs)
+    done = accumulated.select(*keys).distinct().withColumn("__done", F.lit(True))
+    per_line = lines.groupBy(*keys, "kind", "line_ref").agg(F.sum(line_value(apply_type)).alias("__value"))
+    counted = facts(per_line, done, keys, "left").filter((F.col("kind") == "return") | F.col("__done").isNull())
+    staged = written(counted.drop("__done"), "programme-lines")
+    sign = F.when(F.col("kind") == "return", -1).otherwise(1)
+    values = staged.groupBy(*keys, "kind").agg(zero_sum("__value").alias("value"))
+    hit = membership(staged.select(*keys, "kind", "line_ref"), discounts, keys, "line_ref", "line_list")
+    once = hit.select(*keys, "kind", "disc_id", "disc_amount").distinct()
+    off = once.groupBy(*keys, "kind").agg(zero_sum(F.round(money("disc_amount"), 0)).alias("discount"))
+    out = facts(values, off, [*keys, "kind"], "left")
+    return out.select(*keys, (F.col("value") * sign).cast("decimal(24,4)").alias("value"),
+                      (F.coalesce("discount", F.lit(0)) * sign).alias("discount"), "kind")
 
 
 def run_rate(sales: DataFrame, item_keys: Sequence[str], date: str, quantity: str, as_of) -> DataFrame:
@@ -169,10 +161,10 @@ def run_rate(sales: DataFrame, item_keys: Sequence[str], date: str, quantity: st
     """
     as_of = as_date(as_of)
     keys = list(item_keys)
-    monthly = (sales.groupBy(*keys, month_start(date).alias("month"))
-               .agg(zero_sum(money(quantity)).alias("quantity")))
-    bounds = sales.agg(F.trunc(F.min(date), "month").alias("first"),
-                       F.last_day(F.max(date)).alias("last"))
+    # Sales are read once: a row per item and month is staged, and serves the calendar too.
+    monthly = written(sales.groupBy(*keys, month_start(date).alias("month"))
+                      .agg(zero_sum(money(quantity)).alias("quantity")), "monthly")
+    bounds = monthly.agg(F.min("month").alias("first"), F.last_day(F.max("month")).alias("last"))
     days = workdays(calendar(bounds, "first", "last"), as_of)
     running = F.lit(as_of.replace(day=1))
     year_start = F.lit(as_of.replace(month=1, day=1))

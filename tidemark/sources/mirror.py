@@ -10,12 +10,13 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date
-from tidemark.operators.joins import anti, semi
+from tidemark.operators.joins import facts
 from tidemark.operators.quality import reconcile
+from tidemark.sources.scratch import written
 from tidemark.sources.upserts import window_replace
 
 
@@ -28,6 +29,7 @@ class MirrorSpec:
     reload_days: int | None = None   # window reloaded when counts differ
     same_day: bool = False           # today's rows replaced as a whole first
     only: str | None = None          # row condition at the source
+    reconcile_by: tuple[str, ...] = ()  # columns the window's row counts are compared by
 
 
 # Key, repair and reload windows of the mirrored tables.
@@ -64,21 +66,26 @@ def lookback_start(now: dt.datetime, working: Sequence[int] = WORKING_HOURS,
     return now.date() if now.hour in working else now.date() - dt.timedelta(days=days)
 
 
-def changed_rows(source: DataFrame, created: str, updated: str, as_of, floor=None) -> DataFrame:
+def changed_since(created: str, updated: str, as_of, floor=None) -> Column:
     """Rows updated on the as-of day or later, created on the floor day or later."""
-    out = source.filter(F.col(updated) >= F.lit(as_date(as_of)))
-    return out if floor is None else out.filter(F.col(created) >= F.lit(as_date(floor)))
+    out = F.col(updated) >= F.lit(as_date(as_of))
+    return F.coalesce(out if floor is None else out & (F.col(created) >= F.lit(as_date(floor))), F.lit(False))
 
 
-def replace_changed(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return anti(target, changed, keys).unionByName(changed.select(*target.columns))
+def next_state(target: DataFrame, source: DataFrame, keys: Sequence[str], created: str, changed: Column,
+               repair_from: dt.date | None) -> DataFrame:
+    """Changed rows replace their keys, and rows created since ``repair_from`` that the source
+    no longer has are removed.
 
-
-def drop_deleted(target: DataFrame, source: DataFrame, keys: Sequence[str], created: str, start) -> DataFrame:
-    """Rows created since ``start`` that the source no longer has are removed."""
-    recent = F.col(created) >= F.lit(as_date(start))
-    inside = semi(target.filter(recent), source.filter(recent), keys)
-    return target.filter(~recent | F.col(created).isNull()).unionByName(inside)
+    One join: the source's changed and recent keys, each with two marks, against the target.
+    """
+    keys = list(keys)
+    recent = F.lit(False) if repair_from is None else F.coalesce(F.col(created) >= F.lit(repair_from), F.lit(False))
+    marks = (source.filter(changed | recent).groupBy(*keys)
+             .agg(F.bool_or(changed).alias("__changed"), F.bool_or(recent).alias("__recent")))
+    kept = facts(target, marks, keys, "left").filter(
+        ~F.coalesce("__changed", F.lit(False)) & (~recent | F.coalesce("__recent", F.lit(False))))
+    return kept.select(*target.columns).unionByName(source.filter(changed).select(*target.columns))
 
 
 def reload_window(target: DataFrame, source: DataFrame, created: str, start) -> DataFrame:
@@ -101,18 +108,19 @@ def sync_table(source: DataFrame, target: DataFrame, keys: Sequence[str], create
        deleted at the source on that day vanish.
     2. Changed rows replace their keys.
     3. Rows of the look-back window whose key the source lost are dropped.
-    4. With ``reload_days``, the window is reloaded when forced or when counts still differ.
+    4. With ``reload_days``, the window is reloaded when forced or when its row counts, by
+       the columns of ``reconcile_by``, still differ. The state is staged for that.
     """
     as_of = as_date(as_of)
     kept = target
     if same_day:
         kept = target.filter((F.col(created) < F.lit(as_of)) | F.col(created).isNull())
-    state = replace_changed(kept, changed_rows(source, created, updated, as_of, floor), keys)
-    if lookback_days is not None:
-        state = drop_deleted(state, source, keys, created, as_of - dt.timedelta(days=lookback_days))
+    repair_from = None if lookback_days is None else as_of - dt.timedelta(days=lookback_days)
+    state = next_state(kept, source, keys, created, changed_since(created, updated, as_of, floor), repair_from)
     if reload_days is not None:
         start = as_of - dt.timedelta(days=reload_days)
-        if force or (reconcile_by and differs(state, source, created, start, reconcile_by)):
+        state = written(state, "mirror")
+        if force or differs(state, source, created, start, reconcile_by):
             state = reload_window(state, source, created, start)
     return state
 
@@ -125,7 +133,7 @@ def sync_mirror(name: str, source: DataFrame, target: DataFrame, created: str, u
         source = source.filter(spec.only)
     return sync_table(source, target, spec.keys, created, updated, as_of,
                       lookback_days=spec.repair_days, same_day=spec.same_day,
-                      reload_days=spec.reload_days, **options)
+                      reload_days=spec.reload_days, **{"reconcile_by": spec.reconcile_by, **options})
 
 
 def full_refresh(source: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

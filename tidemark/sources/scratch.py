@@ -29,7 +29,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, however often it is used,
     and still there when executors are lost. It stays until ``drop_scratch``."""
     folder = run_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
