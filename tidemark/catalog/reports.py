@@ -8,7 +8,7 @@ from tidemark.catalog.base import dec, query, ymd, ymdhms
 from tidemark.functions import codes
 from tidemark.functions.dates import month_key, month_start
 from tidemark.functions.numbers import money, signed, zero_sum
-from tidemark.functions.text import pieces
+from tidemark.functions.text import joined_key, pieces
 from tidemark.operators.joins import equi, facts
 from tidemark.operators.sets import union_by_name
 from tidemark.plans import activity, history, masters, sales, stock
@@ -59,6 +59,27 @@ def sales_fact(t):
         F.count_distinct("brand_group").alias("groups"), F.min("delivered").alias("first_delivery"))
 
 
+@query("sales_refresh", f"""
+    WITH e AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_totalprice, CASE WHEN o_orderstatus IN ('F', 'O') THEN 'TM' ELSE 'CK' END AS payment,
+                      coalesce(c_name, 'none') AS buyer
+               FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_nationkey = o_custkey % 25)
+    SELECT o_orderkey, {ymd('day')} AS day, CASE WHEN day >= DATE '2001-06-01' THEN o_totalprice ELSE 0 END AS price, payment, buyer
+    FROM e WHERE day >= DATE '2001-06-01' OR o_orderkey % 2 = 0""")
+def sales_refresh(t):
+    """The last days of a stored fact replaced by the enriched orders, if their key is unique; the
+    buyer is looked up by a key of two columns."""
+    nation = (F.col("o_custkey") % 25).cast("int")
+    orders = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("price"),
+                             codes.label("o_orderstatus", PAY).alias("payment"),
+                             joined_key("o_custkey", F.lit("|"), nation).alias("buyer_key"))
+    buyers = t.customer.select(joined_key("c_custkey", F.lit("|"), "c_nationkey").alias("key"), "c_name")
+    fact = sales.enrich_sales(orders, [sales.Lookup(buyers, "buyer_key", "key", "c_name", "buyer", "none")], "day", payment="payment") \
+        .select("o_orderkey", "day", "price", "payment", "buyer")
+    stored = fact.filter("o_orderkey % 2 = 0").withColumn("price", F.lit(0.0))
+    first = dt.date(2001, 6, 1)
+    return sales.refresh_sales(stored, fact.filter(F.col("day") >= F.lit(first)), "day", first, ["o_orderkey"])
+
+
 @query("sales_raw_to_fact", f"""
     WITH ln AS (SELECT l_orderkey, l_linenumber, CAST(sum({dec('l_quantity')}) AS DOUBLE) AS qty,
                        max({dec('l_extendedprice')}) AS price, sum({dec('l_extendedprice')}) AS amount, bool_or(l_discount >= 0.1) AS free
@@ -268,6 +289,40 @@ def receivables_ledger(t):
     return _ledger(t).drop("leg")
 
 
+@query("receivables_legs", f"""
+    WITH {O}, ids AS (SELECT o_orderkey AS order_nbr, o_orderkey - o_orderkey % 2 AS orig_nbr, d, st, amt FROM o),
+    ln AS (SELECT l_orderkey, l_returnflag = 'N' AS received, max(l_shipdate)::DATE AS ls, sum({_L}) AS amt FROM lineitem
+           WHERE l_returnflag = 'N' OR (l_returnflag = 'A' AND l_linestatus = 'F') GROUP BY ALL),
+    legs AS (SELECT 'released_amt' AS leg, order_nbr, orig_nbr, d AS event_date, {dec('amt')} AS released_amt, 0 AS received_amt, 0 AS confirmed_amt
+             FROM ids WHERE st <> 'P'
+             UNION ALL SELECT CASE WHEN received THEN 'received_amt' ELSE 'confirmed_amt' END, order_nbr, orig_nbr, ls, 0,
+                 CASE WHEN received THEN ln.amt ELSE 0 END, CASE WHEN received THEN 0 ELSE ln.amt END FROM ln JOIN ids ON l_orderkey = order_nbr)
+    SELECT leg, order_nbr, orig_nbr, {ymd('event_date')} AS event_date, CAST(released_amt AS DOUBLE) AS released_amt,
+           CAST(received_amt AS DOUBLE) AS received_amt, CAST(confirmed_amt AS DOUBLE) AS confirmed_amt
+    FROM legs WHERE order_nbr NOT IN (SELECT o_orderkey FROM canc)
+        AND NOT (leg = 'received_amt' AND order_nbr IN (SELECT o_orderkey FROM ret))
+        AND NOT (leg = 'confirmed_amt' AND orig_nbr IN (SELECT o_orderkey FROM ret))""")
+def receivables_legs(t):
+    """The ledger from separate sources: a stored base of old releases, and confirmations that
+    name the original order."""
+    orig = (F.col("order_nbr") - F.col("order_nbr") % 2).alias("orig_nbr")
+    o = _orders(t).filter("status <> 'P'").select("order_nbr", orig, "order_date", "o_totalprice")
+    released = rec.ledger_leg(o, "released_amt", "o_totalprice", "order_date", ["order_nbr", "orig_nbr"])
+    old = F.col("event_date") < F.lit(dt.date(1996, 1, 1))
+    flag = F.col("l_returnflag")
+    lines = t.lineitem.filter((flag == "N") | ((flag == "A") & (F.col("l_linestatus") == "F"))).groupBy(
+        F.col("l_orderkey").alias("order_nbr"), (flag == "N").alias("received")).agg(
+        F.max("l_shipdate").alias("last_ship"), zero_sum(money("l_extendedprice")).alias("amount")).select("*", orig)
+
+    def booked(name, received):
+        return rec.ledger_leg(lines.filter(F.col("received") == received), name, "amount", "last_ship", ["order_nbr", "orig_nbr"])
+
+    legs = {"released_amt": released.filter(~old), "received_amt": booked("received_amt", True),
+            "confirmed_amt": booked("confirmed_amt", False)}
+    out = rec.receivables_ledger(legs, _flags(t), ["order_nbr"], ["orig_nbr"], {"released_amt": released.filter(old)})
+    return out.select("leg", "order_nbr", "orig_nbr", "event_date", *legs)
+
+
 @query("order_reversals", f"""
     WITH {O} SELECT 'cancelled' AS kind, o_orderkey AS order_nbr FROM canc UNION ALL SELECT 'returned', o_orderkey FROM ret""")
 def order_reversals(t):

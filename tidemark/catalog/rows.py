@@ -227,3 +227,12 @@ def agg_sum_flags(t):
     orders = t.orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
     out = group_sum(orders, ["o_custkey", "o_orderstatus"], ["o_totalprice"], ["o_orderdate"], ["o_orderkey"])
     return out.withColumn("is_large", flag(F.col("o_totalprice") - 300000))
+
+
+@query("dq_page_completeness", """
+    SELECT conv_id, count(*) AS rows, max(turn) + 1 AS declared, CAST(count(*) = max(turn) + 1 AS BIGINT) AS complete
+    FROM conversations WHERE NOT (role = 'assistant' AND turn % 5 = 3) GROUP BY conv_id""")
+def dq_page_completeness(t):
+    """Conversations as pages that number their turns; some rows were lost on the way."""
+    left = t.conversations.filter("not (role = 'assistant' and turn % 5 = 3)")
+    return quality.page_completeness(left.withColumn("declared", F.col("turn") + 1), ["conv_id"], "declared")

@@ -34,6 +34,12 @@ def is_complete(df: DataFrame, declared_total: int) -> bool:
     return df.count() == declared_total
 
 
+def page_completeness(rows: DataFrame, page: Sequence[str], declared: str) -> DataFrame:
+    """Per page: the rows it holds, the number it declares, and whether they agree."""
+    return (rows.groupBy(*page).agg(F.count(F.lit(1)).alias("rows"), F.max(declared).alias("declared"))
+            .withColumn("complete", F.col("rows") == F.col("declared")))
+
+
 def split_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is repeated: the side table written next to a report.
 
