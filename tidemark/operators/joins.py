@@ -14,6 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemark.functions.numbers import col
 from tidemark.functions.text import pieces
@@ -117,12 +118,15 @@ def checked(df: DataFrame, dim: DataFrame, keys: Keys, how: str = "left") -> Dat
 def groupwise_max(df: DataFrame, keys: Keys, by: str, null_safe: bool = True) -> DataFrame:
     """All rows carrying their group's greatest value; ties stay.
 
-    One partial aggregation and an equi join on key and value, so a hot key's rows are
-    never sorted in one task.
+    A rank limit, which Spark applies on each input partition before the shuffle, so a hot key
+    sends no more than its ties and the frame is read once. Null keys are a group under
+    ``null_safe`` and leave otherwise.
     """
     keys = names_of(keys)
-    top = df.groupBy(*keys).agg(F.max(by).alias(by)).filter(F.col(by).isNotNull())
-    return equi(df, top, [*keys, by], "left_semi", null_safe)
+    rows = df.filter(F.col(by).isNotNull())
+    rows = rows if null_safe else rows.dropna(subset=keys)
+    rank = F.rank().over(W.partitionBy(*keys).orderBy(F.col(by).desc()))
+    return rows.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 
 def membership(left: DataFrame, lists: DataFrame, keys: Keys, item: str, list_col: str,
