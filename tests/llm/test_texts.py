@@ -84,12 +84,16 @@ def plain_classes(rows, weights, threshold):
     return sorted(((i, least(g), len(g)) for g in groups.values() for i in g), key=str)
 
 
-def test_near_copies_against_plain(spark, odd, documents):
+@pytest.mark.parametrize("large, block, rounds", [(40, 250, 8), (2, 3, 1), (2, 20, 0)])
+def test_near_copies_against_plain(spark, odd, documents, monkeypatch, large, block, rounds):
+    monkeypatch.setattr(near_dup, "LARGE_BUCKET", large)
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "STAR_ROUNDS", rounds)
     words = [f"w{i}" for i in range(120)]
     hot = [(1000 + k, " ".join(words[:k % 100] + [f"new{k}"] + words[k % 100 + 1:])) for k in range(80)]
     made = spark.createDataFrame(hot + [(2000, " ".join(words)), (2001, "only four words here"), (2002, "Only FOUR words  here")],
                                  "doc_id bigint, text string")
-    docs = documents.select("doc_id", "text").unionByName(made).unionByName(odd.where("doc_id is null or doc_id < 7").select(
+    docs = documents.select("doc_id", "text").limit(80).unionByName(made).unionByName(odd.where("doc_id is null or doc_id < 7").select(
         (odd.doc_id + 5000).alias("doc_id"), "text"))
     rows = [tuple(r) for r in docs.collect()]
     weights = near_dup.frequent_shingles(docs.select("text"))
@@ -111,6 +115,22 @@ def test_samples_agree_as_often_as_weights_overlap():
     assert abs(share - near_dup.similarity(a, b)) < 0.03
 
 
+def test_sketches_keep_similar_pairs(spark):
+    import numpy as np
+    sampler, random = near_dup.Sampler(near_dup.SAMPLES), np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        names = np.unique(near_dup.tb.mix(random.integers(1, 1 << 62, 130).astype(np.uint64)))
+        cut = (7, 40, 100)[i % 3]  # similarity 0.85, 0.4 and next to none
+        a, b = names[:-cut], names[cut:]
+        s = [near_dup.sketch(sampler.samples(x, np.ones(len(x)))).tolist() for x in (a, b)]
+        rows.append((near_dup.similarity((a, np.ones(len(a))), (b, np.ones(len(b)))), (float(len(a)), s[0]), (float(len(b)), s[1])))
+    kind = "struct<w: double, s: array<bigint>>"
+    pairs = spark.createDataFrame(rows, f"j double, a {kind}, b {kind}")
+    kept = [r.j for r in pairs.where(near_dup.plausible(pairs.a, pairs.b, 0.8)).collect()]
+    assert sum(j >= 0.8 for j in kept) == sum(r[0] >= 0.8 for r in rows) and sum(j < 0.3 for j in kept) == 0
+
+
 def test_leaks(spark, odd):
     items = [(1, "What is the colour of the sky over the northern hills at noon?\nThe answer is a very pale greenish blue."),
              (2, "Short one. Yes indeed it is."), (3, None), (4, ""), (5, "..."), (None, "An item without any id. It has words."),
