@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog.base import Query, Tables
+from tidemark.sources.scratch import put_bytes, shared_folder
 
 registered: dict[str, Query] = {}
 
@@ -22,11 +23,12 @@ def ship(spark: SparkSession) -> SparkSession:
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="py-files-"), f"{package.name}.zip")
+        archive = io.BytesIO()
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
             for f in sorted(package.rglob("*.py")):
                 z.write(f, f.relative_to(package.parent))
-        context.addPyFile(str(archive))
+        context.addPyFile(put_bytes(
+            spark, f"{shared_folder(spark)}/py-files/{context.applicationId}", f"{package.name}.zip", archive.getvalue()))
         _shipped.add(context.applicationId)
     return spark
 

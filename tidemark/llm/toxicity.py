@@ -181,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 50) -> tuple[float, float]:
     """Newton's method for one feature; the ridge keeps it finite when a cut parts the labels."""
-    design, beta = np.stack([np.ones_like(x), x], 1), np.zeros(2)
+    design, beta = np.array([np.ones_like(x), x]).T, np.zeros(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         w = np.maximum(p * (1 - p), 1e-9)
