@@ -131,7 +131,25 @@ def toxicity_scores(t):
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_hits")
 
 
-@query("op5_suffix_array_dedup")
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d)),
+rep AS (SELECT doc_id, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM rep),
+r AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM r GROUP BY doc_id, run),
+p AS (SELECT s.doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0) AS before FROM s),
+k AS (SELECT p.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last_b,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+      FROM p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * last_b + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op5_suffix_array_dedup", OP5_SQL)
 def suffix_array_dedup(t):
     cut = substrings.repeated_strings(t.documents.select("doc_id", "text"), width=200, hashed=True)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
