@@ -86,17 +86,26 @@ def sales_refresh(t):
                 FROM lineitem GROUP BY ALL),
          lot AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(sum({dec('l_quantity')}) AS DOUBLE) AS qty
                  FROM lineitem WHERE l_returnflag <> 'A' GROUP BY ALL),
-         h AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -1 ELSE 0 END AS sign
-               FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'))
+         h AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -1 ELSE CASE o_orderpriority WHEN '2-HIGH' THEN 1 ELSE 0 END END AS sign,
+                      c_name AS customer, c_mktsegment AS channel, n_name AS place
+               FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+               WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')),
+         dl AS (SELECT l_orderkey, max(l_shipdate)::DATE AS delivered FROM lineitem GROUP BY ALL)
     SELECT o_orderkey AS order_nbr, CAST(ln.l_linenumber AS BIGINT) AS line_ref, coalesce(CAST(l_suppkey AS VARCHAR), '') AS lot,
            sign * coalesce(lot.qty, ln.qty) AS quantity,
            CAST(CASE WHEN free THEN 0 ELSE sign * CAST(coalesce(lot.qty, ln.qty) AS DECIMAL(18,2)) * price END AS DOUBLE) AS revenue,
            CAST(CASE WHEN free THEN 0 ELSE sign * amount END AS DOUBLE) AS before_vat_amount,
-           CASE WHEN coalesce(lot.qty, ln.qty) > 25 THEN 'large' ELSE 'plain' END AS name
-    FROM ln JOIN h ON ln.l_orderkey = o_orderkey LEFT JOIN lot ON lot.l_orderkey = ln.l_orderkey AND lot.l_linenumber = ln.l_linenumber""")
+           CASE WHEN coalesce(lot.qty, ln.qty) > 25 THEN 'large' ELSE 'plain' END AS name, customer, channel, place, {ymd('delivered')} AS delivered
+    FROM ln JOIN dl ON dl.l_orderkey = ln.l_orderkey JOIN h ON ln.l_orderkey = o_orderkey LEFT JOIN lot ON lot.l_orderkey = ln.l_orderkey AND lot.l_linenumber = ln.l_linenumber""")
 def sales_raw_to_fact(t):
-    o = t.orders.select(F.lit("B1").alias("branch_id"), F.col("o_orderkey").alias("order_nbr"), "o_orderpriority",
-                        codes.label("o_orderstatus", {"F": "IN", "O": "CO", "P": "XX"}).alias("order_type"))
+    replaced = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "2-HIGH")
+    kind = F.when(replaced, "EX").otherwise(codes.label("o_orderstatus", {"F": "IN", "O": "CO", "P": "XX"}))
+    people = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("customer"), F.col("c_mktsegment").alias("channel"),
+        F.col("n_name").alias("place"))
+    o = equi(t.orders, people, "o_custkey").select(
+        F.lit("B1").alias("branch_id"), F.col("o_orderkey").alias("order_nbr"), "o_orderpriority", kind.alias("order_type"),
+        "customer", "channel", "place")
     keys = [F.lit("B1").alias("branch_id"), F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").alias("line_ref")]
     amount = money("l_extendedprice")
     lines = t.lineitem.groupBy(*keys).agg(
@@ -105,14 +114,20 @@ def sales_raw_to_fact(t):
         F.sum(amount).alias("after_vat_amount"), F.lit(0).alias("vat_amount"))
     lots = t.lineitem.filter("l_returnflag <> 'A'").groupBy(*keys, F.col("l_suppkey").cast("string").alias("lot")) \
         .agg(zero_sum(money("l_quantity")).cast("double").alias("qty"))
-    types = literal_rows(t.spark, [("IN", "IN"), ("CO", "CM"), ("XX", "NA")], "order_type string, doc_type string")
+    types = literal_rows(t.spark, [("IN", "IN"), ("CO", "CM"), ("XX", "NA"), ("EX", "IN")], "order_type string, doc_type string")
+    deliveries = t.lineitem.groupBy(*keys[:2]).agg(F.to_date(F.max("l_shipdate")).alias("delivered"))
     lines = lines.withColumn("line_big", F.col("line_qty") > 25)
     lots = lots.withColumn("lot_big", F.col("qty") > 25)
-    rows = sales.sales_lines(o, lines, lots, types).withColumns({
-        "name": F.when(F.coalesce("lot_big", "line_big"), "large").otherwise("  "), "long_name": F.lit("plain")})
+
+    def branch(headers):
+        rows = sales.sales_lines(facts(headers, deliveries, ["branch_id", "order_nbr"], "left"), lines, lots, types)
+        return rows.withColumns({"name": F.when(F.coalesce("lot_big", "line_big"), "large").otherwise("  "), "long_name": F.lit("plain")})
+
     returned = o.filter("order_type = 'XX' and o_orderpriority = '1-URGENT'")
-    fact = sales.raw_to_fact(rows, None, returned, [("name", "long_name")])
-    return fact.select("order_nbr", "line_ref", "lot", "quantity", "revenue", "before_vat_amount", "name")
+    fact = sales.raw_to_fact(branch(o.filter("order_type <> 'EX'")), branch(o.filter("order_type = 'EX'")), returned,
+                             [("name", "long_name")])
+    return fact.select("order_nbr", "line_ref", "lot", "quantity", "revenue", "before_vat_amount", "name", "customer", "channel",
+                       "place", "delivered")
 
 
 @query("run_rate", f"""
