@@ -437,22 +437,45 @@ CHANNEL = {"BUILDING": "NT", "MACHINERY": "CHUOI", "HOUSEHOLD": "INS1"}
 TERMS = rec.ImmediateTerms(two_days=("T2", "T3"), one_day=("O1",))
 
 
-@query("overdue_classes", f"""
-    WITH {BALANCE},
+OVERDUE = f"""{BALANCE},
          c AS (SELECT bl.*, CASE c_mktsegment WHEN 'BUILDING' THEN 'NT' WHEN 'MACHINERY' THEN 'CHUOI' WHEN 'HOUSEHOLD' THEN 'INS1' ELSE 'X' END AS ch
                FROM bl JOIN customer ON c_custkey = cust_id WHERE c_nationkey <> 3),
          x AS (SELECT *, CASE WHEN delivery_status = 'Đã giao hàng' AND terms IN ('T2', 'T3', 'O1') THEN CAST(delivery_time AS DATE) + 1
                      WHEN delivery_status <> 'Đã giao hàng' AND terms IN ('T2', 'T3') THEN order_date + 2
                      WHEN delivery_status <> 'Đã giao hàng' AND terms = 'O1' THEN order_date + 1 ELSE due_date END AS due
-               FROM c WHERE balance > 1000 AND ((ch = 'NT' AND payment = 'TM') OR (ch = 'CHUOI' AND terms_type = 'Thanh Toán Ngay' AND payment = 'TM')))
-    SELECT terms, delivery_status, CASE WHEN due <= DATE '2000-06-30' THEN 'Đã tới hạn' ELSE 'Chưa tới hạn' END AS due_state,
-           CAST(sum(balance) AS DOUBLE) AS balance, count(*) AS orders FROM x GROUP BY 1, 2, 3""")
-def overdue_classes(t):
+               FROM c WHERE balance > 1000 AND ((ch = 'NT' AND payment = 'TM') OR (ch = 'CHUOI' AND terms_type = 'Thanh Toán Ngay' AND payment = 'TM')))"""
+
+
+def _chased(t):
     side = t.customer.select(F.col("c_custkey").alias("cust_id"), F.col("c_nationkey").cast("string").alias("staff"),
                              codes.label("c_mktsegment", CHANNEL, "X").alias("channel"))
     rows = equi(_balance(t), side, "cust_id", "inner")
-    rows = rows.withColumn("owner_class", rec.owner_class("channel", "payment", "terms_type"))
-    return rec.overdue_classes(rows, "2000-06-30", TERMS, ["terms", "delivery_status"], exclude_staff=["3"])
+    return rows.withColumn("owner_class", rec.owner_class("channel", "payment", "terms_type"))
+
+
+@query("overdue_detail", f"""
+    WITH {OVERDUE},
+         n AS (SELECT user_id, event_type || event_id AS note, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type || event_id DESC) AS k
+               FROM events WHERE event_type IN ('view', 'click'))
+    SELECT order_nbr, x.cust_id, {ymd('due')} AS due_on, CASE WHEN due <= DATE '2000-06-30' THEN 'Đã tới hạn' ELSE 'Chưa tới hạn' END AS due_state,
+           CAST(balance AS DOUBLE) AS balance, a.note AS note_1, b.note AS note_2, n_name AS seller, r_name AS area
+    FROM x LEFT JOIN n a ON a.user_id = x.cust_id AND a.k = 1 LEFT JOIN n b ON b.user_id = x.cust_id AND b.k = 2
+    JOIN customer ON c_custkey = x.cust_id JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""")
+def overdue_detail(t):
+    notes = t.events.filter("event_type in ('view', 'click')").select(
+        F.col("user_id").alias("cust_id"), F.col("ts").alias("noted_at"), F.concat("event_type", "event_id").alias("note"))
+    staff = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").cast("string").alias("staff"), F.col("n_name").alias("seller"), F.col("r_name").alias("area"))
+    out = rec.overdue_detail(_chased(t), notes, staff, "2000-06-30", TERMS, "cust_id", exclude_staff=["3"])
+    return out.select("order_nbr", "cust_id", "due_on", "due_state", "balance", "note_1", "note_2", "seller", "area")
+
+
+@query("overdue_classes", f"""
+    WITH {OVERDUE}
+    SELECT terms, delivery_status, CASE WHEN due <= DATE '2000-06-30' THEN 'Đã tới hạn' ELSE 'Chưa tới hạn' END AS due_state,
+           CAST(sum(balance) AS DOUBLE) AS balance, count(*) AS orders FROM x GROUP BY 1, 2, 3""")
+def overdue_classes(t):
+    return rec.overdue_classes(_chased(t), "2000-06-30", TERMS, ["terms", "delivery_status"], exclude_staff=["3"])
 
 
 @query("owner_assignment", f"""

@@ -15,9 +15,9 @@ from tidemark.functions.codes import (CARRIER_UNIT, DELIVERED, WITH_CARRIER, del
 from tidemark.functions.dates import NO_DATE, as_date
 from tidemark.functions.numbers import col, flag, money, zero_sum
 from tidemark.operators.aggregates import all_members
-from tidemark.operators.joins import anti, equi, facts, lookup
+from tidemark.operators.joins import anti, equi, facts, lookup, one_per_key
 from tidemark.operators.sets import union_by_name
-from tidemark.operators.windows import islands
+from tidemark.operators.windows import islands, latest_two
 
 # The ledger's amount columns, one per event.
 AMOUNTS = ("opening_amt", "released_amt", "delivered_amt", "received_amt",
@@ -344,9 +344,8 @@ def collection_due(terms: str, status: str, delivered_at: str, ordered_on: str,
             .otherwise(F.to_date(due)))
 
 
-def overdue_classes(balances: DataFrame, as_of, rules: ImmediateTerms, keys: Sequence[str],
-                    exclude_staff: Sequence[str] = ()) -> DataFrame:
-    """Open balances by due class.
+def overdue_rows(balances: DataFrame, as_of, rules: ImmediateTerms, exclude_staff: Sequence[str] = ()) -> DataFrame:
+    """Open balances of the sales owners with the day they fall due (``due_on``) and ``due_state``.
 
     ``balances``: owner_class, balance, staff, terms, delivery_status, delivery_time,
     order_date, due_date.
@@ -355,6 +354,25 @@ def overdue_classes(balances: DataFrame, as_of, rules: ImmediateTerms, keys: Seq
     if exclude_staff:
         open_ = open_.filter(~F.col("staff").isin(*exclude_staff))
     due = collection_due("terms", "delivery_status", "delivery_time", "order_date", "due_date", rules)
-    state = F.when(due <= F.lit(as_date(as_of)), F.lit(DUE)).otherwise(F.lit(NOT_DUE))
-    return (open_.withColumn("due_state", state).groupBy(*keys, "due_state")
+    state = F.when(F.col("due_on") <= F.lit(as_date(as_of)), F.lit(DUE)).otherwise(F.lit(NOT_DUE))
+    return open_.withColumn("due_on", due).withColumn("due_state", state)
+
+
+def overdue_detail(balances: DataFrame, notes: DataFrame, staff: DataFrame, as_of, rules: ImmediateTerms,
+                   customer: str, exclude_staff: Sequence[str] = ()) -> DataFrame:
+    """The overdue rows one by one, with the customer's latest two visit notes and the names of
+    the people in charge.
+
+    ``notes``: customer, noted_at, note (a total order of a customer's notes); ``staff``: staff
+    and the columns to show, one row per staff member.
+    """
+    rows = overdue_rows(balances, as_of, rules, exclude_staff)
+    last = latest_two(notes, [customer], ["noted_at", "note"], "note")
+    return equi(facts(rows, last, customer, "left"), one_per_key(staff, "staff"), "staff", "left")
+
+
+def overdue_classes(balances: DataFrame, as_of, rules: ImmediateTerms, keys: Sequence[str],
+                    exclude_staff: Sequence[str] = ()) -> DataFrame:
+    """Open balances by due class; the input of ``overdue_rows``."""
+    return (overdue_rows(balances, as_of, rules, exclude_staff).groupBy(*keys, "due_state")
             .agg(zero_sum(money("balance")).alias("balance"), F.count(F.lit(1)).alias("orders")))
