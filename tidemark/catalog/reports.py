@@ -353,8 +353,9 @@ EXCLUDED = [("T4", "CK", 1.0), ("T4", "TM", None)]
 CARRIED = ["payment", "unit", "delivery_time", "delivery_status"]
 
 
-def _by_order(t):
-    by = rec.receivables_by_order(_ledger(t, CARRIED), [*LEDGER_KEYS, *CARRIED], last_dates=["event_date"])
+def _by_order(t, more=()):
+    carried = [*CARRIED, *more]
+    by = rec.receivables_by_order(_ledger(t, carried), [*LEDGER_KEYS, *carried], last_dates=["event_date"])
     by = rec.with_payment_class(by, "payment")
     rules = literal_rows(t.spark, RULES, "terms string, payment string, owner string")
     by = rec.owner_by_rule(by, rules, ["terms", "payment"], "owner")
@@ -378,9 +379,21 @@ BY_ORDER = f"""{LEDGER},
     WITH {BY_ORDER}
     SELECT order_nbr, cust_id, terms, {ymd('order_date')} AS order_date, {ymd('due_date')} AS due_date, {ymd('event_date')} AS event_date,
            {', '.join(f'CAST({a} AS DOUBLE) AS {a}' for a in rec.AMOUNTS)}, {', '.join(f'has_{a[:-4]}' for a in rec.AMOUNTS)},
-           payment, owner, terms_type FROM bo""")
+           payment, owner, terms_type, c_name AS cust_name, c_mktsegment AS channel, n_name AS place, r_name AS area,
+           concat_ws(', ', c_name, n_name, r_name) AS address, pr AS priority, delivery_status AS last_step
+    FROM bo JOIN (SELECT o_orderkey, pr FROM o) o ON o.o_orderkey = order_nbr LEFT JOIN customer ON c_custkey = cust_id LEFT JOIN nation ON n_nationkey = c_nationkey
+    LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN (
+        SELECT l_orderkey, CASE l_returnflag WHEN 'N' THEN 'Đã giao hàng' WHEN 'R' THEN 'KH Không Nhận' ELSE 'Đã Xác Nhận' END AS delivery_status
+        FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_shipdate DESC,
+            CASE l_returnflag WHEN 'R' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) = 1) ON l_orderkey = order_nbr""")
 def receivables_by_order(t):
-    return _by_order(t).drop("unit", "delivery_time", "delivery_status")
+    """The balance per order with its customer, places, address, priority and last delivery step."""
+    dims = [(t.customer, "cust_id", "c_custkey", "", ["c_name", "c_mktsegment", "c_nationkey"]),
+            (t.nation, "c_nationkey", "n_nationkey", "", ["n_name", "n_regionkey"]),
+            (t.region, "n_regionkey", "r_regionkey", "", ["r_name"])]
+    out = masters.customer_master(_by_order(t, ["priority"]), dims, ["c_name", "n_name", "r_name"])
+    return out.withColumnsRenamed({"c_name": "cust_name", "c_mktsegment": "channel", "n_name": "place", "r_name": "area",
+                                   "delivery_status": "last_step"}).drop("unit", "delivery_time", "c_nationkey", "n_regionkey")
 
 
 def _balance(t):
