@@ -45,7 +45,7 @@ IDF_SHARE = 0.25  # how much of a weight the idf decides
 BUCKETS = 1 << 18
 CHUNK_BYTES = 1 << 18
 STAR_ROUNDS = 8  # at most; what they leave is compared pair by pair
-WORTH = 20  # a round that links fewer than one in so many of its pairs is the last
+WORTH = 4  # a round that links fewer than one in so many of its pairs is the last
 LARGE_BUCKET, BLOCK = 40, 250  # members; larger buckets are compared block by block
 PER_LEADER = 500  # pairs of one leader that are compared in one group
 _U = np.uint64
@@ -352,10 +352,12 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     shared = written(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader"))
                      .where("n > 1"), "buckets")
     members = written(banded.join(shared.select("bucket", "leader"), "bucket"), "members")
-    wanted = members.select("node").distinct()
+    # One row of each text that is needed, found by number, so that copies never meet with their texts.
+    chosen = written(base.select("node", "u").groupBy("node").agg(F.min("u").alias("u"))
+                     .join(members.select("node").distinct(), "node").select("u"), "chosen")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"candidates_{uuid.uuid4().hex}"
-    (base.select("node", "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text"))
+    (base.select("node", "text", "u").join(chosen, "u").select("node", "text").repartition(n, "node")
      .write.bucketBy(n, "node").option("compression", "zstd").option("path", run_folder(spark, "candidates")).format("parquet").saveAsTable(table))
     texts = spark.table(table)
 
