@@ -123,7 +123,8 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     if carry is not None:
         facts = facts.withColumn("row", F.struct(*[F.col(f"row.`{c}`").alias(c) for c in carry]))
     facts = written(facts.withColumn("base_failed", base_failed()), "host-rules")
-    bad = host_verdicts(facts, limits).where("host_failed").select(F.col("host").alias("bad_host"), "host_failed")
+    # Written, so that the join shuffles both sides itself, unless small, and can split a host with very many rows.
+    bad = written(host_verdicts(facts, limits).where("host_failed").select(F.col("host").alias("bad_host"), "host_failed"), "bad-hosts")
     joined = facts.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left")
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("host_failed"), F.lit(False))
     return released(joined, **{k: F.col(k) for k in (*FEATURES, "base_failed")}, kept=kept)

@@ -36,7 +36,7 @@ from tidemark.llm.frames import carried, released
 from tidemark.sources.scratch import run_folder, written
 
 WIDTH, FIRST = 200, 32
-LARGE_GROUP = 20_000
+LARGE_GROUP = 1_000
 PIECE = 1 << 20  # positions of a text that are looked at together
 _U = np.uint64
 _LOW = _U(PIECE - 1)
@@ -317,7 +317,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", width: int = WIDTH
     texts = keyed.groupBy("t", "t2").agg(F.first("b").alias("b"), F.count(F.lit(1)).alias("m"))
     name = f"suffixes_{uuid.uuid4().hex}"
     (texts.join(listed, ["t", "t2"], "left").select("t", "t2", "m", "b", "xs")
-     .write.bucketBy(n, "t", "t2").option("path", run_folder(spark, "suffix-texts")).format("parquet").saveAsTable(name))
+     .write.bucketBy(n, "t", "t2").option("compression", "zstd").option("path", run_folder(spark, "suffix-texts")).format("parquet").saveAsTable(name))
     table = spark.table(name)
 
     classes = written(
@@ -348,6 +348,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", width: int = WIDTH
            .mapInArrow(_cut(width), "t bigint, t2 bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
     if hashed:
         cut = cut.withColumn("kept", F.sha2("kept", 256))
+    cut = written(cut, "cut")  # so that the join shuffles both sides and a text with very many copies can be split
     joined = rows.drop("b").join(cut.withColumnsRenamed({"t": "c_t", "t2": "c_t2"}),
                                  (F.col("t") == F.col("c_t")) & (F.col("t2") == F.col("c_t2")))
     return released(joined, n_bytes=F.col("n_bytes"), n_removed=F.col("n_removed"), n_spans=F.col("n_spans"),
