@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tidemark.llm import pieces, recurrent_lm, tokens
@@ -145,3 +146,22 @@ def test_state_is_carried_across_windows(monkeypatch):
         whole.append(total / math.log(10))
     monkeypatch.setattr(recurrent_lm, "SCORE_LANES", 4)
     assert np.allclose(net.score(classes, firsts), whole, rtol=1e-4, atol=1e-4)
+
+
+def test_lm_learns_from_every_training_row(spark, none):
+    """The id with the smallest hash has 1,000 rows; the words of all other rows are learned nevertheless."""
+    ids = [r.id for r in spark.range(400).where(~recurrent_lm.held_out(F.col("id"))).orderBy(F.xxhash64("id")).collect()]
+    away = [r.id for r in spark.range(400).where(recurrent_lm.held_out(F.col("id"))).collect()]
+    rows = [(ids[0], "one hot row")] * 1000 + [(i, "left right " * 40) for i in ids[1:] + away]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [r for r in recurrent_lm.score(docs).collect() if r.held_out]
+    assert len(got) == len(away) and all(r.score / r.n_tokens > -0.1 for r in got)
+
+
+def test_no_token_is_left_out_of_the_lanes(monkeypatch):
+    seen = []
+    monkeypatch.setattr(recurrent_lm.Network, "gradients", lambda self, before, targets, begins, state: (
+        seen.extend(targets.ravel().tolist()), ({k: np.zeros_like(x) for k, x in self.w.items()}, state))[1])
+    told = np.arange(32 * 64 + 45) % 64
+    recurrent_lm.Network().train([(told, np.arange(len(told)) % 100 == 0), (np.array([5]), np.array([True]))], 0.02)
+    assert sorted(seen) == sorted([*told.tolist(), 5])
