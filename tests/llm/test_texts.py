@@ -149,6 +149,16 @@ def test_leaks(spark, odd):
     assert {r.doc_id for r in decontam.keep_clean(docs, benchmark).collect()} == {2, 3, 4, 5, 6, 9}
 
 
+@pytest.mark.parametrize("others", [[], [(2, None), (3, ""), (4, "...")]])
+def test_one_item_with_words(spark, others):
+    item = "What is the colour of the sky over the northern hills at noon?\nThe answer is a very pale greenish blue."
+    benchmark = spark.createDataFrame([(1, item), *others], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"some words before. {item} And some after"), (2, "nothing of it")], "doc_id bigint, text string")
+    got = {r.doc_id: (r["items"], r.contaminated) for r in decontam.leaked_items(docs, benchmark).collect()}
+    assert got == {1: ([1], True), 2: ([], False)}
+    assert [r.doc_id for r in decontam.keep_clean(docs, benchmark).collect()] == [2]
+
+
 def test_groups_of_items_agree(spark, documents, monkeypatch):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     whole = {r.doc_id: r["items"] for r in decontam.leaked_items(documents, benchmark).collect()}

@@ -204,7 +204,7 @@ def _searched(group: Group):
 def leaked_items(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """The rows with ``items`` (sorted ids of the test items they hold) and ``contaminated``."""
     index = written(impacts(items, id_col, "text"), "item-index")
-    n = (index.agg(F.max("number")).first()[0] or -1) + 1 if index.head(1) else 0
+    n = index.count()  # items are numbered from 0 without a gap
     rest = F.struct(*[F.col(f"row.`{c}`") for c in docs.columns if c != text_col])
     rows = carried(docs).select(rest.alias("row"), F.col(f"row.`{text_col}`").alias("text"),
                                 F.array().cast("array<bigint>").alias("found"))
