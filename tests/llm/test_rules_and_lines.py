@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tidemark.llm import host_rules, lines, urls
@@ -105,3 +106,13 @@ def test_url_model_on_other_urls(spark, model):
                                   "page_id bigint, url string")
     got = {r.page_id: r.verdict for r in urls.judge(pages, [], model).collect()}
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
+
+
+@pytest.mark.parametrize("values", [1, 3])
+def test_windows_with_one_hash_are_compared_by_words(spark, monkeypatch, values):
+    texts = [" ".join(f"w{i}" for i in range(40)), "a b c d a b c x y a b c d", "a a a a a", "one two three", "", None]
+    whole = F.xxhash64
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.pmod(whole(*c), F.lit(values)))
+    docs = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.n_repeat_words for r in host_rules.features(docs).select("row.doc_id", "n_repeat_words").collect()}
+    assert got == {0: 0, 1: 11, 2: 5, 3: 0, 4: 0, 5: 0}

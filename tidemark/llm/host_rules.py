@@ -8,8 +8,8 @@ hosts are aggregated partially before the shuffle, so a host with a third of all
 one row per task.
 
 Defined cases: a null text has no words; documents without a host form a host of their own;
-repeated rows count as often as they occur. Repeated word windows are found by a hash of at
-least 64 bits less the bits of the number of words (54 for 1000 words).
+repeated rows count as often as they occur. Repeated word windows are sorted by a hash and,
+where hashes are equal, by their words, so counts are exact.
 """
 
 from __future__ import annotations
@@ -35,21 +35,18 @@ def words(text: Column) -> Column:
 def repeated_words(tokens: Column) -> Column:
     """How many words stand in a window of three words that the text has more than once.
 
-    Windows are sorted as numbers, a hash above and the position below, so equal ones meet;
-    work and memory follow the words.
+    Windows are sorted as a hash, the three words and the position, so equal ones meet; words are
+    compared only where hashes are equal, and work and memory follow the words.
     """
-    hash_bits = F.call_function("shiftleft", F.lit(-1).cast("bigint"), F.ceil(F.log2(F.size(tokens) + 1)).cast("int"))
-    bound = F.struct(tokens.alias("w"), hash_bits.alias("hi"))
-    packed = let(bound, lambda s: F.struct(
-        s["hi"].alias("hi"),
-        F.sort_array(F.transform(F.sequence(F.lit(0), F.size(s["w"]) - 3), lambda i: F.xxhash64(
-            s["w"][i], s["w"][i + 1], s["w"][i + 2]).bitwiseAND(s["hi"]).bitwiseOR(i.cast("bigint")))).alias("p")))
-
-    def again(s):
-        same = lambda x, y: x.bitwiseAND(s["hi"]) == y.bitwiseAND(s["hi"])
-        hits = F.filter(s["p"], lambda x, i: ((i > 0) & same(x, F.get(s["p"], i - 1)))
-                        | ((i < F.size(s["p"]) - 1) & same(x, F.get(s["p"], i + 1))))
-        return F.sort_array(F.transform(hits, lambda x: x.bitwiseAND(F.bitwise_not(s["hi"]))))
+    windows = let(tokens, lambda w: F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(
+        F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), w[i].alias("a"), w[i + 1].alias("b"), w[i + 2].alias("c"),
+        i.cast("bigint").alias("i")))))
+
+    def again(p):
+        same = lambda x, y: F.coalesce(
+            (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
+        hits = F.filter(p, lambda x, i: same(x, F.get(p, i - 1)) | same(x, F.get(p, i + 1)))
+        return F.sort_array(F.transform(hits, lambda x: x["i"]))
 
     def covered(q):
         steps = F.when(F.size(q) > 1, F.aggregate(
@@ -57,7 +54,7 @@ def repeated_words(tokens: Column) -> Column:
             lambda total, j: total + F.least(F.lit(3).cast("bigint"), q[j] - q[j - 1]))).otherwise(F.lit(0))
         return F.when(F.size(q) == 0, F.lit(0)).otherwise(steps + 3)
 
-    return F.when(F.size(tokens) < 4, F.lit(0)).otherwise(let(let(packed, again), covered)).cast("bigint")
+    return F.when(F.size(tokens) < 4, F.lit(0)).otherwise(let(let(windows, again), covered)).cast("bigint")
 
 
 def features(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
