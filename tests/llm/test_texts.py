@@ -1,6 +1,7 @@
 """Repeated strings, near copies, decontamination, toxicity."""
 
 import hashlib
+import zlib
 from collections import Counter
 
 import pyarrow as pa
@@ -215,3 +216,11 @@ def test_held_out_labels_are_never_read(spark, documents):
     held = toxicity.held_out(labels.doc_id)
     changed = labels.withColumn("toxic", F.when(held, 1 - labels.toxic).otherwise(labels.toxic))
     assert toxicity.train(documents, labels) == toxicity.train(documents, changed)
+
+
+def test_copies_of_a_labelled_row_teach_once(spark):
+    rows = [(i, f"plain words number {i}" + (" blarg" if i % 4 == 0 else "")) for i in range(120)]
+    hot = next(r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    once, often = (toxicity.train(spark.createDataFrame(x, "doc_id bigint, text string"), labels) for x in (rows, rows + [hot] * 900))
+    assert once == often

@@ -6,8 +6,8 @@ weights are log odds learned from labelled rows, beside a short list of seeds. A
 the heaviest term counts, unless an exception phrase covers it. The sum of weights is
 normalised by length and becomes a probability by a logistic curve fitted on the same rows.
 
-Learning uses at most ``MAX_LABELLED`` labelled rows (those with the smallest hash of their
-id); scoring reads every text whole.
+Learning uses at most ``MAX_LABELLED`` labelled ids (those with the smallest hash), with one
+row for each distinct text of an id; scoring reads every text whole.
 
 Defined cases: null and empty texts score like any text without a hit; labels that are null
 are left out and of labels that differ for one id the greater counts; without both kinds of
@@ -160,7 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
              .orderBy(F.xxhash64("id"), "id").limit(limit))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    rows = written(texts.join(F.broadcast(known), "id").select("text", (F.col("toxic") > 0).alias("y")), "toxic-rows")
+    rows = written(texts.join(F.broadcast(known), "id").groupBy("id", "text").agg(F.max("toxic").alias("toxic"))
+                   .select("text", (F.col("toxic") > 0).alias("y")), "toxic-rows")
     size = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = size.get(True, 0), size.get(False, 0)
     weights = {f"{w} ": SEED_WEIGHT for w in SEEDS}
@@ -174,19 +175,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     weights |= {r["term"]: r["w"] for r in learned}
     model = Model(weights)
     sample = rows.select("text", F.col("y").cast("bigint")).mapInArrow(
-        _measured(model), "x double, n_hits bigint, keep bigint").select("x", "keep").toPandas()
-    a, b = _logistic(sample["x"].to_numpy(), sample["keep"].to_numpy())
+        _measured(model), "x double, n_hits bigint, keep bigint").groupBy("x", "keep").agg(
+        F.count(F.lit(1)).alias("n")).toPandas().sort_values(["x", "keep"])
+    a, b = _logistic(*(sample[c].to_numpy() for c in ("x", "keep", "n")))
     return Model(weights, intercept=a, slope=b)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 50) -> tuple[float, float]:
-    """Newton's method for one feature; the ridge keeps it finite when a cut parts the labels."""
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.02, steps: int = 50) -> tuple[float, float]:
+    """Newton's method for one feature, each row counted ``n`` times; the ridge keeps it finite when a cut parts the labels."""
     design, beta = np.array([np.ones_like(x), x]).T, np.zeros(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        w = np.maximum(p * (1 - p), 1e-9)
+        w = n * np.maximum(p * (1 - p), 1e-9)
         step = np.linalg.solve((design * w[:, None]).T @ design + ridge * np.diag([0.01, 1]),
-                               design.T @ (y - p) - ridge * np.array([0.01, 1]) * beta)
+                               design.T @ (n * (y - p)) - ridge * np.array([0.01, 1]) * beta)
         beta += step
         if np.abs(step).max() < 1e-8:
             break
