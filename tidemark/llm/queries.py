@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, host_rules, lines, near_dup, pieces, recurrent_lm, substrings, tokens, toxicity, urls
+from tidemark.llm import (
+    decontam, host_rules, lines, near_dup, pieces, recurrent_lm, substrings, token_counts, tokens, toxicity, urls, whitening,
+    zone_clusters)
 from tidemark.llm.registry import query, registered  # noqa: F401
 from tidemark.sources.scratch import run_folder
 
@@ -176,3 +178,48 @@ def sentencepiece(t):
     coded = pieces.encode_decode(t.documents.select("doc_id", "text"), tokenizer(PIECE_MODEL), digest=True)
     return coded.select("doc_id", "n_pieces", F.col("ids").alias("ids_crc32"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op11_embedding_whitening")
+def embedding_whitening(t):
+    return whitening.whiten(t.embeddings).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_token_counts")
+def token_counting(t):
+    return token_counts.count_tokens(t.documents.select("doc_id", "text"), tokenizer(PIECE_MODEL))
+
+
+def _op13_sql(k: int = 16, rounds: int = 3, size: int = 64) -> str:
+    parts = [f"""v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x AS c
+  FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, x FROM v ORDER BY h, x LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS (
+  SELECT r, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+    SELECT r, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM v CROSS JOIN c{i}) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+  SELECT cluster, i, sum(xi) AS s, count(*) AS n FROM (
+    SELECT a{i}.cluster, unnest(x) AS xi, unnest(range({size})) AS i FROM v JOIN a{i} USING (r)) GROUP BY cluster, i),
+m{i} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{i} GROUP BY cluster),
+c{i + 1} AS (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} USING (cluster)
+"""
+
+
+OP13_SQL = _op13_sql()
+
+
+@query("op13_centroid_clustering", OP13_SQL)
+def centroid_clustering(t):
+    found = zone_clusters.cluster(t.embeddings)
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256).alias("centroid_sha256"))
