@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.oracle import plan
 from tidemark.operators import aggregates as A
 from tidemark.operators import filters, joins as J, names, quality, reshape, sets, windows as W
 
@@ -94,6 +95,25 @@ def test_range_join_against_brute_force(frame, rows):
     assert sorted(r.i for r in got if r.j is None) == sorted(i for i, _, _ in points if i not in matched)
 
 
+def test_long_intervals_are_not_copied(spark, frame):
+    spans = frame("j int, a date, z date", *[(j, d(j), d(j + length)) for j, length in enumerate([0, 5, 29, 30, 400, 480, 9000, 200000])])
+    rows = J.on_levels(spans, "a", "z", 30).groupBy("j").agg(F.count("*").alias("n"), F.max("__size").alias("size")).orderBy("j").collect()
+    assert all(r.n <= 2 for r in rows)
+    assert [r["size"] for r in rows] == [30, 30, 30, 480, 480, 7680, 122880, 1966080]
+
+
+def test_a_hot_key_is_spread_over_buckets_and_levels(spark, frame):
+    """A third of the points share a key and meet an open interval; the join's keys hold bucket and level."""
+    points = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                      F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 3650).cast("int")).alias("p"), "id")
+    spans = frame("k string, a date, z date", ("hot", dt.date(2000, 1, 1), dt.date(9999, 12, 31)), ("hot", dt.date(2001, 1, 1), dt.date(2001, 1, 3)))
+    got = J.range_join(points, spans, "k", "p", "a", "z")
+    assert got.count() == 1000 + 1
+    text = plan(J.range_join(points.hint("merge"), spans, "k", "p", "a", "z"))
+    keys = next(line for line in text.splitlines() if "hashpartitioning" in line and "__point_bucket" in line)
+    assert "k#" in keys and "__point_size" in keys
+
+
 def test_membership(frame, rows):
     left = frame("o int, item string", (1, "a"), (1, "b"), (2, "a"), (1, "z"))
     lists = frame("o int, l string, v int", (1, "a, b,a", 7), (2, "", 8))

@@ -1,7 +1,7 @@
 """The registered queries: each operator applied to the given tables, its SQL beside it."""
 
 from tidemark.catalog import (aggregates, joins, maintenance, reports, rows,  # noqa: F401
-                              scalars, windows)
+                              scalars, touched, windows)
 from tidemark.catalog.base import registered
 
 __all__ = ["registered"]

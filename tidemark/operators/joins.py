@@ -158,31 +158,62 @@ def span_of(df: DataFrame, date: str) -> Column:
     return df.agg(F.struct(F.to_date(F.min(date)).alias("lo"), F.to_date(F.max(date)).alias("hi")).alias("s")).scalar()
 
 
+LEVEL_GROWTH = 16  # how much longer the buckets of the next level are
+LONGEST = 4_000_000  # days; more than dates can be apart
+
+
+def _day_number(c: Column) -> Column:
+    return F.datediff(c, F.lit("1970-01-01").cast("date"))
+
+
+def on_levels(df: DataFrame, low: str, high: str, bucket_days: int) -> DataFrame:
+    """Intervals of days with the ``__size`` of their level's buckets and a ``__bucket`` they meet: one row
+    for an interval, two where it crosses a border."""
+    sizes = [bucket_days]
+    while sizes[-1] < LONGEST:
+        sizes.append(sizes[-1] * LEVEL_GROWTH)
+    length, size = F.datediff(high, low) + 1, F.lit(sizes[-1])
+    for s in reversed(sizes[:-1]):
+        size = F.when(length <= s, F.lit(s)).otherwise(size)
+    sized = df.withColumn("__size", size)
+    ends = F.array_distinct(F.array(*[F.floor(_day_number(F.col(c)) / F.col("__size")) for c in (low, high)]))
+    return sized.withColumn("__bucket", F.explode(ends))
+
+
 def range_join(left: DataFrame, right: DataFrame, keys: Keys, point: str, start: str, end: str,
                how: str = "inner", bucket_days: int = 30, span: Column | None = None) -> DataFrame:
     """Equi keys plus ``point BETWEEN start AND end`` (days, both ends included).
 
-    Both sides get a bucket number, so the join is a hash join on (keys, bucket) and a hot
-    key is spread over its buckets; the interval test is the residual. An interval is
-    first cut to the span of the points, so an open end costs no extra buckets; pass
-    ``span`` (see ``span_of``) when the points are known to lie in that of a cheaper frame.
-    ``how="left"`` keeps an unmatched left row once, with nulls.
+    Buckets of days come in levels, each ``LEVEL_GROWTH`` times as long as the one before. An
+    interval goes to the first level whose buckets are no shorter than itself, so it is one row
+    there, or two where it crosses a border, however long it is; a point is looked up once on
+    every level that some interval is on. The join is a hash join on (keys, level, bucket), so a
+    hot key is spread over its buckets; the interval test is the residual. Intervals are first
+    cut to the span of the points; pass ``span`` (see ``span_of``) when the points are known to
+    lie in that of a cheaper frame.
+
+    ``how="left"`` keeps an unmatched left row once, with nulls; it has a single level, and an
+    interval is a row for each bucket that it meets.
     """
     keys = names_of(keys)
-
-    def bucket(c: Column) -> Column:
-        return F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / F.lit(bucket_days))
-
     span = span_of(left, point) if span is None else span
     low = F.greatest(F.to_date(start), span.getField("lo"))
     high = F.least(F.to_date(end), span.getField("hi"))
     cut = (right.withColumns({"__low": low, "__high": high}).filter("__low <= __high")
-           .withColumn("__bucket", F.explode(F.sequence(bucket(F.col("__low")), bucket(F.col("__high")))))
-           .drop("__low", "__high").withColumnsRenamed({k: f"__right_{k}" for k in keys}))
-    points = left.withColumn("__point_bucket", bucket(F.to_date(point)))
-    cond = reduce(and_, [points[k] == cut[f"__right_{k}"] for k in keys],
-                  points["__point_bucket"] == cut["__bucket"])
+           .withColumnsRenamed({k: f"__right_{k}" for k in keys}))
+
+    if how == "left":
+        bucket = lambda c: F.floor(_day_number(c) / F.lit(bucket_days))
+        cut = cut.withColumn("__bucket", F.explode(F.sequence(bucket(F.col("__low")), bucket(F.col("__high")))))
+        points, same = left.withColumn("__point_bucket", bucket(F.to_date(point))), ()
+    else:
+        cut = on_levels(cut, "__low", "__high", bucket_days)
+        levels = cut.agg(F.collect_set("__size").alias("s")).scalar()  # a handful at most
+        points = left.withColumn("__levels", levels).withColumn("__point_size", F.explode("__levels")).drop("__levels")
+        points = points.withColumn("__point_bucket", F.floor(_day_number(F.to_date(point)) / F.col("__point_size")))
+        same = (points["__point_size"] == cut["__size"],)
+    cond = reduce(and_, [points[k] == cut[f"__right_{k}"] for k in keys] + [*same], points["__point_bucket"] == cut["__bucket"])
     cond = cond & (F.to_date(points[point]) >= F.to_date(cut[start])) \
         & (F.to_date(points[point]) <= F.to_date(cut[end]))
     return (points.join(cut, cond, how)
-            .drop("__point_bucket", "__bucket", *[f"__right_{k}" for k in keys]))
+            .drop("__point_bucket", "__bucket", "__point_size", "__size", "__low", "__high", *[f"__right_{k}" for k in keys]))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -12,6 +13,53 @@ class QualityError(AssertionError):
     """A gate failed; nothing should be written."""
 
 
+@dataclass(frozen=True)
+class Gate:
+    """An aggregate that is measured while rows are written, and what it must be."""
+
+    name: str
+    metric: Column
+    passes: Callable[[object], bool]
+
+    def check(self, seen: Observation) -> None:
+        value = seen.get[self.name]
+        if not self.passes(value):
+            raise QualityError(f"{self.name}: {value}")
+
+
+def not_empty() -> Gate:
+    return Gate("rows", F.count(F.lit(1)), lambda n: n > 0)
+
+
+def no_nulls(columns: Sequence[str]) -> Gate:
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(f"`{c}`").isNull()
+    return Gate(f"rows without {', '.join(columns)}", F.count_if(missing), lambda n: n == 0)
+
+
+def declared_rows(total: int) -> Gate:
+    """As many rows as a payload declared."""
+    return Gate("rows against the declared number", F.count(F.lit(1)), lambda n: n == total)
+
+
+def observed(df: DataFrame, gates: Sequence[Gate], seen: Observation) -> DataFrame:
+    """The frame, measured by whatever job computes it next."""
+    return df.observe(seen, *[g.metric.alias(g.name) for g in gates])
+
+
+def gated(df: DataFrame, name: str, gates: Sequence[Gate]) -> DataFrame:
+    """The frame written once as a staging table, if all gates pass on the rows as they are written."""
+    from tidemark.sources.scratch import written
+    if not gates:
+        return written(df, name)
+    seen = Observation()
+    staged = written(observed(df, gates, seen), name)
+    for gate in gates:
+        gate.check(seen)
+    return staged
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their counts."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

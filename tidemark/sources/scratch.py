@@ -13,7 +13,10 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the one the session names for checkpoints, else its warehouse."""
     named = spark.conf.get(CHECKPOINT_SETTING, None) or \
         spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    folder = (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not named and not spark.sparkContext.master.startswith("local") and folder.startswith(("file:", "/")):
+        raise ValueError(f"machines do not share {folder}: name a shared folder in {CHECKPOINT_SETTING}")
+    return folder
 
 
 def application_folder(spark: SparkSession) -> str:
@@ -38,6 +41,19 @@ def _path(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the folders in a folder; none if it does not exist."""
+    path, files = _path(spark, folder)
+    if not files.exists(path):
+        return []
+    return [f.getPath().getName() for f in files.listStatus(path) if f.isDirectory()]
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
 def put_bytes(spark: SparkSession, folder: str, name: str, content: bytes) -> str:
     """A file in the shared folder; its address."""
     path, files = _path(spark, f"{folder}/{name}")
@@ -52,5 +68,4 @@ def drop_scratch(spark: SparkSession) -> None:
 
     For when its results have been read: frames made from these tables cannot be read again.
     """
-    path, files = _path(spark, application_folder(spark))
-    files.delete(path, True)
+    delete_folder(spark, application_folder(spark))

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.names import load_names
-from tidemark.operators.quality import assert_not_empty, assert_unique
-from tidemark.sources.scratch import written
+from tidemark.operators.quality import assert_unique, gated, not_empty
 
 # Load options by number.
 LOAD_MODES = {1: "errorifexists", 2: "append", 3: "overwrite"}
@@ -34,7 +33,7 @@ def append(df: DataFrame, path: str) -> None:
 
 def replace_all(df: DataFrame, path: str) -> None:
     """Truncate and insert; an empty extract leaves the table alone by raising."""
-    assert_not_empty(df).write.mode("overwrite").parquet(path)
+    gated(df, "refresh", [not_empty()]).write.mode("overwrite").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -44,10 +43,9 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def gated_load(df: DataFrame, path: str, option: int, keys: Sequence[str]) -> None:
-    """Non-empty and unique, or nothing is written. The rows are computed once, into a
-    staging table that the gates and the load read."""
-    staged = written(df, "gate")
-    load(assert_unique(assert_not_empty(staged), keys), path, option)
+    """Non-empty and unique, or nothing is written. The rows are computed once, into a staging
+    table; they are counted while it is written, and only its keys are read for uniqueness."""
+    load(assert_unique(gated(df, "gate", [not_empty()]), keys), path, option)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
