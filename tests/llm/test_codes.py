@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tidemark.llm import pieces, recurrent_lm, tokens
+from tidemark.llm import text_bytes as tb
 from tidemark.llm.queries import PIECE_MODEL, WORD_TOKENIZER, tokenizer
 
 STRANGE = ["", "  ", " a", "a  b\n\n c ", "x" * 3000, "the" * 700, "日本語テキスト", "🙂é ẞ", "<s></s><unk><0x0A>", "a▁b", "▁",
@@ -158,6 +159,47 @@ def test_lm_learns_from_every_training_row(spark, none):
     assert len(got) == len(away) and all(r.score / r.n_tokens > -0.1 for r in got)
 
 
+def test_whole_scores_against_a_plain_reading(documents, odd):
+    """Every document token by token: P(class | tokens before) times the word's share of its class."""
+    docs = documents.where("doc_id < 60").select("doc_id", "text").unionByName(odd.select("doc_id", "text").where("length(text) < 2000"))
+    docs = docs.repartition(4, "text").cache()
+    m = recurrent_lm.learn(docs)
+    net, count = recurrent_lm.Network(m.weights), {np.uint64(r.vocab % 2 ** 64): r.c for r in m.counts.collect()}
+    in_class = Counter()
+
+    def told(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        starts, ends, _ = tb.words(data, np.array([0, len(data)]))
+        h = np.append(tb.hashes(data, starts, ends), recurrent_lm.END)
+        return h, m.classes.tell(h, np.append(recurrent_lm.endings(data, starts, ends), -1))
+
+    rows = [(r.doc_id, *told(r.text)) for r in docs.collect()]
+    for h, c in {(h, c) for _, hs, cs in rows for h, c in zip(hs.tolist(), cs.tolist()) if np.uint64(h) in count}:
+        in_class[c] += count[np.uint64(h)] + 1
+    want = []
+    for i, hs, cs in rows:
+        state, before, total = np.zeros((1, recurrent_lm.HIDDEN), np.float32), np.zeros(1, np.int64), 0.0
+        for h, c in zip(hs, cs):
+            state, _ = net.step(before, state)
+            total += float(net.log_probs(state, np.array([c]))[0]) / math.log(10)
+            total += math.log10((count.get(h, 0) + 1) / (in_class[int(c)] + 1))
+            before = np.array([c])
+        want.append((str(i), len(hs), round(total, 2)))
+    got = [(str(r.doc_id), r.n_tokens, r.score) for r in recurrent_lm.score(docs).collect()]
+    assert len(got) == len(want)
+    for a, b in zip(sorted(got), sorted(want)):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) <= 0.02 + 1e-4 * abs(b[2])
+
+
+def test_replicas_are_averaged_by_their_documents(spark):
+    net = recurrent_lm.Network(seed=1)
+    rows = [(k, n, *[(net.w[name] * f).astype(np.float32).tobytes() for name in ("e", "u", "v", "b")]) for k, (n, f) in enumerate([(1, 1.0), (3, 2.0)])]
+    df = spark.createDataFrame(rows, "replica bigint, n bigint, e binary, u binary, v binary, b binary")
+    mean = recurrent_lm._mean(df, net.w)
+    assert all(np.allclose(mean[k], net.w[k] * 1.75, atol=1e-6) for k in net.w)
+    assert recurrent_lm._mean(df.where("false"), net.w) is net.w
+
+
 def test_no_token_is_left_out_of_the_lanes(monkeypatch):
     seen = []
     monkeypatch.setattr(recurrent_lm.Network, "gradients", lambda self, before, targets, begins, state: (
