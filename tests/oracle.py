@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 
 import duckdb
 
@@ -63,3 +64,31 @@ def compare(spark, con, folder: str, run, sql: str) -> tuple[int, str | None]:
         if a != b:
             return len(got), f"{sorted(names)}: {a} != {b}"
     return len(got), None
+
+
+def executed_plans(spark, run) -> list[str]:
+    """The plans of all jobs that ``run`` starts, as they ended, staging writes included."""
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def all_ids():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        found = store.executionsList()
+        return {found.apply(i).executionId(): found.apply(i).physicalPlanDescription() for i in range(found.size())}
+
+    before = set(all_ids())
+    run()
+    return [text for i, text in sorted(all_ids().items()) if i not in before]
+
+
+def executed_nodes(plans: list[str], kind: str, holding: str = "") -> int:
+    """How many operators of a kind (whose details hold a text) were executed; reused exchanges hide what is below."""
+    n = 0
+    for text in plans:
+        tree, _, details = text.partition("\n\n")
+        if "== Final Plan ==" in tree:
+            tree = tree.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+        for part in details.split("\n\n"):
+            head = re.match(r"\s*\((\d+)\) (\S[^\n]*)", part)
+            if head and head[2].startswith(kind) and holding in part and re.search(rf"\({head[1]}\)", tree):
+                n += 1
+    return n

@@ -9,7 +9,10 @@ from tidemark.functions import codes
 from tidemark.functions.dates import month_key, month_start
 from tidemark.functions.numbers import money, signed, zero_sum
 from tidemark.functions.text import joined_key, pieces
-from tidemark.operators.joins import equi, facts
+from tidemark.operators import hierarchy as hierarchies
+from tidemark.operators.filters import blank
+from tidemark.operators.joins import alias_dimension, equi, facts
+from tidemark.operators.quality import assert_unique
 from tidemark.operators.sets import union_by_name
 from tidemark.plans import activity, history, masters, sales, stock
 from tidemark.plans import receivables as rec
@@ -80,54 +83,75 @@ def sales_refresh(t):
     return sales.refresh_sales(stored, fact.filter(F.col("day") >= F.lit(first)), "day", first, ["o_orderkey"])
 
 
+# The people above a seller, by the customer's number: column, divisor.
+PEOPLE = {"supervisor": 10, "area_manager": 7, "region_manager": 3, "seller": 50}
+
+
 @query("sales_raw_to_fact", f"""
-    WITH ln AS (SELECT l_orderkey, l_linenumber, CAST(sum({dec('l_quantity')}) AS DOUBLE) AS qty,
-                       max({dec('l_extendedprice')}) AS price, sum({dec('l_extendedprice')}) AS amount, bool_or(l_discount >= 0.1) AS free
-                FROM lineitem GROUP BY ALL),
-         lot AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(sum({dec('l_quantity')}) AS DOUBLE) AS qty
-                 FROM lineitem WHERE l_returnflag <> 'A' GROUP BY ALL),
+    WITH mv AS (SELECT *, CAST(l_suppkey AS VARCHAR) AS sup, {dec('l_extendedprice')} AS price, {dec('l_quantity')} AS q FROM lineitem),
+         ln AS (SELECT l_orderkey, l_linenumber, CAST(sum(q) AS DOUBLE) AS qty, max(price) AS price, sum(price) AS amount,
+                       bool_or(l_discount >= 0.1) AS free, max(l_partkey) AS part FROM mv GROUP BY ALL),
+         lot AS (SELECT l_orderkey, l_linenumber, sup, CAST(sum(q) AS DOUBLE) AS qty FROM mv WHERE l_returnflag <> 'A' GROUP BY ALL),
          h AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -1 ELSE CASE o_orderpriority WHEN '2-HIGH' THEN 1 ELSE 0 END END AS sign,
-                      c_name AS customer, c_mktsegment AS channel, n_name AS place
+                      c_name AS customer, c_mktsegment AS channel, n_name AS place, r_name AS company, o_custkey,
+                      CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey - 1 END AS back
                FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+               LEFT JOIN region ON r_regionkey = o_custkey % 7
                WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')),
-         dl AS (SELECT l_orderkey, max(l_shipdate)::DATE AS delivered FROM lineitem GROUP BY ALL)
-    SELECT o_orderkey AS order_nbr, CAST(ln.l_linenumber AS BIGINT) AS line_ref, coalesce(CAST(l_suppkey AS VARCHAR), '') AS lot,
+         dl AS (SELECT l_orderkey, max(l_shipdate)::DATE AS delivered, CASE WHEN max(l_suppkey) % 4 = 0 THEN ' ' ELSE 'S' || max(l_suppkey) END AS carrier,
+                       'U' || min(l_suppkey) AS unit FROM lineitem GROUP BY ALL),
+         bk AS (SELECT * FROM dl WHERE l_orderkey % 5 <> 0)
+    SELECT o_orderkey AS order_nbr, CAST(ln.l_linenumber AS BIGINT) AS line_ref, coalesce(sup, '') AS lot,
            sign * coalesce(lot.qty, ln.qty) AS quantity,
            CAST(CASE WHEN free THEN 0 ELSE sign * CAST(coalesce(lot.qty, ln.qty) AS DECIMAL(18,2)) * price END AS DOUBLE) AS revenue,
            CAST(CASE WHEN free THEN 0 ELSE sign * amount END AS DOUBLE) AS before_vat_amount,
-           CASE WHEN coalesce(lot.qty, ln.qty) > 25 THEN 'large' ELSE 'plain' END AS name, customer, channel, place, {ymd('delivered')} AS delivered
-    FROM ln JOIN dl ON dl.l_orderkey = ln.l_orderkey JOIN h ON ln.l_orderkey = o_orderkey LEFT JOIN lot ON lot.l_orderkey = ln.l_orderkey AND lot.l_linenumber = ln.l_linenumber""")
+           p_name AS product, CASE WHEN p_size > 25 THEN p_brand ELSE p_name END AS product_short, customer, channel, place, company,
+           CASE WHEN trim(bk.carrier) = '' THEN rb.carrier ELSE bk.carrier END AS carrier, bk.unit AS carrier_unit,
+           {', '.join(f'{n}.s_name AS {n}' for n in PEOPLE)}, {ymd('dl.delivered')} AS delivered
+    FROM ln JOIN h ON ln.l_orderkey = o_orderkey JOIN part ON p_partkey = part LEFT JOIN dl ON dl.l_orderkey = o_orderkey
+    LEFT JOIN bk ON bk.l_orderkey = o_orderkey LEFT JOIN bk rb ON rb.l_orderkey = back
+    {' '.join(f'LEFT JOIN supplier {n} ON {n}.s_suppkey = o_custkey % {m}' for n, m in PEOPLE.items())}
+    LEFT JOIN lot ON lot.l_orderkey = ln.l_orderkey AND lot.l_linenumber = ln.l_linenumber""")
 def sales_raw_to_fact(t):
+    """Regular and replacement orders are one pass over the lines, told apart by their type; the books and
+    deliveries of an order are one more, staged, since an order also looks up the book of the order it returns."""
+    keys = ["branch_id", "order_nbr"]
+    branch = F.lit("B1").alias("branch_id")
     replaced = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "2-HIGH")
     kind = F.when(replaced, "EX").otherwise(codes.label("o_orderstatus", {"F": "IN", "O": "CO", "P": "XX"}))
     people = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("customer"), F.col("c_mktsegment").alias("channel"),
         F.col("n_name").alias("place"))
-    o = equi(t.orders, people, "o_custkey").select(
-        F.lit("B1").alias("branch_id"), F.col("o_orderkey").alias("order_nbr"), "o_orderpriority", kind.alias("order_type"),
-        "customer", "channel", "place")
-    keys = [F.lit("B1").alias("branch_id"), F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").alias("line_ref")]
+    headers = equi(t.orders, people, "o_custkey")
+    headers = alias_dimension(headers.withColumn("company_id", F.col("o_custkey") % 7), t.region, "company_id", "r_regionkey", "company_", ["r_name"])
+    for name, modulo in PEOPLE.items():
+        headers = alias_dimension(headers.withColumn(name, F.col("o_custkey") % modulo), t.supplier, name, "s_suppkey", f"{name}_", ["s_name"])
+    headers = headers.select(
+        branch, F.col("o_orderkey").alias("order_nbr"), kind.alias("order_type"), "o_orderpriority", "customer", "channel", "place",
+        F.col("company_r_name").alias("company"), *[F.col(f"{n}_s_name").alias(n) for n in PEOPLE],
+        F.when(F.col("o_orderkey") % 2 == 1, F.col("o_orderkey") - 1).alias("return_nbr"))
+    carrier = F.when(F.max("l_suppkey") % 4 == 0, " ").otherwise(F.concat(F.lit("S"), F.max("l_suppkey")))
+    of_order = written(t.lineitem.groupBy(branch, F.col("l_orderkey").alias("order_nbr")).agg(
+        F.to_date(F.max("l_shipdate")).alias("delivered"), carrier.alias("carrier"),
+        F.concat(F.lit("U"), F.min("l_suppkey")).alias("carrier_unit")), "order-books")
+    headers = facts(headers, of_order.select(*keys, "delivered"), keys, "left")
+    headers = sales.with_books(headers, of_order.filter("order_nbr % 5 <> 0"), keys, "return_nbr", ["carrier", "carrier_unit"])
     amount = money("l_extendedprice")
-    lines = t.lineitem.groupBy(*keys).agg(
-        zero_sum(money("l_quantity")).cast("double").alias("line_qty"), F.bool_or(F.col("l_discount") >= 0.1).alias("free_item"),
-        F.max(amount).alias("before_vat_price"), F.sum(amount).alias("before_vat_amount"),
-        F.sum(amount).alias("after_vat_amount"), F.lit(0).alias("vat_amount"))
-    lots = t.lineitem.filter("l_returnflag <> 'A'").groupBy(*keys, F.col("l_suppkey").cast("string").alias("lot")) \
-        .agg(zero_sum(money("l_quantity")).cast("double").alias("qty"))
+    movements = t.lineitem.select(
+        branch, F.col("l_orderkey").alias("order_nbr"), F.col("l_linenumber").alias("line_ref"), F.col("l_suppkey").cast("string").alias("lot"),
+        (F.col("l_returnflag") != "A").alias("from_lot"), money("l_quantity").alias("qty"), (F.col("l_discount") >= 0.1).alias("free_item"),
+        amount.alias("before_vat_price"), amount.alias("before_vat_amount"), F.col("l_partkey").alias("part"))
+    lines = sales.lines_by_lot(movements, keys, {"free_item": "any", "before_vat_price": "max", "before_vat_amount": "sum", "part": "max"})
+    lines = lines.withColumns({"after_vat_amount": F.col("before_vat_amount"), "vat_amount": F.lit(0)})
+    parts = t.part.select(F.col("p_partkey").alias("part"), F.col("p_name").alias("product"),
+                          F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise("  ").alias("product_short"))
     types = literal_rows(t.spark, [("IN", "IN"), ("CO", "CM"), ("XX", "NA"), ("EX", "IN")], "order_type string, doc_type string")
-    deliveries = t.lineitem.groupBy(*keys[:2]).agg(F.to_date(F.max("l_shipdate")).alias("delivered"))
-    lines = lines.withColumn("line_big", F.col("line_qty") > 25)
-    lots = lots.withColumn("lot_big", F.col("qty") > 25)
-
-    def branch(headers):
-        rows = sales.sales_lines(facts(headers, deliveries, ["branch_id", "order_nbr"], "left"), lines, lots, types)
-        return rows.withColumns({"name": F.when(F.coalesce("lot_big", "line_big"), "large").otherwise("  "), "long_name": F.lit("plain")})
-
-    returned = o.filter("order_type = 'XX' and o_orderpriority = '1-URGENT'")
-    fact = sales.raw_to_fact(branch(o.filter("order_type <> 'EX'")), branch(o.filter("order_type = 'EX'")), returned,
-                             [("name", "long_name")])
-    return fact.select("order_nbr", "line_ref", "lot", "quantity", "revenue", "before_vat_amount", "name", "customer", "channel",
-                       "place", "delivered")
+    returned = (F.col("order_type") == "XX") & (F.col("o_orderpriority") == "1-URGENT")
+    rows = facts(headers.filter(~returned), equi(lines, parts, "part", "inner"), keys)
+    fact = sales.signed_lines(equi(rows, types, "order_type", "left"))
+    fact = fact.withColumn("product_short", F.when(blank("product_short"), F.col("product")).otherwise(F.col("product_short")))
+    return fact.select("order_nbr", "line_ref", "lot", F.col("quantity").cast("double").alias("quantity"), "revenue", "before_vat_amount",
+                       "product", "product_short", "customer", "channel", "place", "company", "carrier", "carrier_unit", *PEOPLE, "delivered")
 
 
 @query("run_rate", f"""
@@ -604,8 +628,9 @@ def stock_position(t):
         (F.col("p_partkey") % 25).alias("n_nationkey"), F.col("p_size").alias("quantity"))
     sheet = equi(big, t.nation.select(F.col("n_nationkey").cast("bigint"), F.nullif("n_name", F.lit("NATION_3")).alias("branch")),
                  "n_nationkey", "inner").drop("n_nationkey")
-    position = written(_position(t, sheet), "position")   # computed once, checked, then returned
-    return stock.checked_position(position).withColumns({n: F.col(n).cast("double") for n in NUMBERS})
+    # The position is staged for its sheet; of that only the keys are read to check it.
+    position = assert_unique(_position(t, sheet), ["product", "branch"])
+    return position.withColumns({n: F.col(n).cast("double") for n in NUMBERS})
 
 
 def _three_months(t, as_of):
@@ -1025,6 +1050,27 @@ def hierarchy(t):
     return out.select("staff", "supervisor", "manager")
 
 
+@query("reporting_lines", """
+    WITH RECURSIVE e AS (
+        SELECT 'S' || s_suppkey AS node, CASE WHEN s_suppkey >= 3 THEN 'S' || (s_suppkey // 3) ELSE 'N' || s_nationkey END AS parent FROM supplier
+        UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey FROM nation UNION ALL SELECT 'R' || r_regionkey, NULL FROM region),
+    up AS (SELECT node, parent AS ancestor, 1 AS distance FROM e WHERE parent IS NOT NULL
+           UNION ALL SELECT up.node, e.parent, distance + 1 FROM up JOIN e ON e.node = up.ancestor WHERE e.parent IS NOT NULL)
+    SELECT e.node, count(ancestor) AS depth, coalesce(max_by(ancestor, distance), e.node) AS top,
+           coalesce(string_agg(ancestor, '>' ORDER BY distance), '') AS line
+    FROM e LEFT JOIN up ON up.node = e.node GROUP BY e.node""")
+def reporting_lines(t):
+    """Suppliers report to suppliers, those to a nation, a nation to a region: as many levels as there are."""
+    named = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    above = F.when(F.col("s_suppkey") >= 3, F.concat(F.lit("S"), F.floor(F.col("s_suppkey") / 3).cast("string"))).otherwise(named("N", "s_nationkey"))
+    edges = union_by_name([
+        t.supplier.select(named("S", "s_suppkey").alias("node"), above.alias("parent")),
+        t.nation.select(named("N", "n_nationkey").alias("node"), named("R", "n_regionkey").alias("parent")),
+        t.region.select(named("R", "r_regionkey").alias("node"), F.lit(None).cast("string").alias("parent"))])
+    out = hierarchies.reporting_lines(edges, "node", "parent")
+    return out.select("node", "depth", "top", F.array_join("line", ">").alias("line"))
+
+
 # ---- landed rows -----------------------------------------------------------------------
 
 @query("weblog_parse", r"""

@@ -133,10 +133,11 @@ def discount_lines(discounts: DataFrame, keys: Sequence[str], list_col: str, pro
     line = [*keys, "line_ref"]
     rows = list_to_rows(discounts.select(*keys, list_col, promo, *values), list_col, "line_ref")
     rows = rows.groupBy(*line, promo).agg(F.max(F.struct(promo, *values)).alias("__p"))
-    place = F.row_number().over(W.partitionBy(*line).orderBy(promo))
-    top = rows.withColumn("__n", place).filter(F.col("__n") <= n)
-    wide = top.groupBy(*line).agg(*[F.max(F.when(F.col("__n") == i, F.col("__p"))).alias(f"__{i}") for i in range(1, n + 1)])
-    wide = equi(wide, rows.groupBy(*line).agg(F.count(F.lit(1)).alias("promotions")), line, "inner")
+    # Place and number in one pass: what is left per line are different promotions, a catalogue's worth.
+    of_line = W.partitionBy(*line)
+    rows = rows.withColumns({"__n": F.row_number().over(of_line.orderBy(promo)), "promotions": F.count(F.lit(1)).over(of_line)})
+    wide = rows.filter(F.col("__n") <= n).groupBy(*line, "promotions").agg(
+        *[F.max(F.when(F.col("__n") == i, F.col("__p"))).alias(f"__{i}") for i in range(1, n + 1)])
     return wide.select(*line, *[F.col(f"__{i}.{c}").alias(f"{c}{i}") for c in (promo, *values) for i in range(1, n + 1)],
                        "promotions")
 

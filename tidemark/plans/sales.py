@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.codes import payment_class
@@ -13,8 +14,8 @@ from tidemark.functions.dates import (NO_DATE, as_date, calendar, month_name3, m
                                       parse_date, workdays)
 from tidemark.functions.numbers import by_unit, money, zero_sum
 from tidemark.operators.filters import blank
-from tidemark.operators.joins import anti, equi, facts, lookup, membership
-from tidemark.operators.quality import assert_unique
+from tidemark.operators.joins import anti, equi, facts, lookup, membership, one_per_key
+from tidemark.operators.quality import assert_unique, gated, no_nulls
 from tidemark.operators.sets import union_by_name
 from tidemark.sources.scratch import written
 from tidemark.sources.upserts import window_replace
@@ -55,9 +56,9 @@ def enrich_sales(sales: DataFrame, lookups: Sequence[Lookup], document_date: str
 
 def refresh_sales(stored: DataFrame, enriched: DataFrame, date: str, first,
                   unique: Sequence[str] = ()) -> DataFrame:
-    """The last days of the stored fact replaced; optionally only if the key is unique."""
-    if unique:
-        enriched = assert_unique(written(enriched, "refresh"), unique)  # computed once, checked, then used
+    """The last days of the stored fact replaced; optionally only if the key is there and unique."""
+    if unique:  # computed once; measured while it is written
+        enriched = assert_unique(gated(enriched, "refresh", [no_nulls(unique)]), unique)
     return window_replace(stored, enriched, date, first)
 
 
@@ -79,11 +80,15 @@ def sales_lines(headers: DataFrame, lines: DataFrame, lots: DataFrame, types: Da
     keys = list(keys)
     out = facts(headers, lines, keys)
     out = facts(out, lots.withColumnRenamed("qty", "lot_qty"), [*keys, "line_ref"], "left")
-    out = equi(out, types, "order_type", "left")
+    return signed_lines(equi(out, types, "order_type", "left"))
+
+
+def signed_lines(rows: DataFrame) -> DataFrame:
+    """Signs of ``sales_lines`` on rows that hold ``doc_type``, ``lot``, ``lot_qty`` and a line's columns."""
     sign = type_sign("doc_type")
     free = F.coalesce(F.col("free_item"), F.lit(False))
     charged = F.when(free, F.lit(0)).otherwise(sign)
-    return (out.withColumn("lot", F.coalesce("lot", F.lit("")))
+    return (rows.withColumn("lot", F.coalesce("lot", F.lit("")))
             .withColumn("quantity", sign * F.coalesce("lot_qty", "line_qty"))
             .withColumn("revenue", F.when(free, F.lit(0)).otherwise(
                 money("quantity") * money("before_vat_price")).cast("decimal(24,4)"))
@@ -92,6 +97,43 @@ def sales_lines(headers: DataFrame, lines: DataFrame, lots: DataFrame, types: Da
             .drop("lot_qty", "line_qty"))
 
 
+_FOLDS = {"sum": F.sum, "max": F.max, "any": F.bool_or}
+
+
+def lines_by_lot(movements: DataFrame, keys: Sequence[str], line: Mapping[str, str], total: str = "line_qty") -> DataFrame:
+    """Lines and their lots from one frame of movements, read once.
+
+    ``movements``: keys, line_ref, lot, from_lot, qty and the columns of ``line``, which tells how each is
+    put together over its line (``sum``, ``max`` or ``any``). A line has one row per lot of its
+    movements from lots, with ``lot_qty``; a line without any has one row without a lot. Movements are added up
+    by lot before they meet their line, and lines, not orders, are kept together.
+    """
+    key = [*keys, "line_ref"]
+    base = movements.groupBy(*key, "lot", "from_lot").agg(
+        F.sum("qty").alias("__qty"), *[_FOLDS[how](c).alias(c) for c, how in line.items()])
+    of_line = W.partitionBy(*key)
+    out = base.withColumns({
+        **{c: _FOLDS[how](c).over(of_line) for c, how in line.items()}, total: F.sum("__qty").over(of_line),
+        "__lots": F.bool_or("from_lot").over(of_line), "__place": F.row_number().over(of_line.orderBy("lot"))})
+    out = out.filter(F.col("from_lot") | (~F.col("__lots") & (F.col("__place") == 1)))
+    return out.withColumns({"lot": F.when(F.col("from_lot"), F.col("lot")), "lot_qty": F.when(F.col("from_lot"), F.col("__qty"))}) \
+        .drop("from_lot", "__lots", "__place", "__qty")
+
+
+def with_books(headers: DataFrame, books: DataFrame, keys: Sequence[str], returned: str, columns: Sequence[str]) -> DataFrame:
+    """The issue book of each order; where a column of it is blank, that of the order it returns.
+
+    ``books``: keys, columns; the last of ``keys`` is the order number, ``returned`` names the header's
+    column with the number of the returned order. A missing book stays missing: only a blank text is filled.
+    """
+    own, keys = list(columns), list(keys)
+    side = one_per_key(books.select(*keys, *own).dropna(subset=keys), keys)
+    out = equi(headers, side, keys, "left")
+    back = side.withColumnsRenamed({keys[-1]: returned, **{c: f"__back_{c}" for c in own}})
+    out = equi(out, back, [*keys[:-1], returned], "left")
+    return out.withColumns({c: F.when(blank(c), F.col(f"__back_{c}")).otherwise(F.col(c)) for c in own}).drop(*[f"__back_{c}" for c in own])
+
+
 def raw_to_fact(regular: DataFrame, replacement: DataFrame | None, returned: DataFrame,
                 names: Sequence[tuple[str, str]] = (),
                 order_keys: Sequence[str] = ("branch_id", "order_nbr")) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.functions.dates import as_date
 from tidemark.functions.numbers import by_unit, money, round_half_even, zero_sum
 from tidemark.operators.filters import not_starting_with
 from tidemark.operators.joins import equi, lookup, one_per_key
-from tidemark.operators.quality import assert_unique
+from tidemark.operators.quality import Gate, gated
 from tidemark.operators.sets import union_by_name
 from tidemark.sources.scratch import written
 from tidemark.sources.upserts import window_replace
@@ -111,9 +111,15 @@ def stock_position(feeds: DataFrame, warehouses: DataFrame, destroyed: Mapping[s
     return merged.fillna(0, subset=numbers)
 
 
-def checked_position(position: DataFrame) -> DataFrame:
-    """The position, provided (product, branch) is unique."""
-    return assert_unique(position, ["product", "branch"])
+def checked_position(position: DataFrame, keys: Sequence[str] = ("product", "branch")) -> DataFrame:
+    """The position written once, provided (product, branch) is unique: a product of two names, units or
+    receiving days in a branch is counted while the rows are written."""
+    keys = list(keys)
+    rest = [c for c in position.columns if c not in keys]
+    row = F.struct(*rest)
+    rows = position.groupBy(*keys).agg(F.max(row).alias("__row"), F.count(F.lit(1)).alias("__copies"))
+    once = Gate(f"repeated {keys}", F.count_if(F.col("__copies") > 1), lambda n: n == 0)
+    return gated(rows.select(*keys, "__row.*", "__copies"), "position", [once]).drop("__copies")
 
 
 def three_month_sales(sales: DataFrame, warehouses: DataFrame, date: str, as_of) -> DataFrame:

@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even when the consumer has to shuffle once more for it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Recursive queries are bounded by their levels, not by the number of rows.
+    "spark.sql.cteRecursionRowLimit": "-1",
 }
 
 

@@ -50,6 +50,22 @@ def report_source(table: DataFrame, date: str, first, last) -> DataFrame:
     return table.filter(on_days(date, first, last))
 
 
+def report_function(spark: SparkSession, name: str, table: DataFrame, date: str, parameters: Sequence[tuple[str, str]] = (),
+                    condition: str = "true") -> str:
+    """A procedure as a SQL table function ``name(first_day, last_day, …)``: rows of the days, both included.
+
+    Further parameters (name, type) may occur in ``condition``. The optimizer inlines the function, so its
+    arguments reach the scan as filters.
+    """
+    view = f"__{name}_rows"
+    table.createOrReplaceTempView(view)
+    args = ", ".join(f"{n} {t}" for n, t in [("first_day", "DATE"), ("last_day", "DATE"), *parameters])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS TABLE({columns})
+        RETURN SELECT * FROM {view} WHERE `{date}` >= {name}.first_day AND `{date}` < date_add({name}.last_day, 1) AND ({condition})""")
+    return name
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str | StructType, *,
              day_first: bool = True, header: bool = True, columns: Sequence[str] | None = None,
              **options) -> DataFrame:

@@ -4,6 +4,10 @@ Each micro-batch is written once, as its own partition of an append-only change
 batch costs what it holds and not what the table holds, and a batch replayed after a
 failure replaces exactly its own partition. The table's state is the latest row per key
 over base and log, whatever the order in which late rows arrived.
+
+Deletes are notices with a key and a time of their own. They join the stream of changes as
+tombstones, rows marked ``DELETED`` without other values, so that a change and a delete are ordered
+by time like two changes; a key whose latest row is a tombstone is not in the state.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.windows import latest
 
 BATCH = "batch_id"
+DELETED = "is_deleted"
 
 
 def read_changes(spark: SparkSession, folder: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -34,6 +39,14 @@ def drop_repeats(changes: DataFrame, keys: Sequence[str], updated: str, delay: s
     return marked.dropDuplicatesWithinWatermark([*keys, updated]).drop(event)
 
 
+def with_deletes(changes: DataFrame, notices: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Changes and delete notices (keys and the columns of ``order``) as one stream, or one frame, of log rows."""
+    named = [*keys, *order]
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in changes.schema if f.name not in named]
+    stones = notices.select(*named, *blank, F.lit(True).alias(DELETED))
+    return changes.withColumn(DELETED, F.lit(False)).unionByName(stones)
+
+
 def write_change_log(changes: DataFrame, log: str, checkpoint: str, keys: Sequence[str],
                      order: Sequence[str | Column]) -> StreamingQuery:
     """Start the stream and process what is there; in a batch the last row per key counts."""
@@ -49,11 +62,14 @@ def write_change_log(changes: DataFrame, log: str, checkpoint: str, keys: Sequen
 
 def current_state(base: DataFrame | None, log: DataFrame, keys: Sequence[str],
                   order: Sequence[str | Column]) -> DataFrame:
-    """Latest row per key over the stored base and the change log."""
+    """Latest row per key over the stored base and the change log; deleted keys are left out."""
     rows = log.drop(BATCH)
+    deletes = DELETED in rows.columns
     if base is not None:
+        base = base.withColumn(DELETED, F.lit(False)) if deletes and DELETED not in base.columns else base
         rows = base.select(*rows.columns).unionByName(rows)
-    return latest(rows, keys, order)
+    out = latest(rows, keys, order)
+    return out.filter(~F.coalesce(DELETED, F.lit(False))).drop(DELETED) if deletes else out
 
 
 def compact(base: DataFrame | None, log: DataFrame, keys: Sequence[str],
