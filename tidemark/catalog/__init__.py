@@ -1,6 +1,6 @@
 """The registered queries: each operator applied to the given tables, its SQL beside it."""
 
-from tidemark.catalog import (aggregates, feeds, joins, maintenance, reports, rows,  # noqa: F401
+from tidemark.catalog import (aggregates, dimensions, feeds, joins, maintenance, reports, rows,  # noqa: F401
                               scalars, touched, windows)
 from tidemark.catalog.base import registered
 

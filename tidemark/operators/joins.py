@@ -8,7 +8,8 @@ first, and lookup sides to one row per key, so no join here multiplies rows by c
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
@@ -104,6 +105,38 @@ def alias_dimension(df: DataFrame, dim: DataFrame, on: str, key: str, prefix: st
     return df.join(side, df[on] == side["__key"], "left").drop("__key")
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension of a star: its rows, the columns it is looked up by (column of the rows -> key of the
+    dimension, any number), and what it brings (its column -> name in the result)."""
+
+    frame: DataFrame
+    on: Mapping[str, str]
+    columns: Mapping[str, str]
+    inner: bool = False              # rows without a match leave
+    where: str | Column | None = None  # rows of the dimension that count
+    order: str | Column | None = None  # of several rows of a key the last under it, else the greatest
+    defaults: Mapping[str, object] = field(default_factory=dict)  # for keys that are not found
+
+
+def star(rows: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
+    """The rows with all dimensions, one after the other: a later one may be looked up by what an earlier
+    one brought, and a list may come several times under different names. No dimension multiplies rows."""
+    out = rows
+    for n, d in enumerate(dimensions):
+        keys = {c: f"__key{n}_{i}" for i, c in enumerate(d.on)}
+        frame = d.frame if d.where is None else d.frame.filter(d.where)
+        picked = [F.col(d.on[c]).alias(k) for c, k in keys.items()] + [F.col(c).alias(f"__val{n}_{i}") for i, c in enumerate(d.columns)]
+        picked += [] if d.order is None else [col(d.order).alias("__order")]
+        side = one_per_key(frame.select(*picked), list(keys.values()), None if d.order is None else "__order").drop("__order")
+        cond = reduce(and_, [out[c] == side[k] for c, k in keys.items()])
+        out = out.join(side, cond, "inner" if d.inner else "left")
+        brought = {name: F.coalesce(F.col(f"__val{n}_{i}"), F.lit(d.defaults[name])) if name in d.defaults else F.col(f"__val{n}_{i}")
+                   for i, name in enumerate(d.columns.values())}
+        out = out.withColumns(brought).drop(*keys.values(), *[f"__val{n}_{i}" for i in range(len(d.columns))])
+    return out
+
+
 def left_where(left: DataFrame, right: DataFrame, keys: Keys, condition: Column) -> DataFrame:
     """Left join with a predicate on the right side inside ON."""
     return equi(left, right.filter(condition), keys, "left")

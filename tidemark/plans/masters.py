@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.functions.codes import staff_role
+from tidemark.functions.codes import label, staff_role
 from tidemark.functions.dates import clamp_date, date_from_parts, parse_date
 from tidemark.functions.nested import at, struct_fields
 from tidemark.functions.numbers import to_number
 from tidemark.functions.text import address, squash, token
-from tidemark.operators.joins import alias_dimension, equi, one_per_key
+from tidemark.operators.filters import blank
+from tidemark.operators.joins import Dimension, alias_dimension, equi, one_per_key, star
 from tidemark.operators.names import lower_names
 from tidemark.operators.reshape import list_to_rows, melt
 from tidemark.operators.sets import dedup, union_by_name
@@ -42,6 +43,42 @@ def customer_master(customers: DataFrame, dims: Sequence[tuple[DataFrame, str, s
     return out.withColumn(licence_end, clamp_date(licence_end)) if licence_end else out
 
 
+# Shop types whose customers are group customers; labels of states and of invoicing.
+GROUP_SHOPS = ("CHUOI", "CLC1", "CLC2", "CLC3", "CLC4", "INS1", "INS2", "INS3")
+GROUP, NO_GROUP = "G", "No-G"
+CUSTOMER_STATES = {"A": "Active", "I": "Inactive"}
+OTHER_STATE = "Pending"
+
+
+def first_invoices(links: DataFrame, invoices: DataFrame, customer: str, invoice: str) -> DataFrame:
+    """The first active invoice address of each customer, with the address's columns."""
+    active = equi(links.filter("active = 1").select(customer, invoice), invoices, invoice, "inner")
+    return earliest(active, [customer], [invoice])
+
+
+def coded_parts(parts: Mapping[str, str | None]) -> list[Column]:
+    """Parts of an address: the name (key) if it is known, else the code (value); nothing for a blank code."""
+    out = []
+    for name, code in parts.items():
+        known = F.coalesce(F.col(name), F.col(code).cast("string")) if code else F.col(name)
+        out.append(F.when(~blank(F.coalesce(F.col(code).cast("string"), F.lit(""))), known) if code else known)
+    return out
+
+
+def full_customer_master(customers: DataFrame, links: DataFrame, invoices: DataFrame, dimensions: Sequence[Dimension],
+                         customer: str, invoice: str, address_parts: Mapping[str, str | None],
+                         invoice_parts: Mapping[str, str | None], invoice_columns: Sequence[str], shop: str, status: str,
+                         group_customers: Sequence = ()) -> DataFrame:
+    """Customers with their first active invoice address and all dimensions, two address texts, the label of
+    their state and the group flag. The invoice's columns come before the dimensions, which may use them."""
+    chosen = first_invoices(links, invoices, customer, invoice)
+    out = star(customers, [Dimension(chosen, {customer: customer}, {c: c for c in (invoice, *invoice_columns)}), *dimensions])
+    grouped = F.coalesce(F.col(shop).isin(*GROUP_SHOPS), F.lit(False)) | F.col(customer).isin(*group_customers)
+    return out.withColumns({"address": address(*coded_parts(address_parts)), "invoice_address": address(*coded_parts(invoice_parts)),
+                            "state_label": label(status, CUSTOMER_STATES, OTHER_STATE),
+                            "group_flag": F.when(grouped, F.lit(GROUP)).otherwise(F.lit(NO_GROUP))})
+
+
 def staff_hierarchy(staff: DataFrame, names: DataFrame, levels: Mapping[str, str],
                     fallbacks: Sequence[tuple[str, str]] = (), order: Sequence[str | Column] = ()) -> DataFrame:
     """Staff with the names of the people above them; a missing level takes the next one's.

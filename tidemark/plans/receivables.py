@@ -12,12 +12,14 @@ from pyspark.sql import Window as W
 
 from tidemark.functions.codes import (CARRIER_UNIT, DELIVERED, WITH_CARRIER, delivery_status,
                                       payment_class)
-from tidemark.functions.dates import NO_DATE, as_date
+from tidemark.functions.dates import NO_DATE, as_date, duration_text, minutes_between, on_days
 from tidemark.functions.numbers import col, flag, money, zero_sum
 from tidemark.operators.aggregates import all_members
+from tidemark.operators.filters import blank
 from tidemark.operators.joins import anti, equi, facts, lookup, one_per_key
 from tidemark.operators.sets import union_by_name
 from tidemark.operators.windows import islands, latest_two
+from tidemark.sources.scratch import written
 
 # The ledger's amount columns, one per event.
 AMOUNTS = ("opening_amt", "released_amt", "delivered_amt", "received_amt",
@@ -31,7 +33,7 @@ MONTH_DAYS = 30
 OPENING_BEFORE = dt.date(2021, 5, 1)
 # Open balances up to this amount are not chased.
 BALANCE_FLOOR = 1000
-# Owner classes by sub-channel.
+# Owner classes by sub-channel; labels of terms, owners and due states.
 CASH_CHANNELS = ("NT", "PK", "SI", "SI23", "PCL", "CTD", "PMC")
 IMMEDIATE_CHANNELS = ("CHUOI", "NTC", "CCD", "ECOM")
 INSTITUTION_CHANNELS = ("INS1", "INS2", "INS3")
@@ -129,6 +131,101 @@ def receivables_ledger(legs: Mapping[str, DataFrame], flags: DataFrame, order_ke
     return out.filter(leg_counts("leg", "cancelled", "returned")).drop("cancelled", "returned")
 
 
+# Order types whose documents are receivables; state of finished orders, deliveries and batches.
+LEDGER_TYPES = ("CO", "DI", "DM", "DP", "IN", "IR", "LO", "OO", "UP")
+FINISHED, VOIDED, RECEIVABLES = "C", "V", "AR"
+DOCUMENT = ("branch", "ar_batch", "ar_ref")
+LEDGER_COLUMNS = ("branch", "order_nbr", "om_order", "cust_id", "staff", "unit", "invoice", "note", "terms", "order_date",
+                  "due_date", "payment", "delivery_time", "reason")
+
+
+@dataclass(frozen=True)
+class LedgerSources:
+    """The tables that the legs are made of.
+
+    ``orders``: branch, order_nbr, om_order, cust_id, order_date, order_type, status, payment, ar_batch, ar_ref;
+    ``documents``: branch, ar_batch, ar_ref, invoice, note, terms, doc_date, doc_due, amount;
+    ``batches``: branch, ar_batch, module, batch_status; ``allocations``: branch, order_nbr, ar_batch, alloc_staff;
+    ``books``: branch, order_nbr, staff, unit, book_status; ``deliveries``: branch, order_nbr, created, updated, status;
+    ``confirmations``: invoice, note, branch, ar_batch, ar_ref, created, received, reason_code;
+    ``reasons``: reason_code, reason; ``adjustments``: branch, own_batch, ar_batch, ar_ref, paid_batch, paid_ref, created,
+    paid_date, amount, reversal.
+    """
+
+    orders: DataFrame
+    documents: DataFrame
+    batches: DataFrame
+    allocations: DataFrame
+    books: DataFrame
+    deliveries: DataFrame
+    confirmations: DataFrame
+    reasons: DataFrame
+    adjustments: DataFrame
+
+
+def billed_orders(s: LedgerSources) -> DataFrame:
+    """Orders with their receivables document: batches of the receivables module, terms and due date."""
+    own = s.batches.filter(F.col("module") == RECEIVABLES).select("branch", "ar_batch").distinct()
+    documents = equi(s.documents, own, ["branch", "ar_batch"], "inner").withColumn("due_date", terms_due("terms", "doc_date", "doc_due"))
+    return facts(s.orders, documents, list(DOCUMENT)).withColumns({
+        "delivery_time": F.lit(""), "reason": F.lit(""), "staff": F.lit(None).cast("string"), "unit": F.lit("")})
+
+
+def recent(df: DataFrame, date: str, as_of, days: int = 7) -> DataFrame:
+    """Rows of the last ``days`` days up to the as-of day."""
+    last = as_date(as_of)
+    return df.filter(on_days(date, last - dt.timedelta(days=days - 1), last))
+
+
+def ledger_legs(s: LedgerSources, opening_before=OPENING_BEFORE, as_of=None, days: int = 7) -> dict[str, DataFrame]:
+    """The seven legs from their tables, without the reversed orders' removal; with ``as_of`` the rows of the
+    last days only, which are united with a stored base (``receivables_ledger(stored=…)``).
+
+    Orders and documents are joined once for all legs, and so are the finished deliveries of two
+    and the adjustments of two.
+    """
+    order = ["branch", "order_nbr"]
+    billed = written(billed_orders(s), "billed-orders")
+    done = billed.filter((F.col("status") == FINISHED) & F.col("order_type").isin(*LEDGER_TYPES))
+    allocated = one_per_key(s.allocations, [*order, "ar_batch"])
+    books = one_per_key(s.books, order)
+
+    def leg(rows, name, value, event):
+        rows = rows if as_of is None else recent(rows, event, as_of, days)
+        return ledger_leg(rows, name, value, event, LEDGER_COLUMNS)
+
+    early = F.to_date("order_date") < F.lit(as_date(opening_before))
+    legs = {"opening_amt": leg(billed.filter(early), "opening_amt", "amount", "order_date"),
+            "released_amt": leg(billed.filter(~early & F.col("order_type").isin(*LEDGER_TYPES)), "released_amt", "amount", "order_date")}
+
+    finished = books.filter(F.col("book_status") == FINISHED).drop("book_status")
+    steps = s.deliveries.filter(F.col("status") == FINISHED).drop("status")
+    delivered = equi(done.drop("staff", "unit", "status"), allocated.select(*order, "ar_batch"), [*order, "ar_batch"], "left_semi")
+    delivered = facts(facts(delivered, finished, order), steps, order)
+    legs["delivered_amt"] = leg(delivered.withColumn("delivery_time", duration_text(minutes_between("created", "updated"))), "delivered_amt", "amount", "updated")
+
+    named = equi(s.confirmations, one_per_key(s.reasons, "reason_code"), "reason_code", "left")
+    named = named.withColumn("reason", F.coalesce("reason", F.lit(""))).withColumnRenamed("created", "confirmed_at")
+    received = facts(delivered.drop("reason", "created", "updated"), named.drop("reason_code"), ["invoice", "note", *DOCUMENT])
+    legs["received_amt"] = leg(received, "received_amt", "received", "confirmed_at")
+
+    credits = billed.filter((F.col("status") == FINISHED) & ~F.col("order_type").isin(*LEDGER_TYPES))
+    legs["returned_amt"] = leg(credits, "returned_amt", "amount", "order_date")
+
+    live = s.adjustments.filter(blank(F.coalesce("reversal", F.lit(""))))
+    live = equi(live, s.documents.select("branch", F.col("ar_batch").alias("paid_batch"), F.col("ar_ref").alias("paid_ref")).distinct(),
+                ["branch", "paid_batch", "paid_ref"], "left_semi")
+    own = s.batches.filter(F.col("module") == RECEIVABLES).select("branch", F.col("ar_batch").alias("own_batch"), "batch_status")
+    live = equi(live, one_per_key(own, ["branch", "own_batch"]), ["branch", "own_batch"], "inner").withColumnRenamed("amount", "adjusted")
+    charged = facts(done.drop("staff", "unit"), allocated, [*order, "ar_batch"])
+    charged = equi(charged, books.drop("book_status"), order, "left").withColumns({
+        "staff": F.coalesce("staff", "alloc_staff"), "unit": F.coalesce("unit", F.lit(""))})
+    paid = facts(charged, live, list(DOCUMENT))
+    legs["confirmed_amt"] = leg(paid.filter(F.col("batch_status") != VOIDED), "confirmed_amt", "adjusted", "created")
+    legs["confirmed_released_amt"] = leg(paid.filter(F.col("batch_status") == FINISHED), "confirmed_released_amt", "adjusted", "paid_date")
+    return legs
+
+
 def reversed_orders(flags: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Orders that are cancelled or returned, one row each."""
     return (flags.filter("same_day or other_day").groupBy(*keys)
