@@ -32,6 +32,8 @@ END_ID = 2
 CHUNK_BYTES = 4 << 20
 CACHED_WORDS = 1_000_000
 BLOCK = 64
+INDEX_STRIDE = 1000  # rows of a row group
+IDS, OFFSETS = "ids", "offsets"  # folders of the files and of a number per file part
 # The tokenizer always parts an ASCII letter from these, so words may be parted there too.
 SIGNS = b".,;:!?*%&$#"
 FILE_SCHEMA = "part int, doc_id bigint, local_start bigint, n_tokens bigint, ids array<int>"
@@ -121,17 +123,23 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     (dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
      .mapInArrow(_encoder(tokenizer, end_id), FILE_SCHEMA)
      .write.option("compression", "zstd").option("orc.bloom.filter.columns", "doc_id")
-     .option("orc.row.index.stride", "1000").option("orc.stripe.size", str(32 << 20)).orc(folder))
+     .option("orc.row.index.stride", str(INDEX_STRIDE)).option("orc.stripe.size", str(32 << 20)).orc(f"{folder}/{IDS}"))
+    parts = _files(docs.sparkSession, folder).groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
+    before = F.sum("in_part").over(W.orderBy("part")) - F.col("in_part")  # a row per file part
+    parts.select("part", before.alias("before")).coalesce(1).write.parquet(f"{folder}/{OFFSETS}")
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(T.StructType.fromDDL(FILE_SCHEMA)).orc(f"{folder}/{IDS}")
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of the files with ``start``, the ids of all documents before.
 
-    Filters on ``doc_id`` reach the stripes. Only one number per file part is put in order."""
-    files = spark.read.schema(T.StructType.fromDDL(FILE_SCHEMA)).orc(folder)
-    parts = files.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
-    offsets = parts.select("part", (F.sum("in_part").over(W.orderBy("part")) - F.col("in_part")).alias("before"))
-    return files.join(offsets, "part").select(
+    The ids stay where they are read: a number per file part, written beside the files, is joined to
+    them, a table whose size the planner knows. Filters on ``doc_id`` reach the stripes and row groups."""
+    offsets = spark.read.schema("part int, before bigint").parquet(f"{folder}/{OFFSETS}")
+    return _files(spark, folder).join(offsets, "part").select(
         "doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids")
 
 
