@@ -32,7 +32,6 @@ from tidemark.llm.frames import carried, released
 from tidemark.sources.scratch import written
 
 MAX_LABELLED = 20_000
-MAX_TERMS = 5_000
 MIN_SUPPORT = 5  # toxic rows that must hold a learned term
 MIN_WEIGHT = 3.0
 PREFIXES = (4, 5, 6)
@@ -170,8 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = (rows.mapInArrow(_term_counts, "term string, pos bigint, neg bigint").groupBy("term")
               .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(F.col("pos") >= MIN_SUPPORT))
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1.0)) - F.log((F.col("neg") + 0.5) / (n_neg + 1.0))
-    learned = counts.withColumn("w", odds).where(F.col("w") >= MIN_WEIGHT) \
-        .orderBy(F.desc("w"), F.desc("pos"), "term").limit(MAX_TERMS).collect()
+    # A term stands in MIN_SUPPORT rows of the bounded sample, so there are no more of them than the sample's terms.
+    learned = counts.withColumn("w", odds).where(F.col("w") >= MIN_WEIGHT).orderBy("term").collect()
     weights |= {r["term"]: r["w"] for r in learned}
     model = Model(weights)
     sample = rows.select("text", F.col("y").cast("bigint")).mapInArrow(
