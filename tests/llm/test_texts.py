@@ -186,6 +186,36 @@ def test_bound_never_misses(spark, documents):
                     assert (a, i) in found
 
 
+def test_slices_of_blocks_agree(spark, documents, monkeypatch):
+    """A text walked in slices has the candidates it has when walked whole."""
+    import numpy as np
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    group = decontam.Group.of(decontam.impacts(benchmark).orderBy("number").collect())
+    hashed = [decontam._text_hashes((r.text or "").encode()) for r in documents.limit(60).collect()]
+    h, firsts = np.concatenate(hashed), np.cumsum([0, *map(len, hashed)])
+    whole = {tuple(map(int, c)) for c in group.candidates(h, firsts)}
+    for blocks in (1, 4, 9):
+        monkeypatch.setattr(decontam, "CELLS", len(group.ids) * blocks)
+        assert {tuple(map(int, c)) for c in group.candidates(h, firsts)} == whole
+    assert whole
+
+
+def test_leaks_in_long_and_repeated_texts(spark, odd):
+    """A text of three million bytes with an item near its end, every odd row, and clashing names."""
+    question = "What is the colour of the sky over the northern hills at noon?\nThe answer is a very pale greenish blue."
+    benchmark = spark.createDataFrame([(1, question)], "item_id bigint, text string")
+    long = " ".join(f"word{i % 9973}" for i in range(330000))
+    more = spark.createDataFrame([(70, f"{long} {question} end"), (71, long), (72, question), (72, question)], "doc_id bigint, text string")
+    extra = [c for c in odd.columns if c not in ("doc_id", "text", "lang", "source")]
+    docs = odd.unionByName(more.withColumns({c: F.lit(c) for c in extra}), allowMissingColumns=True)
+    assert docs.columns == odd.columns
+    out = decontam.leaked_items(docs.withColumn("contaminated", F.lit("x")), benchmark)
+    assert sorted(out.columns) == sorted([*odd.columns, "items", "contaminated"])
+    assert sorted(r.doc_id for r in out.where("contaminated").collect()) == [70, 72, 72]
+    kept = decontam.keep_clean(docs, benchmark)
+    assert kept.columns == docs.columns and kept.count() == odd.count() + 1
+
+
 def test_folding():
     assert toxicity.fold("1d10T 1diоt ｉｄｉｏｔ id\u200biot cost $5 idiot$$$") == "idiot idiot idiot idiot cost $5 idiot$$$"
     model = toxicity.Model({"idiot ": 5.0, "vequ": 4.0, "clown ": 4.5})

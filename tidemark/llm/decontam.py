@@ -2,11 +2,12 @@
 
 Impacts are BM25 scores divided by the item's score for its own text, so one threshold holds
 for all items. Every document is cut into blocks of words; three blocks in a row are a passage,
-and passages overlap by two blocks. A whole Arrow batch of passages is evaluated at a time, by
-block-max WAND: lists of words so common that they cannot carry an item over the threshold are
-not essential and never opened for candidates; the impacts of the essential lists are added up
+and passages overlap by two blocks. Passages are evaluated many at a time, in the manner of
+WAND with bounds per block of the query: lists of words so common that they cannot carry an item over the
+threshold are not essential and never opened for candidates; the impacts of the essential lists are added up
 per block of words, the sums of three blocks bound the score of a passage, and only where the
-bound and the most the other lists can add reach the threshold is a passage scored exactly.
+bound and the most the other lists can add reach the threshold is a passage scored exactly. There is no
+pivot that moves through the lists passage by passage; see the README.
 All items above the threshold are retrieved, and verified: the share of the question's and of
 the answer's word runs that the passage holds.
 
@@ -39,6 +40,7 @@ THRESHOLD = 0.5  # of the item's score for its own text
 QUESTION_SHARE, ANSWER_SHARE, RUN_WORDS = 0.6, 0.5, 5
 ITEMS = 1_000  # searched together
 BLOCK_WORDS = 32  # at least; half the longest item of a group otherwise
+CELLS = 4 << 20  # blocks times items whose sums are held at once
 COMMON = 0.05  # lists of words that this share of the items has are not essential
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
@@ -159,18 +161,24 @@ class Group:
         block = first_block[text] + (hit - firsts[text]) // size
         key = np.unique(block * len(self.vocab) + at[hit])
         block, word = key // len(self.vocab), key % len(self.vocab)
-        size_of = self.begin[word + 1] - self.begin[word]
-        posting = tb.runs(self.begin[word], size_of)
-        sums = np.bincount(np.repeat(block, size_of) * n + self.posting_item[posting], self.posting_impact[posting],
-                           minlength=first_block[-1] * n).reshape(-1, n)
-        bound = sums.copy()
         owner = np.repeat(np.arange(len(counts)), blocks)
-        for j in (1, 2):
-            same = np.flatnonzero(owner[j:] == owner[:-j])
-            bound[same] += sums[same + j]
-        for b, item in np.argwhere(bound >= THRESHOLD - self.other - 1e-9).tolist():
-            start = firsts[owner[b]] + (b - first_block[owner[b]]) * size
-            yield owner[b], start, min(start + 3 * size, firsts[owner[b] + 1]), item
+        step = max(1, CELLS // n - 2)
+        for low in range(0, len(owner), step):  # a long text is walked in slices that overlap by two blocks
+            high = min(low + step + 2, len(owner))
+            a, b = np.searchsorted(block, [low, high])
+            size_of = self.begin[word[a:b] + 1] - self.begin[word[a:b]]
+            posting = tb.runs(self.begin[word[a:b]], size_of)
+            sums = np.bincount(np.repeat(block[a:b] - low, size_of) * n + self.posting_item[posting], self.posting_impact[posting],
+                               minlength=(high - low) * n).reshape(-1, n)
+            bound, own = sums[:step].copy(), owner[low:high]
+            for j in (1, 2):
+                same = np.flatnonzero(own[j:] == own[:-j])
+                same = same[same < len(bound)]
+                bound[same] += sums[same + j]
+            for at_block, item in np.argwhere(bound >= THRESHOLD - self.other - 1e-9).tolist():
+                k = low + at_block
+                start = firsts[owner[k]] + (k - first_block[owner[k]]) * size
+                yield owner[k], start, min(start + 3 * size, firsts[owner[k] + 1]), item
 
     def leaks(self, passage: np.ndarray, item: int) -> bool:
         """Whether the passage scores above the threshold and holds question and answer."""
