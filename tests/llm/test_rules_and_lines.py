@@ -3,12 +3,14 @@
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tidemark.llm import host_rules, lines, urls
-from tidemark.llm.queries import LABELLED_URLS, URL_RULES
+from tidemark.llm import url_labels
+from tidemark.llm.queries import OP9_SQL, URL_RULES
 
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -72,6 +74,23 @@ def test_rates_are_shrunk_and_hosts_rejected(spark):
     assert not kept[1000] and kept[2001] and not kept[2000] and kept[1]
 
 
+def test_a_bad_host_takes_its_good_documents_along(spark, tmp_path):
+    """Hosts fail one document in twenty; one fails every second: below the upper bound, far beyond the prior.
+    The same rows by SQL."""
+    good = "every word of this text is new " + " ".join(f"w{i}" for i in range(60))
+    rows = [(1000 * h + i, "short" if i % (2 if h == 11 else 20) == 0 else f"{good} d{h} {i}", f"h{h}") for h in range(12) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = host_rules.judge(docs).collect()
+    rejected = [r for r in got if not r.kept and not r.base_failed]
+    assert {r.source for r in rejected} == {"h11"} and len(rejected) == 30
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cur = con.execute(OP9_SQL)
+    names = [d[0] for d in cur.description]
+    assert sorted((r[names.index("doc_id")], r[names.index("kept")]) for r in cur.fetchall()) == sorted((r.doc_id, r.kept) for r in got)
+
+
 def test_native_plan(odd):
     plan = host_rules.judge(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapInArrow" not in plan and "CartesianProduct" not in plan
@@ -79,7 +98,7 @@ def test_native_plan(odd):
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return urls.train(spark.createDataFrame(LABELLED_URLS, "url string, blocked int"))
+    return urls.train(url_labels.table(spark))
 
 
 def test_urls(spark, model):
@@ -108,6 +127,21 @@ def test_url_model_on_other_urls(spark, model):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
 
 
+def test_held_out_hosts(spark):
+    """Learned from three quarters of the hosts, tried on the rest."""
+    table = url_labels.table(spark).cache()
+    away = url_labels.held_out(F.col("url"))
+    model = urls.train(table.where(~away))
+    got = urls.judge(table.where(away), [], model).collect()
+    caught = sum(r.verdict == "block" and r.blocked for r in got)
+    blocked, unwanted = sum(r.verdict == "block" for r in got), sum(r.blocked for r in got)
+    assert unwanted >= 40 and len(got) - unwanted >= 100
+    assert caught / unwanted >= 0.9 and caught / blocked >= 0.9
+    repeated = table.where(away).limit(5)
+    twice = urls.judge(repeated.unionByName(repeated), [], model).groupBy("url", "verdict").count().collect()
+    assert all(r["count"] == 2 for r in twice) and len(twice) == 5
+
+
 @pytest.mark.parametrize("values", [1, 3])
 def test_windows_with_one_hash_are_compared_by_words(spark, monkeypatch, values):
     texts = [" ".join(f"w{i}" for i in range(40)), "a b c d a b c x y a b c d", "a a a a a", "one two three", "", None]

@@ -2,8 +2,8 @@
 
 Every document is held against rules; failures are added up by host and the failure rate of
 each host and rule is shrunk towards the others by a beta prior whose parameters come from
-the moments of all hosts' rates. A host whose shrunk rate passes the limit of a rule is
-rejected with all its documents. Features are computed once and written to the shared folder;
+the moments of all hosts' rates. A host whose shrunk rate lies far beyond the prior's mean, that is
+beyond what hosts of this collection are like, is rejected with all its documents. Features are computed once and written to the shared folder;
 hosts are aggregated partially before the shuffle, so a host with a third of all rows sends
 one row per task.
 
@@ -23,8 +23,8 @@ from tidemark.sources.scratch import written
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-# Rules that speak about hosts, with the largest shrunk rate of failures a host may have.
-HOST_LIMITS = {"short": 0.6, "repeats": 0.5, "symbols": 0.5, "lines": 0.5}
+# A host fails a rule when its shrunk rate of failures passes so many times the prior's mean; the limit lies in these bounds.
+MULTIPLE, LIMITS = 4.0, (0.2, 0.6)
 
 
 def words(text: Column) -> Column:
@@ -84,15 +84,16 @@ def failures() -> dict[str, Column]:
             "lines": F.col("n_dup_lines") >= 10}
 
 
-def host_verdicts(facts: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
+def host_verdicts(facts: DataFrame, multiple: float = MULTIPLE, limits: tuple[float, float] = LIMITS) -> DataFrame:
     """One row per host: documents, shrunk rate per rule, and whether a rate passes its limit.
 
+    The limit is ``multiple`` times the mean of the rule's prior, within ``limits``.
+
     The beta prior of a rule has the mean m of the hosts' rates and the strength
     m(1-m)/v - 1, v being the variance of the rates beyond what counting alone explains;
     without such variance the strength is that of all documents together.
     """
-    limits = HOST_LIMITS if limits is None else limits
-    rules = {k: c for k, c in failures().items() if k in limits}
+    rules = failures()
     hosts = facts.groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c.cast("bigint")).alias(f"f_{k}") for k, c in rules.items()])
     m = hosts.agg(
@@ -108,20 +109,20 @@ def host_verdicts(facts: DataFrame, limits: dict[str, float] | None = None) -> D
 
     judged = hosts.withColumns({f"rate_{k}": rate(k) for k in rules})
     bad = F.lit(False)
-    for k, limit in limits.items():
-        bad = bad | (F.col(f"rate_{k}") > limit)
+    for k in rules:
+        bad = bad | (F.col(f"rate_{k}") > min(limits[1], max(limits[0], multiple * (m[f"m_{k}"] or 0.0))))
     return judged.select("host", "n", *[f"rate_{k}" for k in rules], bad.alias("host_failed"))
 
 
 def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-          limits: dict[str, float] | None = None, carry: list[str] | None = None) -> DataFrame:
+          carry: list[str] | None = None, multiple: float = MULTIPLE, limits: tuple[float, float] = LIMITS) -> DataFrame:
     """The rows (only the columns ``carry``, if named) with their counts, ``base_failed`` and ``kept``."""
     facts = features(docs, text_col, host_col)
     if carry is not None:
         facts = facts.withColumn("row", F.struct(*[F.col(f"row.`{c}`").alias(c) for c in carry]))
     facts = written(facts.withColumn("base_failed", base_failed()), "host-rules")
     # Written, so that the join shuffles both sides itself, unless small, and can split a host with very many rows.
-    bad = written(host_verdicts(facts, limits).where("host_failed").select(F.col("host").alias("bad_host"), "host_failed"), "bad-hosts")
+    bad = written(host_verdicts(facts, multiple, limits).where("host_failed").select(F.col("host").alias("bad_host"), "host_failed"), "bad-hosts")
     joined = facts.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left")
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("host_failed"), F.lit(False))
     return released(joined, **{k: F.col(k) for k in (*FEATURES, "base_failed")}, kept=kept)

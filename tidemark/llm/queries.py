@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontam, host_rules, lines, near_dup, pieces, recurrent_lm, substrings, token_counts, tokens, toxicity, urls, whitening,
+    decontam, host_rules, lines, near_dup, pieces, recurrent_lm, substrings, token_counts, tokens, toxicity, url_labels, urls, whitening,
     zone_clusters)
 from tidemark.llm.registry import query, registered  # noqa: F401
 from tidemark.sources.scratch import run_folder
@@ -33,34 +33,13 @@ def line_dedup(t):
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-# A small labelled table: invented urls, half of them of the kind that a crawl leaves out.
-LABELLED_URLS = [
-    *[(u, 1) for u in (
-        "http://www.cheap-meds.test.com/en/1", "https://cheap-pills.shop.org/en/buy.html", "http://pills-online.test.net/de/3",
-        "https://spam-links.test.org/fr/2", "http://link-farm.test.com/en/44", "https://spam-site.test.org/es/5",
-        "http://casino-bonus.test.com/en/7", "https://m.casino-slots.test.org/en/8", "http://win-money.test.net/es/19",
-        "https://best-casino-win.test.com/fr/4", "http://ads-click.test.org/en/2", "https://tracker-ads.test.net/en/99",
-        "http://ad-track.test.com/en/100", "https://track-clicks.test.org/de/12", "http://free-download-crack.test.net/en/1",
-        "https://warez-crack.test.com/en/6", "http://adult-chat.test.org/es/3", "https://xxx-video.test.com/en/69",
-        "http://payday-loan.test.net/en/5", "https://fast-loans.test.com/en/75", "http://replica-watches.test.org/en/8",
-        "https://seo-farm.test.com/en/31", "http://click-bait.test.net/fr/55", "https://win-prize.test.org/en/2.html")],
-    *[(u, 0) for u in (
-        "https://www.thelen.test.org/en/148.html", "http://blog.anrein.test.com/en/9", "https://m.ontion.test.net/fr/61",
-        "https://library.test.org/en/catalogue/3", "http://www.museum.test.net/de/82", "https://news.therand.test.com/es/45",
-        "http://university.test.org/en/courses.html", "https://garden.test.com/en/12", "http://thelin.test.net/en/333",
-        "https://blog.enther.test.org/es/97", "http://weather.test.com/fr/8/", "https://www.health.test.org/en/advice",
-        "http://m.school.test.net/en/61?page=2", "https://recipes.test.com/en/5.html", "http://thesh.test.org/de/25",
-        "https://history.test.net/en/190/", "http://www.inging.test.com/en/77", "https://docs.test.org/en/guide.html",
-        "http://thened.test.com/fr/36#top", "https://city.test.net/es/4", "http://blog.thest.test.org/en/853/",
-        "https://sports.test.com/en/71", "http://travel.test.net/fr/16", "https://thbler.test.org/en/8")],
-]
 URL_RULES = [urls.Rule("net/", "block"), urls.Rule("example.net/en/", "allow"),
              urls.Rule("example.com/de/", "block"), urls.Rule("org/fr/", "allow")]
 
 
 @query("op7_url_filters")
 def url_filters(t):
-    model = urls.train(t.spark.createDataFrame(LABELLED_URLS, "url string, blocked int"))
+    model = urls.train(url_labels.table(t.spark))
     return urls.judge(t.pages.select("page_id", "url"), URL_RULES, model).select(
         "page_id", "host", "path", "rule", "verdict", "p_block")
 
@@ -95,11 +74,11 @@ f AS (
   FROM d LEFT JOIN rep USING (doc_id)),
 h AS (SELECT source, count(*) AS n, {', '.join(f'count(*) FILTER (WHERE {c}) AS f_{k}' for k, c in _RULES.items())}
       FROM f GROUP BY source),
-r AS (SELECT source, {', '.join(f'{_rate_sql(k)} AS rate_{k}' for k in _RULES)} FROM h)
+r AS (SELECT source, {', '.join(f'{_rate_sql(k)} AS rate_{k}, avg(f_{k} / n) OVER () AS mean_{k}' for k in _RULES)} FROM h)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND NOT ({' OR '.join(f'rate_{k} > {v}' for k, v in host_rules.HOST_LIMITS.items())}) AS kept
+         AND NOT ({' OR '.join(f'rate_{k} > least({host_rules.LIMITS[1]}, greatest({host_rules.LIMITS[0]}, {host_rules.MULTIPLE} * mean_{k}))' for k in _RULES)}) AS kept
 FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
