@@ -64,8 +64,12 @@ def put_bytes(spark: SparkSession, folder: str, name: str, content: bytes) -> st
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Remove what this application has put into the shared folder.
+    """Remove what this application has put into the shared folder, and the catalog's tables on it.
 
     For when its results have been read: frames made from these tables cannot be read again.
     """
-    delete_folder(spark, application_folder(spark))
+    folder = application_folder(spark)
+    for row in spark.sql("SHOW TABLE EXTENDED LIKE '*'").select("tableName", "isTemporary", "information").collect():
+        if not row["isTemporary"] and folder.removeprefix("file:").lstrip("/") in row["information"]:
+            spark.sql(f"DROP TABLE IF EXISTS `{row['tableName']}`")
+    delete_folder(spark, folder)
