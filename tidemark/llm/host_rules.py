@@ -24,7 +24,7 @@ WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # A host fails a rule when its shrunk rate of failures passes so many times the prior's mean; the limit lies in these bounds.
-MULTIPLE, LIMITS = 4.0, (0.2, 0.6)
+MULTIPLE, LIMITS = 4.0, (0.35, 0.6)
 
 
 def words(text: Column) -> Column:
