@@ -226,8 +226,7 @@ def programme_units(t):
         F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"), "unit_rate", "unit_op",
         F.when(F.col("l_returnflag") == "R", "return").otherwise("sale").alias("kind"))
     used = t.orders.filter("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias("order_nbr"))
-    none = t.orders.filter("o_orderkey is null").select(F.col("o_orderkey").alias("order_nbr"), F.col("o_orderkey").alias("disc_id"),
-                                                        F.col("o_totalprice").alias("disc_amount"), F.lit("").alias("line_list"))
+    none = literal_rows(t.spark, [], "order_nbr bigint, disc_id bigint, disc_amount double, line_list string")
     return sales.accumulation_detail(ln, used, none, ["order_nbr"], apply_type="U").drop("discount")
 
 
