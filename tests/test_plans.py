@@ -65,6 +65,15 @@ def test_lines_are_read_once(spark, name, lines, exchanges):
     assert executed_nodes(plans, "Exchange") <= exchanges
 
 
+@pytest.mark.parametrize("name", ["upsert", "discount_lines", "receivables_by_order"])
+def test_tasks_have_small_shares(spark, name):
+    """A task's memory follows its bytes of a shuffle or file, which must not grow with the tables."""
+    text = plan(registered[name].run(spark, SMALL))
+    assert ", 400), " in text  # partitions enough to be put together from
+    shares = [spark.conf.get(f"spark.sql.{k}") for k in ("adaptive.advisoryPartitionSizeInBytes", "files.maxPartitionBytes")]
+    assert all(int(x.removesuffix("m")) <= 16 for x in shares)
+
+
 def test_receivables_broadcast_dimensions_only(spark):
     text = plan(registered["receivables_by_order"].run(spark, SMALL))
     assert text.count("SortMergeJoin") == 2  # reversals and lines
