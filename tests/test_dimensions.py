@@ -83,6 +83,16 @@ def test_seven_legs(frame):
     assert all(float(r[other]) == 0 for name, leg in legs.items() for r in leg.collect() for other in rec.AMOUNTS if other != name)
 
 
+def test_legs_of_staged_rows(frame):
+    s = sources(frame)
+    rows = rec.ledger_rows(s, stage=True)
+    for last in (None, d(46)):
+        plain, staged = rec.ledger_legs(s, d(10), last), rec.ledger_legs(rows, d(10), last)
+        for name, leg in plain.items():
+            assert sorted(map(str, staged[name].collect())) == sorted(map(str, leg.collect())), name
+    assert all(leg.count() for leg in rec.ledger_legs(rows, d(10)).values())
+
+
 def test_recent_legs_over_a_stored_base(frame):
     s = sources(frame)
     whole, last = rec.ledger_legs(s, d(10)), d(46)

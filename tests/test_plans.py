@@ -79,6 +79,13 @@ def test_receivables_broadcast_dimensions_only(spark):
     assert text.count("SortMergeJoin") == 2  # reversals and lines
 
 
+def test_seven_legs_are_joined_once(spark):
+    """The stored base and the recent rows come from the same joins: deliveries, confirmations and adjustments
+    read the lines once each."""
+    plans = executed_plans(spark, lambda: registered["receivables_seven_legs"].run(spark, SMALL).write.format("noop").mode("overwrite").save())
+    assert 1 <= executed_nodes(plans, "Scan parquet", "lineitem.parquet") <= 3
+
+
 @pytest.mark.parametrize("name", ["win_running", "version_history", "attribute_changes", "join_coalesce_lead"])
 def test_ordered_columns_are_dealt_by_days(spark, name):
     """A hot key is spread over the calendar: rows are dealt by key and day, not by key or key and year."""

@@ -197,8 +197,9 @@ def _event(name, value, event, source, delivery="''", reason="''", staff="NULL",
         AND NOT (leg IN ('delivered_amt', 'received_amt') AND order_nbr IN (SELECT o_orderkey FROM ret))
         AND NOT (leg IN ('confirmed_amt', 'confirmed_released_amt') AND om_order IN (SELECT o_orderkey FROM ret))""")
 def receivables_seven_legs(t):
-    """Seven legs from nine tables; each is its stored base and the rows of the last seven days."""
-    s = _ledger_sources(t)
+    """Seven legs from nine tables; each is its stored base and the rows of the last seven days. The base is
+    made of the same tables here, so both are taken from joins that are staged once."""
+    s = rec.ledger_rows(_ledger_sources(t), stage=True)
     first = dt.date.fromisoformat(AS_OF) - dt.timedelta(days=6)
     stored = {name: leg.filter(F.col("event_date") < F.lit(first)) for name, leg in rec.ledger_legs(s, OPENING).items()}
     out = rec.receivables_ledger(rec.ledger_legs(s, OPENING, AS_OF), _flags(t).select("order_nbr", "same_day", "other_day"),

@@ -177,40 +177,36 @@ def recent(df: DataFrame, date: str, as_of, days: int = 7) -> DataFrame:
     return df.filter(on_days(date, last - dt.timedelta(days=days - 1), last))
 
 
-def ledger_legs(s: LedgerSources, opening_before=OPENING_BEFORE, as_of=None, days: int = 7) -> dict[str, DataFrame]:
-    """The seven legs from their tables, without the reversed orders' removal; with ``as_of`` the rows of the
-    last days only, which are united with a stored base (``receivables_ledger(stored=…)``).
+@dataclass(frozen=True)
+class LedgerRows:
+    """What the legs are taken from, joined: billed orders, and of the finished ones their deliveries, the
+    receipts of these, and their adjustments."""
 
-    Orders and documents are joined once for all legs, and so are the finished deliveries of two
-    and the adjustments of two.
-    """
+    billed: DataFrame
+    delivered: DataFrame
+    received: DataFrame
+    paid: DataFrame
+
+
+def ledger_rows(s: LedgerSources, stage: bool = False) -> LedgerRows:
+    """The joins of the legs' tables. Orders and documents are joined once for all legs; with ``stage`` the
+    others are computed once too, for a caller that takes legs from them more than once."""
+    kept = written if stage else lambda df, name: df
     order = ["branch", "order_nbr"]
     billed = written(billed_orders(s), "billed-orders")
     done = billed.filter((F.col("status") == FINISHED) & F.col("order_type").isin(*LEDGER_TYPES))
     allocated = one_per_key(s.allocations, [*order, "ar_batch"])
     books = one_per_key(s.books, order)
 
-    def leg(rows, name, value, event):
-        rows = rows if as_of is None else recent(rows, event, as_of, days)
-        return ledger_leg(rows, name, value, event, LEDGER_COLUMNS)
-
-    early = F.to_date("order_date") < F.lit(as_date(opening_before))
-    legs = {"opening_amt": leg(billed.filter(early), "opening_amt", "amount", "order_date"),
-            "released_amt": leg(billed.filter(~early & F.col("order_type").isin(*LEDGER_TYPES)), "released_amt", "amount", "order_date")}
-
     finished = books.filter(F.col("book_status") == FINISHED).drop("book_status")
     steps = s.deliveries.filter(F.col("status") == FINISHED).drop("status")
     delivered = equi(done.drop("staff", "unit", "status"), allocated.select(*order, "ar_batch"), [*order, "ar_batch"], "left_semi")
     delivered = facts(facts(delivered, finished, order), steps, order)
-    legs["delivered_amt"] = leg(delivered.withColumn("delivery_time", duration_text(minutes_between("created", "updated"))), "delivered_amt", "amount", "updated")
+    delivered = kept(delivered.select(*LEDGER_COLUMNS, "ar_batch", "ar_ref", "amount", "created", "updated"), "ledger-delivered")
 
     named = equi(s.confirmations, one_per_key(s.reasons, "reason_code"), "reason_code", "left")
     named = named.withColumn("reason", F.coalesce("reason", F.lit(""))).withColumnRenamed("created", "confirmed_at")
     received = facts(delivered.drop("reason", "created", "updated"), named.drop("reason_code"), ["invoice", "note", *DOCUMENT])
-    legs["received_amt"] = leg(received, "received_amt", "received", "confirmed_at")
-
-    credits = billed.filter((F.col("status") == FINISHED) & ~F.col("order_type").isin(*LEDGER_TYPES))
-    legs["returned_amt"] = leg(credits, "returned_amt", "amount", "order_date")
 
     live = s.adjustments.filter(blank(F.coalesce("reversal", F.lit(""))))
     live = equi(live, s.documents.select("branch", F.col("ar_batch").alias("paid_batch"), F.col("ar_ref").alias("paid_ref")).distinct(),
@@ -221,9 +217,30 @@ def ledger_legs(s: LedgerSources, opening_before=OPENING_BEFORE, as_of=None, day
     charged = equi(charged, books.drop("book_status"), order, "left").withColumns({
         "staff": F.coalesce("staff", "alloc_staff"), "unit": F.coalesce("unit", F.lit(""))})
     paid = facts(charged, live, list(DOCUMENT))
-    legs["confirmed_amt"] = leg(paid.filter(F.col("batch_status") != VOIDED), "confirmed_amt", "adjusted", "created")
-    legs["confirmed_released_amt"] = leg(paid.filter(F.col("batch_status") == FINISHED), "confirmed_released_amt", "adjusted", "paid_date")
-    return legs
+    return LedgerRows(billed, delivered, kept(received.select(*LEDGER_COLUMNS, "received", "confirmed_at"), "ledger-received"),
+                      kept(paid.select(*LEDGER_COLUMNS, "adjusted", "created", "paid_date", "batch_status"), "ledger-paid"))
+
+
+def ledger_legs(s: LedgerSources | LedgerRows, opening_before=OPENING_BEFORE, as_of=None, days: int = 7) -> dict[str, DataFrame]:
+    """The seven legs from their tables, without the reversed orders' removal; with ``as_of`` the rows of the
+    last days only, which are united with a stored base (``receivables_ledger(stored=…)``)."""
+    r = ledger_rows(s) if isinstance(s, LedgerSources) else s
+
+    def leg(rows, name, value, event):
+        rows = rows if as_of is None else recent(rows, event, as_of, days)
+        return ledger_leg(rows, name, value, event, LEDGER_COLUMNS)
+
+    early = F.to_date("order_date") < F.lit(as_date(opening_before))
+    receivable = F.col("order_type").isin(*LEDGER_TYPES)
+    timed = r.delivered.withColumn("delivery_time", duration_text(minutes_between("created", "updated")))
+    credits = r.billed.filter((F.col("status") == FINISHED) & ~receivable)
+    return {"opening_amt": leg(r.billed.filter(early), "opening_amt", "amount", "order_date"),
+            "released_amt": leg(r.billed.filter(~early & receivable), "released_amt", "amount", "order_date"),
+            "delivered_amt": leg(timed, "delivered_amt", "amount", "updated"),
+            "received_amt": leg(r.received, "received_amt", "received", "confirmed_at"),
+            "returned_amt": leg(credits, "returned_amt", "amount", "order_date"),
+            "confirmed_amt": leg(r.paid.filter(F.col("batch_status") != VOIDED), "confirmed_amt", "adjusted", "created"),
+            "confirmed_released_amt": leg(r.paid.filter(F.col("batch_status") == FINISHED), "confirmed_released_amt", "adjusted", "paid_date")}
 
 
 def reversed_orders(flags: DataFrame, keys: Sequence[str]) -> DataFrame:
