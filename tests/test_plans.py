@@ -9,6 +9,7 @@ from tidemark.catalog import registered
 from tidemark.functions.dates import on_days
 from tidemark.operators import windows as W
 from tidemark.operators.joins import facts
+from tidemark.plans import sales
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -74,6 +75,14 @@ def test_tasks_have_small_shares(spark, name):
     assert all(int(x.removesuffix("m")) <= 16 for x in shares)
 
 
+def test_movements_are_dealt_once(spark):
+    """By line, for their lots and for their line, with a constant among the keys as well."""
+    df = spark.read.parquet(f"{SMALL}/lineitem.parquet").select(
+        F.lit("B1").alias("branch"), "l_orderkey", F.col("l_linenumber").alias("line_ref"), F.col("l_suppkey").alias("lot"),
+        (F.col("l_returnflag") != "A").alias("from_lot"), F.col("l_quantity").cast("decimal(18,2)").alias("qty"))
+    assert plan(sales.lines_by_lot(df, ["branch", "l_orderkey"], {})).count("Exchange hashpartitioning") == 1
+
+
 def test_receivables_broadcast_dimensions_only(spark):
     text = plan(registered["receivables_by_order"].run(spark, SMALL))
     assert text.count("SortMergeJoin") == 2  # reversals and lines

@@ -105,11 +105,13 @@ def lines_by_lot(movements: DataFrame, keys: Sequence[str], line: Mapping[str, s
 
     ``movements``: keys, line_ref, lot, from_lot, qty and the columns of ``line``, which tells how each is
     put together over its line (``sum``, ``max`` or ``any``). A line has one row per lot of its
-    movements from lots, with ``lot_qty``; a line without any has one row without a lot. Movements are added up
-    by lot before they meet their line, and lines, not orders, are kept together.
+    movements from lots, with ``lot_qty``; a line without any has one row without a lot. Lines, not orders, are
+    kept together: movements are dealt by line once, added up by lot there, and meet their line where they are.
+    The last of ``keys`` is the order number.
     """
     key = [*keys, "line_ref"]
-    base = movements.groupBy(*key, "lot", "from_lot").agg(
+    # By order and line alone: a constant among the other keys would leave the grouping, not the partitioning.
+    base = movements.repartition(keys[-1], "line_ref").groupBy(*key, "lot", "from_lot").agg(
         F.sum("qty").alias("__qty"), *[_FOLDS[how](c).alias(c) for c, how in line.items()])
     of_line = W.partitionBy(*key)
     out = base.withColumns({
