@@ -238,3 +238,22 @@ def test_no_token_is_left_out_of_the_lanes(monkeypatch):
     told = np.arange(32 * 64 + 45) % 64
     recurrent_lm.Network().train([(told, np.arange(len(told)) % 100 == 0), (np.array([5]), np.array([True]))], 0.02)
     assert sorted(seen) == sorted([*told.tolist(), 5])
+
+
+def test_texts_queue_in_lanes(monkeypatch):
+    """One long text and many short ones: a step has all lanes at work, instead of the long text's alone."""
+    steps, forward = [], recurrent_lm.Network.forward
+    monkeypatch.setattr(recurrent_lm.Network, "forward", staticmethod(lambda x, u, state, *a: (steps.append(len(state)), forward(x, u, state, *a))[1]))
+    monkeypatch.setattr(recurrent_lm, "SCORE_LANES", 4)
+    lengths = np.array([100, *[10] * 31])
+    recurrent_lm.Network().score(np.arange(lengths.sum()) % 64, np.cumsum([0, *lengths]))
+    assert sum(steps) >= lengths.sum() and len(steps) <= 112
+
+
+def test_shards_carry_tokens_as_bytes(documents):
+    """Spark copies the tokens of a shard as one value, not number by number."""
+    m = recurrent_lm.learn(documents.where("doc_id < 40"))
+    assert dict(m.shards.dtypes)["tokens"] == "binary"
+    for r in m.shards.collect():
+        assert np.bincount(np.frombuffer(r.tokens, np.int32), minlength=len(r.vocab)).min() > 0
+        assert len(r.tokens) == 4 * r.firsts[-1] and len(r.firsts) == len(r.ids) + 1
